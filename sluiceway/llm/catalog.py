@@ -10,13 +10,23 @@ from sluiceway.llm import sql
 from sluiceway.llm.common import documents
 from sluiceway.llm.exact_dedup import exact_dedup
 from sluiceway.llm.mixing import mix
+from sluiceway.llm.packing import pack
 from sluiceway.llm.sharding import shard
+from sluiceway.llm.token_files import token_files
 
 
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(documents(spark, sf_dir), 24)
 
 
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files(documents(spark, sf_dir))
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(documents(spark, sf_dir))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir))
 
@@ -26,7 +36,7 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sharding, op6_exact_dedup, op7_mixing)}
+    return {f.__name__: f for f in (op1_sharding, op3_token_files, op5_packing, op6_exact_dedup, op7_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
