@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from sluiceway.llm import sql
 from sluiceway.llm.common import documents
 from sluiceway.llm.exact_dedup import exact_dedup
+from sluiceway.llm.language_id import identify_languages
+from sluiceway.llm.media import media_columns
 from sluiceway.llm.mixing import mix
 from sluiceway.llm.packing import pack
 from sluiceway.llm.sharding import shard
@@ -23,6 +25,10 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(documents(spark, sf_dir))
 
 
+def op4_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media_columns(documents(spark, sf_dir))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir))
 
@@ -35,8 +41,12 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(documents(spark, sf_dir))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_languages(documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sharding, op3_token_files, op5_packing, op6_exact_dedup, op7_mixing)}
+    return {f.__name__: f for f in (op1_sharding, op3_token_files, op4_media, op5_packing, op6_exact_dedup, op7_mixing, op8_language_id)}
 
 
 def oracle_sql() -> dict[str, str]:
