@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 #: The characters that count as white space in every contract of this package.
 SPACES = " \t\n\x0b\x0c\r"
 #: Text bytes that a Python worker handles at once; one longer text is handled alone.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 6 << 20
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,12 +28,12 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sluiceway.llm.common import blocks, scratch
-from sluiceway.llm.tokens import gather, tokenizer_path, with_end, worker_tokenizer
+from sluiceway.llm.tokens import gather, give_back, tokenizer_path, with_end, worker_tokenizer
 
 MAGIC = b"SLWYRP01"
 #: Pairs are counted among this many of the most frequent symbols in each round: a pair is no
 #: more frequent than its rarer symbol, so the most frequent pairs are among them.
-FREQUENT = 2048
+FREQUENT = 1024
 
 
 def re_pair(ids: np.ndarray, lengths: np.ndarray, base: int, rounds: int = 4, per_round: int = 2048, least: int = 16) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -169,6 +169,8 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, kind: str, end: int
             key = batch.column(0)
             data = encode_shard(key.fill_null(0).to_numpy(), key.is_null().to_numpy(zero_copy_only=False), ids, lengths, base)
             yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "block": pa.array([i], pa.int32()), "n_docs": [batch.num_rows], "n_ids": [len(ids)], "data": pa.array([data], pa.binary())})
+            del ids, lengths, data
+            give_back()
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     # ties of the id are ordered by the text, so that every run writes the same shards

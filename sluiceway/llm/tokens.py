@@ -7,8 +7,10 @@ for which that can't be said is encoded whole.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable
-from itertools import chain
+from dataclasses import dataclass
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +24,8 @@ from tokenizers import Tokenizer  # noqa: E402
 
 #: Chunks kept by a worker; beyond that the cache starts anew.
 CACHED_CHUNKS = 1_000_000
+#: Chunks encoded as one text, and such texts encoded at once.
+JOINED = 100
 
 
 def tokenizer_path(name: str) -> str:
@@ -31,107 +35,173 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def byte_level_source(chunk: str) -> str | None:
-    """The text of a chunk for a byte-level BPE whose pattern lets a word take one space before it.
+#: Parts the chunks of a text while it is split; a text that has it is encoded whole.
+CUT = "\0"
 
-    A single space or line feed between two other characters always starts a piece of that
-    pattern. A text's first chunk is marked by a space at its end, which no other chunk can
-    have: it has no space before it in the text, as has none that starts with a line feed.
-    None where the chunk's borders may not be borders of pieces.
+
+@dataclass(frozen=True)
+class Kind:
+    """How the chunks of a text follow from its pre-tokenizer.
+
+    breaks: what is written for these characters before the text is split at CUT.
+    mark: a character that is always one piece and one id; it parts chunks that are encoded together.
+    fold: applied to texts once broken up; must not change any id.
+    spaces: whether white space has ids (then a chunk of white space has borders of pieces only as `blank` says).
     """
-    if chunk[-1:] == " ":
-        body = source = chunk[:-1]
-        if not body:
-            return ""
-    elif chunk[:1] == "\n":
-        body, source = chunk[1:], chunk
-    else:
-        body, source = chunk, f" {chunk}"
-    return None if not body or body[0].isspace() or body[-1].isspace() else source
+
+    breaks: tuple[tuple[str, str], ...]
+    mark: str
+    fold: Callable
+    spaces: bool
+
+
+KINDS = {
+    # Pieces are words, numbers or runs of signs, each with one space before it if there is one.
+    "byte_level": Kind(((" ", f"{CUT} "), ("\n", f"{CUT}\n{CUT}"), (".", f"{CUT}."), (",", f"{CUT},")), "\n", lambda t: t, True),
+    # Pieces are words, single digits or runs of signs; white space is dropped, case is folded.
+    "spaceless": Kind(((" ", CUT), ("\n", CUT), (".", f"{CUT}."), (",", f"{CUT},")), "0", pc.ascii_lower, False),
+}
 
 
-def spaceless_source(chunk: str) -> str | None:
-    """The text of a chunk for a tokenizer that drops white space: no piece crosses a space or line feed."""
-    return chunk
+def _each(values: list[str], test: Callable[[str], bool]) -> np.ndarray:
+    known = {v: test(v) for v in set(values)}
+    return np.fromiter(map(known.__getitem__, values), bool, len(values))
 
 
 class ChunkedTokenizer:
     """encode(texts) -> (ids of all texts, ids in each text)."""
 
-    def __init__(self, file: str, line_feed: str, source: Callable[[str], str | None], cached: int = CACHED_CHUNKS) -> None:
-        """line_feed: what stands for a line feed before the text is split at spaces."""
+    def __init__(self, file: str, kind: Kind, cached: int = CACHED_CHUNKS) -> None:
         self.tokenizer = Tokenizer.from_file(file)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.joiner = Tokenizer.from_file(file)  # here they part chunks
-        self.mark = "<|endoftext|>"
-        self.mark_id = self.joiner.token_to_id(self.mark)
-        self.line_feed, self.source, self.cached = line_feed, source, cached
+        self.kind, self.cached = kind, cached
+        (self.mark_id,) = self.tokenizer.encode(kind.mark, add_special_tokens=False).ids
         self._clear()
 
     def _clear(self) -> None:
         self.index: dict[str, int] = {}
-        self.start, self.length, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
-
-    def _each(self, sources: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of the sources, joined and encoded as one text; one by one where a source has a mark."""
-        if not any("<|" in s for s in sources):
-            ids = np.array(self.joiner.encode_batch_fast([self.mark.join(sources)], add_special_tokens=False)[0].ids, np.uint32)
-            marks = np.flatnonzero(ids == self.mark_id)
-            if len(marks) == len(sources) - 1:
-                lengths = np.diff(np.concatenate(([-1], marks, [len(ids)]))) - 1
-                return ids[ids != self.mark_id], lengths
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(sources, add_special_tokens=False)]
-        lengths = np.fromiter(map(len, found), np.int64, len(found))
-        return np.fromiter(chain.from_iterable(found), np.uint32, int(lengths.sum())), lengths
+        self.start, self.length, self.flat = np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, np.uint32)
+        self.sign, self.word, self.spaced, self.blank = (np.zeros(0, bool) for _ in range(4))
+
+    def _ids(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the chunks, and their numbers. Chunks without the mark are joined by it, JOINED at a time."""
+        mark = self.kind.mark
+        plain = [i for i, c in enumerate(chunks) if mark not in c and c]
+        texts = [mark.join([chunks[i] for i in plain[k : k + JOINED]]) for k in range(0, len(plain), JOINED)]
+        ids: list[int] = []
+        for k in range(0, len(texts), JOINED):
+            for e in self.tokenizer.encode_batch_fast(texts[k : k + JOINED], add_special_tokens=False):
+                ids += e.ids
+                ids.append(self.mark_id)
+        ids = np.array(ids, np.uint32)
+        marks = np.flatnonzero(ids == self.mark_id)
+        if len(marks) != len(plain):
+            plain, ids, marks = [], ids[:0], marks[:0]
+        lengths = np.zeros(len(chunks), np.int64)
+        lengths[plain] = np.diff(marks, prepend=-1) - 1
+        ids = ids[ids != self.mark_id]
+        starts = np.cumsum(lengths) - lengths
+        known = set(plain)
+        single = [i for i, c in enumerate(chunks) if c and i not in known] if len(plain) < len(chunks) else []
+        if single:
+            found = [e.ids for e in self.tokenizer.encode_batch_fast([chunks[i] for i in single], add_special_tokens=False)]
+            lengths[single] = own = np.fromiter(map(len, found), np.int64, len(found))
+            starts[single] = len(ids) + np.cumsum(own) - own
+            ids = np.concatenate([ids, np.fromiter(chain.from_iterable(found), np.uint32, int(own.sum()))])
+        self.start, self.length, self.flat = np.append(self.start, (starts + len(self.flat)).astype(np.int32)), np.append(self.length, lengths.astype(np.int32)), np.append(self.flat, ids)
+        return ids, lengths
 
     def _learn(self, chunks: list[str]) -> None:
-        sources = [self.source(c) for c in chunks]
-        flat, lengths = self._each([s or "" for s in sources])
-        starts = np.cumsum(lengths) - lengths + len(self.flat)
-        lengths[[i for i, s in enumerate(sources) if s is None]] = -1
         self.index.update(zip(chunks, range(len(self.start), len(self.start) + len(chunks)), strict=True))
-        self.start, self.length, self.flat = np.append(self.start, starts), np.append(self.length, lengths), np.append(self.flat, flat)
-
-    def _places(self, *groups: list[str]) -> list[np.ndarray]:
-        new = {c for g in groups for c in g if c not in self.index}
-        if new and self.index and len(self.index) + len(new) > self.cached:
+        self._ids(chunks)
+        firsts, lasts = [c[:1] for c in chunks], [c[-1:] for c in chunks]
+        self.sign = np.append(self.sign, _each(firsts, lambda c: c in (".", ",")))
+        self.word = np.append(self.word, _each(lasts, str.isalnum))
+        self.spaced = np.append(self.spaced, _each(firsts, str.isspace))
+        # white space where no border of pieces can be vouched for; a line feed is judged by its neighbours
+        blank = _each(lasts, str.isspace) | _each(firsts, lambda c: c.isspace() and c != " ") | _each([c[:2] for c in chunks], str.isspace)
+        blank[[i for i in np.flatnonzero(blank).tolist() if chunks[i] == "\n"]] = False
+        self.blank = np.append(self.blank, blank)
+
+    def _places(self, chunks: list[str]) -> np.ndarray:
+        at = np.fromiter(map(self.index.get, chunks, repeat(-1)), np.int32, len(chunks))
+        new = np.flatnonzero(at < 0)
+        if len(new) and self.index and len(self.index) + len(new) > self.cached:
             self._clear()
-            new = {c for g in groups for c in g}
-        if new:
-            self._learn(list(new))
-        return [np.fromiter(map(self.index.__getitem__, g), np.int64, len(g)) for g in groups]
+            new = np.arange(len(chunks))
+        if len(new):
+            at[new] = np.arange(len(self.start), len(self.start) + len(new), dtype=np.int32)
+            self._learn([chunks[i] for i in new.tolist()])
+        return at
 
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 
+    def _unsure(self, known: np.ndarray, codes: np.ndarray, borders: np.ndarray, texts: pa.Array) -> set[int]:
+        """Numbers of the texts in which a chunk's border may not be a border of pieces.
+
+        known: the places of the distinct chunks; codes: which of these each chunk is.
+        """
+        first = np.zeros(len(codes) + 1, bool)
+        first[borders] = True
+        bad = []
+        signs = np.flatnonzero(self.sign[known][codes])
+        signs = signs[~first[signs]]  # so each has a chunk before it in its text
+        bad.append(signs[~self.word[known][codes[signs - 1]]])
+        if self.kind.spaces:
+            blank = self.blank[known]
+            if blank.any():
+                bad.append(np.flatnonzero(blank[codes]))
+            empty = np.flatnonzero(known == self.index.get("", -2))
+            if len(empty):  # fine as a text of its own only
+                at = np.flatnonzero(codes == empty[0])
+                bad.append(at[~(first[at] & first[at + 1])])
+            feed = np.flatnonzero(known == self.index.get("\n", -2))
+            if len(feed):  # stands between two characters that aren't white space
+                at = np.flatnonzero(codes == feed[0])
+                border = first[at] | first[at + 1]
+                bad += [at[border], at[~border][self.spaced[known][codes[at[~border] + 1]]]]
+        found = np.concatenate(bad)
+        unsure = set((np.searchsorted(borders, found, "right") - 1).tolist()) if len(found) else set()
+        cut = pc.match_substring(texts, CUT)
+        return unsure.union(np.flatnonzero(cut.to_numpy(zero_copy_only=False)).tolist()) if pc.any(cut).as_py() else unsure
+
     def encode(self, texts: pa.Array | list[str]) -> tuple[np.ndarray, np.ndarray]:
         texts = pc.fill_null(pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts.cast(pa.large_string()), "")
         if not len(texts):
             return np.zeros(0, np.uint32), np.zeros(0, np.int64)
-        parts = pc.split_pattern(pc.replace_substring(texts, "\n", self.line_feed), " ")
+        cut = texts
+        for sign, written in self.kind.breaks:
+            cut = pc.replace_substring(cut, sign, written)
+        cut = self.kind.fold(cut)  # not before: Arrow's ascii_lower is wrong for a slice
+        parts = pc.split_pattern(cut, CUT)
         borders = parts.offsets.to_numpy().astype(np.int64)
-        borders, chunks = borders - borders[0], parts.flatten()
-        coded = chunks.dictionary_encode()
-        first = [f"{c} " for c in chunks.take(pa.array(borders[:-1])).to_pylist()]
-        places, firsts = self._places(coded.dictionary.to_pylist(), first)
-        at = places[coded.indices.to_numpy()]
-        at[borders[:-1]] = firsts
-        lengths = self.length[at]
-        if lengths.min() < 0:
-            direct = set(np.searchsorted(borders, np.flatnonzero(lengths < 0), "right").tolist())
-            arrays = [self.whole(texts[i].as_py()) if i + 1 in direct else gather(self.flat, self.start[a := at[borders[i] : borders[i + 1]]], self.length[a]) for i in range(len(texts))]
+        borders -= borders[0]
+        coded = parts.flatten().dictionary_encode()
+        del cut, parts
+        known, codes = self._places(coded.dictionary.to_pylist()), coded.indices.to_numpy()
+        starts, lengths = self.start[known][codes], self.length[known][codes]
+        unsure = self._unsure(known, codes, borders, texts)
+        if unsure:
+            arrays = [self.whole(texts[i].as_py()) if i in unsure else gather(self.flat, starts[a:b], lengths[a:b]) for i, (a, b) in enumerate(zip(borders.tolist(), borders[1:].tolist(), strict=False))]
             return np.concatenate(arrays), np.fromiter(map(len, arrays), np.int64, len(arrays))
-        sums = np.append(0, np.cumsum(lengths))
-        return gather(self.flat, self.start[at], lengths), np.diff(sums[borders])
+        return gather(self.flat, starts, lengths), np.diff(np.append(0, np.cumsum(lengths, dtype=np.int64))[borders])
+
+
+def give_back() -> None:
+    """Returns freed memory to the system, so that idle workers hold little of it."""
+    pa.default_memory_pool().release_unused()
+    if _LIBC is not None:
+        _LIBC.malloc_trim(0)
 
 
 def gather(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """flat[starts[0] : starts[0] + lengths[0]], then that of 1, and so on, as one array."""
-    total = int(lengths.sum())
+    total = int(lengths.sum(dtype=np.int64))
     if not total:
         return flat[:0]
     kind = np.int32 if max(total, len(flat)) < 2**31 else np.int64
-    steps = (starts - (np.cumsum(lengths) - lengths)).astype(kind)
+    steps = (starts - (np.cumsum(lengths, dtype=kind) - lengths)).astype(kind)
     where = np.repeat(steps, lengths)
     where += np.arange(total, dtype=kind)
     return flat[where]
@@ -147,12 +217,16 @@ def with_end(ids: np.ndarray, lengths: np.ndarray, end: int) -> tuple[np.ndarray
     return out, after
 
 
+try:
+    _LIBC = ctypes.CDLL("libc.so.6")
+except OSError:  # another C library
+    _LIBC = None
+
 _READY: dict[tuple[str, str], ChunkedTokenizer] = {}
 
 
 def worker_tokenizer(file: str, kind: str) -> ChunkedTokenizer:
     """This worker's tokenizer, kept with its cache for later tasks. kind: byte_level or spaceless."""
     if (file, kind) not in _READY:
-        ways = {"byte_level": (" \n", byte_level_source), "spaceless": (" ", spaceless_source)}
-        _READY[file, kind] = ChunkedTokenizer(file, *ways[kind])
+        _READY[file, kind] = ChunkedTokenizer(file, KINDS[kind])
     return _READY[file, kind]
