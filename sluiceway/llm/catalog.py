@@ -11,6 +11,7 @@ from sluiceway.llm.common import documents
 from sluiceway.llm.exact_dedup import exact_dedup
 from sluiceway.llm.jaccard_join import jaccard_components
 from sluiceway.llm.language_id import identify_languages
+from sluiceway.llm.lm_scoring import score_texts
 from sluiceway.llm.media import media_columns
 from sluiceway.llm.mixing import mix
 from sluiceway.llm.packing import pack
@@ -46,12 +47,16 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_languages(documents(spark, sf_dir))
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(documents(spark, sf_dir))
+
+
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(documents(spark, sf_dir), k=4, num=85, den=100)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sharding, op3_token_files, op4_media, op5_packing, op6_exact_dedup, op7_mixing, op8_language_id, op10_jaccard_join)}
+    return {f.__name__: f for f in (op1_sharding, op3_token_files, op4_media, op5_packing, op6_exact_dedup, op7_mixing, op8_language_id, op9_lm_scoring, op10_jaccard_join)}
 
 
 def oracle_sql() -> dict[str, str]:
