@@ -1,19 +1,354 @@
-"""The registered queries of the intake engine and their SQL equivalents."""
+"""The registered queries of the intake engine and their SQL equivalents.
+
+The events table stands for a stream of notifications: see `notifications`.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from sluiceway.functions.globs import matches_glob
+from sluiceway.functions.notifications import created_files, notification_body, parse
+from sluiceway.operators import admission, validate
+from sluiceway.sources.filelog import FileLog
+from sluiceway.sources.files import scratch
+from sluiceway.sources.options import Options
+from sluiceway.sources.queue import DirectoryQueue, notification
+from sluiceway.sources.reader import read_files
+from sluiceway.streaming.intake import Intake
+
+BUCKET = "bucket"
+DAY_MS = 86_400_000
+BATCH = 100
+GLOB = "*/user_id=1*/*"
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def millis(ts: Column) -> Column:
+    """Epoch milliseconds of a timestamp without a zone."""
+    return F.floor(F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts) / 1000).cast("long")
+
+
+def notifications(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """event_id, event_name, obj_key, event_ms, trigger_id and ts of every event."""
+    e = table(spark, sf_dir, "events")
+    return e.select(
+        "event_id",
+        F.when(F.col("event_type") == "error", "ObjectRemoved:Delete").otherwise("ObjectCreated:Put").alias("event_name"),
+        F.concat("event_type", F.lit("/user_id="), F.col("user_id").cast("string"), F.lit("/f"), (F.col("event_id") % 5).cast("string"), F.lit(".csv")).alias("obj_key"),
+        millis(F.col("ts")).alias("event_ms"),
+        F.floor(F.col("event_id") / 500).cast("long").alias("trigger_id"),
+        "ts",
+    )
+
+
+def bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = notifications(spark, sf_dir)
+    at = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+    return n.select("event_id", notification_body(F.lit(BUCKET), F.col("obj_key"), F.col("event_name"), at).alias("body"))
+
+
+def created(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = notifications(spark, sf_dir).filter(F.contains("event_name", F.lit("ObjectCreated")))
+    return n.select("event_id", F.col("obj_key").alias("path"), "event_ms", "trigger_id")
+
+
+def first_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return admission.first_by_path(created(spark, sf_dir), "event_ms", "event_id")
+
+
+def logged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log that these notifications leave: batch_id, path, event_ms."""
+    return admission.into_batches(first_files(spark, sf_dir), BATCH, "event_ms", "event_id").select("batch_id", "path", "event_ms")
+
+
+# Notifications and verdicts.
+
+
+def parse_notifications(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return created_files(bodies(spark, sf_dir)).select("event_id", "path", "event_ms")
+
+
+def discard_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parse(bodies(spark, sf_dir)).groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
+
+
+def glob_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return created(spark, sf_dir).filter(matches_glob(F.col("path"), GLOB)).select("event_id", "path")
+
+
+def dedupe_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return first_files(spark, sf_dir).select("path", "event_ms", "event_id")
+
+
+def expiry_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events judged by the floor of earlier triggers, which are shuffled here so that some come late."""
+    n = notifications(spark, sf_dir).withColumn("trigger_id", F.col("event_id") % 20)
+    floors = admission.floors_by_trigger(n, DAY_MS)
+    return n.join(floors, "trigger_id").select("event_id", F.coalesce(F.col("event_ms") < F.col("floor_ms"), F.lit(False)).alias("expired"))
+
+
+def verdict_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The files of the last triggers against a log of the first batches and a cache of one trigger."""
+    files = created(spark, sf_dir)
+    last = files.agg(F.max("trigger_id").alias("last"))
+    files = files.join(F.broadcast(last))  # one row
+    late = files.filter(F.col("trigger_id") >= F.col("last") - 1).select("event_id", "path", "event_ms")
+    pending = admission.first_by_path(files.filter(F.col("trigger_id") == F.col("last") - 2).select("path", "event_ms", "event_id"), "event_ms", "event_id").select("path", (F.col("event_id") % 2 == 0).alias("processed"))
+    floor = files.filter(F.col("trigger_id") == F.col("last")).agg(F.min("event_ms")).first()[0] or 0
+    judged = validate.with_verdicts(late, pending, logged(spark, sf_dir).filter("batch_id < 20"), floor - DAY_MS, GLOB)
+    return judged.withColumn("action", validate.action(F.col("verdict"))).groupBy("verdict", "action").agg(F.count(F.lit(1)).alias("n"))
+
+
+# Admission.
+
+
+def batch_admission(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return admission.into_batches(first_files(spark, sf_dir), BATCH, "event_ms", "event_id").select("batch_id", "path", "event_ms", "event_id")
+
+
+def oldest_first_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return admission.oldest_first(logged(spark, sf_dir), 25)
+
+
+def unprocessed_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pending = logged(spark, sf_dir).withColumn("processed", F.col("batch_id") % 2 == 0)
+    return admission.unprocessed(pending).select("path", "event_ms")
+
+
+def delete_subbatches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return admission.acknowledgement_groups(logged(spark, sf_dir).filter("batch_id = 3"), "batch_id").select("path", "group")
+
+
+# The log.
+
+
+def log_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return logged(spark, sf_dir).filter("batch_id between 3 and 5")
+
+
+def _written(spark: SparkSession, sf_dir: str, batches: int) -> FileLog:
+    log = FileLog(spark, scratch(spark))
+    files = logged(spark, sf_dir).filter(F.col("batch_id") < batches).persist()
+    for i in range(batches):
+        log.add(i, files.filter(F.col("batch_id") == i), commit_ms=i)
+    files.unpersist()
+    return log
+
+
+def log_written_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, through a log on disk whose first batches are compacted."""
+    log = _written(spark, sf_dir, 7)
+    log.compact(4)
+    return log.range(3, 5).select("batch_id", "path", "event_ms")
+
+
+def log_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = logged(spark, sf_dir)
+    return files.join(F.broadcast(files.agg(F.max("batch_id").alias("batch_id"))), "batch_id").select("batch_id", "path", "event_ms")
+
+
+def log_written_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _written(spark, sf_dir, 3).latest()[1].select("batch_id", "path", "event_ms")
+
+
+def is_new_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = created(spark, sf_dir).filter("trigger_id = 19").select("path").distinct()
+    return validate.is_new_file(files, logged(spark, sf_dir).filter("batch_id < 5"))
+
+
+def log_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = logged(spark, sf_dir).withColumn("commit_ms", F.col("event_ms"))
+    latest = files.agg(F.max("event_ms")).first()[0] or 0
+    return admission.cleanable_batches(files, latest - 20 * DAY_MS)
+
+
+def reprocess_dry_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = logged(spark, sf_dir).filter("batch_id between 2 and 9")
+    return files.agg(F.countDistinct("batch_id").alias("batches"), F.count(F.lit(1)).alias("files"))
+
+
+# Sources and streams.
+
+
+def partition_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scratch(spark)
+    n = table(spark, sf_dir, "events").select("event_id", "event_type", (F.col("user_id") % 7).cast("int").alias("bucket_no"))
+    n.repartition(4, "event_type", "bucket_no").write.partitionBy("event_type", "bucket_no").csv(root)
+    return spark.read.schema("event_id long, event_type string, bucket_no int").option("basePath", root).csv(f"{root}/event_type=*/bucket_no=3")
+
+
+def _round_trip(file_format: str, name: str, **options: str) -> Callable[[SparkSession, str], DataFrame]:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root = scratch(spark)
+        df = table(spark, sf_dir, name)
+        df.write.format(file_format).options(**options).save(root)
+        return read_files(spark, [root], df.schema, file_format, options)[0]
+
+    query.__name__ = f"{file_format}_roundtrip"
+    return query
+
+
+csv_roundtrip = _round_trip("csv", "customer", header="true", sep="|")
+json_roundtrip = _round_trip("json", "customer")
+parquet_roundtrip = _round_trip("parquet", "customer")
+orc_roundtrip = _round_trip("orc", "customer")
+
+
+def csv_mismatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scratch(spark)
+    table(spark, sf_dir, "nation").select("n_name", "n_nationkey").write.csv(root)
+    return read_files(spark, [root], "n_name int, n_nationkey int", "csv")[0]
+
+
+def csv_drop_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scratch(spark)
+    n = table(spark, sf_dir, "nation")
+    n.select(F.when(F.col("n_nationkey") % 2 == 0, F.col("n_name")).otherwise(F.col("n_nationkey").cast("string")).alias("a"), "n_nationkey").write.csv(root)
+    return read_files(spark, [root], "a int, n_nationkey int", "csv", {"mode": "DROPMALFORMED"})[0].select("a", "n_nationkey")
+
+
+def parquet_mismatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scratch(spark)
+    table(spark, sf_dir, "nation").select("n_name", "n_nationkey").write.parquet(root)
+    return read_files(spark, [root], "unknown int, n_name string", "parquet")[0]
+
+
+def _events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.readStream.schema(table(spark, sf_dir, "events").schema).parquet(f"{sf_dir}/events.parquet*")
+
+
+def _run_stream(stream: DataFrame) -> DataFrame:
+    out = scratch(stream.sparkSession)
+    stream.writeStream.format("parquet").option("path", f"{out}/rows").option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return stream.sparkSession.read.schema(stream.schema).parquet(f"{out}/rows")
+
+
+def stream_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _run_stream(_events_stream(spark, sf_dir).select("event_id", "event_type", "value"))
+
+
+def select_where(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _run_stream(_events_stream(spark, sf_dir).select("event_id", "event_type").where("event_type = 'error'"))
+
+
+def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _run_stream(_events_stream(spark, sf_dir).select("event_id", "event_type", "user_id"))
+    return rows.groupBy("event_type", "user_id").agg(F.min("event_id").alias("event_id"))
+
+
+INTAKE_FILES = 6
+
+
+def intake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of orders, announced twice in a queue, through spool, verdicts, log and native reads."""
+    root = scratch(spark).removeprefix("file:")
+    while root.startswith("//"):
+        root = root[1:]
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", F.pmod("o_orderkey", F.lit(INTAKE_FILES)).cast("int").alias("part"))
+    schema = "o_orderkey long, o_custkey long, o_orderstatus string, part int"
+    orders.repartition(INTAKE_FILES, "part").write.partitionBy("part").csv(f"{root}/data")
+    queue = DirectoryQueue(f"{root}/queue")
+    landed = [r.path for r in spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{root}/data").select("path").collect()]
+    for _ in range(2):
+        for i, path in enumerate(sorted(landed)):
+            queue.send(notification("data", path.partition("/data/")[2].replace("=", "%3D"), f"2024-01-0{i % 9 + 1}T00:00:00.000Z"))
+    options = Options.parse({"sluiceway.fileFormat": "csv", "sluiceway.queueUrl": f"{root}/queue", "sluiceway.queueRegion": "local", "sluiceway.maxFilesPerTrigger": "5", "sluiceway.queue.longPollingWaitTimeSeconds": "0", "sluiceway.queue.maxConcurrency": "2", "sluiceway.partitionColumns": "part", "basePath": f"{root}/data"})
+    run = _LocalIntake(spark, options, schema, f"{root}/checkpoint", f"{root}/data")
+    try:
+        for _ in range(4):
+            run.spooler.run_once()
+        query = run.start(lambda rows, batch: rows.write.mode("overwrite").parquet(f"{root}/out/batch={batch}"))
+        query.awaitTermination()
+    finally:
+        run.close()
+    return spark.read.schema(schema).option("basePath", f"{root}/out").parquet(f"{root}/out/batch=*").drop("batch")
+
+
+class _LocalIntake(Intake):
+    """An intake whose bucket `data` is a local folder."""
+
+    def __init__(self, spark: SparkSession, options: Options, schema: str, checkpoint: str, data: str) -> None:
+        super().__init__(spark, options, schema, checkpoint)
+        self.data = data
+
+    def admit(self, messages: DataFrame, batch_id: int) -> DataFrame:
+        return super().admit(messages, batch_id).withColumn("path", F.regexp_replace("path", "^s3://data/", f"{self.data}/"))
 
 
 def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet").groupBy("event_type").count()
+    return intake(spark, sf_dir)
+
+
+_N = """n AS (SELECT event_id, CASE WHEN event_type = 'error' THEN 'ObjectRemoved:Delete' ELSE 'ObjectCreated:Put' END AS event_name,
+  event_type || '/user_id=' || user_id || '/f' || (event_id % 5) || '.csv' AS path, epoch_us(ts) // 1000 AS event_ms, event_id // 500 AS trigger_id FROM events),
+c AS (SELECT * FROM n WHERE contains(event_name, 'ObjectCreated')),
+f AS (SELECT path, event_ms, event_id FROM c QUALIFY row_number() OVER (PARTITION BY path ORDER BY event_ms, event_id) = 1),
+l AS (SELECT CAST(floor((row_number() OVER (ORDER BY event_ms, event_id) - 1) / 100) AS BIGINT) AS batch_id, path, event_ms, event_id FROM f)"""
+
+
+def _sql(rest: str, *more: str) -> str:
+    return f"WITH {', '.join([_N, *more])} {rest}"
+
+
+_GLOB_SQL = r"regexp_full_match(path, '.*/user_id=1.*/.*')"
+
+_ORACLES = {
+    parse_notifications: _sql("SELECT event_id, 's3://bucket/' || path AS path, event_ms FROM c"),
+    discard_counts: _sql("SELECT CASE WHEN contains(event_name, 'ObjectCreated') THEN 'created' ELSE 'discarded' END AS outcome, count(*) AS n FROM n GROUP BY 1"),
+    glob_filter: _sql(f"SELECT event_id, path FROM c WHERE {_GLOB_SQL}"),
+    dedupe_first: _sql("SELECT path, event_ms, event_id FROM f"),
+    expiry_verdict: _sql(
+        "SELECT event_id, coalesce(event_ms < floor_ms, false) AS expired FROM t JOIN p USING (trigger_id)",
+        "t AS (SELECT event_id, event_ms, event_id % 20 AS trigger_id FROM n)",
+        "g AS (SELECT trigger_id, max(event_ms) AS latest FROM t GROUP BY 1)",
+        "p AS (SELECT trigger_id, max(latest) OVER (ORDER BY trigger_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 86400000 AS floor_ms FROM g)",
+    ),
+    verdict_counts: _sql(
+        f"""SELECT verdict, CASE verdict WHEN 'Ok' THEN 'admit' WHEN 'ExistInCacheNotProcessed' THEN 'retry' ELSE 'drop' END AS action, count(*) AS n FROM (
+          SELECT CASE WHEN NOT {_GLOB_SQL} THEN 'PatternNotMatch' WHEN event_ms < floor_ms THEN 'FileExpired' WHEN processed THEN 'ExistInCacheProcessed'
+            WHEN NOT processed THEN 'ExistInCacheNotProcessed' WHEN logged_ms >= floor_ms THEN 'PersistedInMetadataLog' ELSE 'Ok' END AS verdict
+          FROM (SELECT * FROM c, x WHERE trigger_id >= last - 1) LEFT JOIN p USING (path) LEFT JOIN g USING (path)) GROUP BY 1, 2""",
+        "m AS (SELECT max(trigger_id) AS last FROM c)",
+        "x AS (SELECT last, (SELECT min(event_ms) FROM c, m WHERE trigger_id = last) - 86400000 AS floor_ms FROM m)",
+        "p AS (SELECT path, event_id % 2 = 0 AS processed FROM c, m WHERE trigger_id = last - 2 QUALIFY row_number() OVER (PARTITION BY path ORDER BY event_ms, event_id) = 1)",
+        "g AS (SELECT path, max(event_ms) AS logged_ms FROM l, x WHERE batch_id < 20 AND event_ms >= floor_ms GROUP BY 1)",
+    ),
+    batch_admission: _sql("SELECT batch_id, path, event_ms, event_id FROM l"),
+    oldest_first_topk: _sql("SELECT batch_id, path, event_ms FROM l ORDER BY event_ms, path LIMIT 25"),
+    unprocessed_pending: _sql("SELECT path, event_ms FROM l WHERE batch_id % 2 <> 0"),
+    delete_subbatches: _sql('SELECT path, CAST(floor((row_number() OVER (ORDER BY path) - 1) / 10) AS BIGINT) AS "group" FROM l WHERE batch_id = 3'),
+    log_range: _sql("SELECT batch_id, path, event_ms FROM l WHERE batch_id BETWEEN 3 AND 5"),
+    log_written_range: _sql("SELECT batch_id, path, event_ms FROM l WHERE batch_id BETWEEN 3 AND 5"),
+    log_latest: _sql("SELECT batch_id, path, event_ms FROM l WHERE batch_id = (SELECT max(batch_id) FROM l)"),
+    log_written_latest: _sql("SELECT batch_id, path, event_ms FROM l WHERE batch_id = 2"),
+    is_new_file: _sql("SELECT DISTINCT path FROM c WHERE trigger_id = 19 AND NOT EXISTS (SELECT 1 FROM l WHERE l.path = c.path AND batch_id < 5)"),
+    log_clean: _sql("SELECT batch_id FROM l GROUP BY 1 HAVING max(event_ms) < (SELECT max(event_ms) FROM l) - 20 * 86400000"),
+    reprocess_dry_run: _sql("SELECT count(DISTINCT batch_id) AS batches, count(*) AS files FROM l WHERE batch_id BETWEEN 2 AND 9"),
+    partition_columns: "SELECT event_id, event_type, CAST(user_id % 7 AS INT) AS bucket_no FROM events WHERE user_id % 7 = 3",
+    csv_roundtrip: "SELECT * FROM customer",
+    json_roundtrip: "SELECT * FROM customer",
+    parquet_roundtrip: "SELECT * FROM customer",
+    orc_roundtrip: "SELECT * FROM customer",
+    csv_mismatch: "SELECT CAST(NULL AS INT) AS n_name, n_nationkey FROM nation",
+    csv_drop_malformed: "SELECT n_nationkey AS a, n_nationkey FROM nation WHERE n_nationkey % 2 <> 0",
+    parquet_mismatch: "SELECT CAST(NULL AS INT) AS unknown, n_name FROM nation",
+    stream_append: "SELECT event_id, event_type, value FROM events",
+    select_where: "SELECT event_id, event_type FROM events WHERE event_type = 'error'",
+    stream_dedupe: "SELECT event_type, user_id, min(event_id) AS event_id FROM events GROUP BY 1, 2",
+    intake: "SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_orderkey % 6 AS INT) AS part FROM orders",
+}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return {f.__name__: f for f in _ORACLES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {f.__name__: q for f, q in _ORACLES.items()}
