@@ -36,11 +36,11 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup(documents(spark, sf_dir))
+    return exact_dedup(documents(spark, sf_dir)).drop("text_crc32")
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix(documents(spark, sf_dir))
+    return mix(documents(spark, sf_dir)).drop("text_crc32")
 
 
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,7 +52,7 @@ def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_components(documents(spark, sf_dir), k=4, num=85, den=100)
+    return jaccard_components(documents(spark, sf_dir), k=4, num=85, den=100).drop("text_crc32", "kept")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -12,6 +10,8 @@ import pyarrow.compute
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sluiceway.sources.files import scratch
+
 #: The characters that count as white space in every contract of this package.
 SPACES = " \t\n\x0b\x0c\r"
 #: Text bytes that a Python worker handles at once; one longer text is handled alone.
@@ -22,23 +22,6 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def scratch(spark: SparkSession) -> str:
-    """A new path in the folder that driver and executors share (spark.checkpoint.dir).
-
-    Only a session whose executors are the driver's own threads may lack the setting:
-    it then gets a temporary folder. A cluster without the setting is refused, since a
-    folder of one machine would lose data there.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        master = spark.sparkContext.master
-        if not master.startswith("local") or master.startswith("local-cluster"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="sluiceway-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/sluiceway-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
-
-
 def materialize(df: DataFrame, codec: str = "zstd") -> DataFrame:
     """Writes df to the shared folder and reads it back: lineage is cut, executors may be lost."""
     path = scratch(df.sparkSession)
@@ -78,3 +61,27 @@ def one_thread() -> None:
     """A Python worker has one core: libraries that would start threads are kept from it."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     os.environ["RAYON_NUM_THREADS"] = "1"
+
+
+ROW_ID, ROW_CRC, ROW_TIMES = "__sluiceway_id", "__sluiceway_crc", "__sluiceway_times"
+
+
+def row_crc(text_col: str = "text") -> Column:
+    """Tells rows with one id but other texts apart."""
+    return F.crc32(F.coalesce(F.col(text_col), F.lit("")))
+
+
+def pick_rows(docs: DataFrame, chosen: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of docs that `chosen` names by id and text_crc32 (of the text), `copies` times, or once without that column.
+
+    All columns of docs are kept, whatever their names. Rows repeated in docs have one name;
+    such a row is picked as often as all of `chosen` together says.
+    """
+    times = F.sum("copies") if "copies" in chosen.columns else F.lit(1)
+    chosen = chosen.groupBy(F.col(id_col).alias(ROW_ID), F.col("text_crc32").alias(f"{ROW_CRC}_")).agg(times.cast("int").alias(ROW_TIMES)).filter(F.col(ROW_TIMES) > 0)
+    rows = docs.withColumn(ROW_CRC, row_crc(text_col))
+    if not rows.groupBy(id_col, ROW_CRC).agg(F.count(F.lit(1)).alias(ROW_TIMES)).filter(F.col(ROW_TIMES) > 1).isEmpty():
+        rows = rows.dropDuplicates([id_col, ROW_CRC])
+    named = F.col(id_col).eqNullSafe(F.col(ROW_ID)) & (F.col(ROW_CRC) == F.col(f"{ROW_CRC}_"))
+    out = rows.join(chosen, named).withColumn(ROW_TIMES, F.explode(F.sequence(F.lit(1), F.col(ROW_TIMES))))
+    return out.select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -218,3 +218,17 @@ def identify_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     held_out = fold(id_col, parts) == held
     model = learn_model(docs.filter(~held_out), per_language, text_col, lang_col, F.col(id_col))
     return predict(docs, model, id_col, text_col, held_out)
+
+
+def keep_identified(docs: DataFrame, least_score: float = 0.5, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", parts: int = 4, held: int = 2, per_language: int = 1000) -> DataFrame:
+    """The rows of docs with a language of at least this score, with all their columns; the model is as in identify_languages."""
+    model = learn_model(docs.filter(fold(id_col, parts) != held), per_language, text_col, lang_col, F.col(id_col))
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    place = docs.columns.index(text_col)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in blocks(batches, text_col, BLOCK):
+            names, scores = shared.value.predict(batch.column(place).to_pylist())
+            yield batch.filter(pa.array([n != UNKNOWN and s >= least_score for n, s in zip(names, scores, strict=True)], pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)

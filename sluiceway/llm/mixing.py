@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from sluiceway.llm.common import materialize
+from sluiceway.llm.common import materialize, pick_rows, row_crc
 
 KEY_HEX = 15
 
@@ -48,7 +48,7 @@ def source_targets(rows: DataFrame, weights: tuple[int, ...], most: int) -> Data
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = (1, 2, 3), most: int = 3, ranges: int = 1024, seed: int = 0) -> DataFrame:
-    """One row per input row: id, size (words), source_size, target (its source's), taken.
+    """One row per input row: id, size (words), source_size, target (its source's), taken, text_crc32.
 
     Sources by code point, null last as a source of its own, have the weights in turn. A
     source's taken words are its target rounded down. A null text has size 0 and is taken
@@ -66,7 +66,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
             F.coalesce(F.concat(F.lit("="), F.col(source_col).cast("string")), F.lit("")).alias("skey"),
             n_words(F.col(text_col)).alias("size"),
             key.alias("key"),
-            F.crc32(F.coalesce(F.col(text_col), F.lit(""))).alias("crc"),
+            row_crc(text_col).alias("crc"),
         )
     ).withColumn("range", F.shiftright("key", 4 * KEY_HEX - (ranges.bit_length() - 1)))
     sums = rows.groupBy("skey", "range").agg(F.sum("size").alias("held"))
@@ -78,4 +78,14 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     epochs = F.when(F.col("source_size") > 0, F.floor(budget / F.greatest("source_size", F.lit(1)))).otherwise(0)
     rows = rows.withColumn("epochs", epochs.cast("long")).withColumn("left", budget - F.col("epochs") * F.col("source_size"))
     extra = F.greatest(F.lit(0), F.least(F.col("size"), F.col("left") - (F.col("offset") + F.col("upto"))))
-    return rows.select(F.col("doc_id").alias(id_col), "size", "source_size", "target", (F.col("epochs") * F.col("size") + extra).cast("long").alias("taken"))
+    return rows.select(F.col("doc_id").alias(id_col), "size", "source_size", "target", (F.col("epochs") * F.col("size") + extra).cast("long").alias("taken"), F.col("crc").alias("text_crc32"))
+
+
+def draw(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
+    """The mix as rows of docs, with all their columns: a row for each time that one is taken.
+
+    Texts are not divided here: the last part of a row's taken words counts if it is half of
+    the text or more, so a source misses its target by less than one text.
+    """
+    taken = mix(docs, id_col, text_col, source_col, **options).filter("size > 0")
+    return pick_rows(docs, taken.withColumn("copies", F.floor(F.col("taken") / F.col("size") + 0.5)), id_col, text_col)
