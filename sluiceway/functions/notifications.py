@@ -49,7 +49,9 @@ def parse(messages: DataFrame, body_col: str = "body", first_record_only: bool =
     rows = rows.withColumns({"path": path, "event_ms": time})
     valid = F.col("path").isNotNull() & F.col("event_ms").isNotNull()
     outcome = F.when(r["eventName"].isNull(), UNPARSEABLE).when(~created, DISCARDED).when(valid, CREATED_FILE).otherwise(UNPARSEABLE)
-    return rows.withColumn("outcome", outcome).drop("record")
+    rows = rows.withColumn("outcome", outcome).drop("record")
+    announced = F.col("outcome") == CREATED_FILE
+    return rows.withColumns({"path": F.when(announced, F.col("path")), "event_ms": F.when(announced, F.col("event_ms"))})
 
 
 def created_files(messages: DataFrame, body_col: str = "body", first_record_only: bool = False) -> DataFrame:

@@ -48,6 +48,21 @@ class Folder:
             raise OSError(f"{self.at(name)} can't be created") from e
         return True
 
+    def write_new(self, name: str, text: str) -> bool:
+        """Writes a file aside and moves it into place unless it is there; whether it did."""
+        if self.exists(name):
+            return False
+        aside = f"{name.rpartition('/')[0]}/.{uuid.uuid4().hex}".lstrip("/")
+        out = self._fs.create(self._path(aside), True)
+        try:
+            out.write(bytearray(text.encode()))
+        finally:
+            out.close()
+        if self._fs.rename(self._path(aside), self._path(name)):
+            return True
+        self.delete(aside)
+        return False
+
 
 def existing(spark: SparkSession, paths: list[str]) -> list[str]:
     """The paths that are there; a driver-side check for a batch's bounded list."""

@@ -9,10 +9,9 @@ idempotent sink every file counts once.
 
 from __future__ import annotations
 
-import os
+import hashlib
 import threading
 from collections.abc import Callable
-from pathlib import Path
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +24,7 @@ from sluiceway.operators.admission import first_by_path
 from sluiceway.operators.validate import OK, with_verdicts
 from sluiceway.sources.client import AnnouncedFile, QueueClient
 from sluiceway.sources.filelog import FileLog
+from sluiceway.sources.files import Folder
 from sluiceway.sources.options import LogAddError, NoSchemaError, Options
 from sluiceway.sources.queue import MessageQueue, open_queue
 from sluiceway.sources.reader import read_with
@@ -40,19 +40,15 @@ class Spooler:
     A message that comes again gets the same name, so it is not read twice.
     """
 
-    def __init__(self, queue: MessageQueue, options: Options, folder: str, metrics: Metrics | None = None) -> None:
-        self.folder = Path(folder.removeprefix("file://"))
-        self.folder.mkdir(parents=True, exist_ok=True)
+    def __init__(self, spark: SparkSession, queue: MessageQueue, options: Options, folder: str, metrics: Metrics | None = None) -> None:
+        self.folder = Folder(spark, folder)
+        self.folder.make("")
         self._lock, self._receipts = threading.Lock(), []
         self.client = QueueClient(queue, options, self._put, metrics)
 
     def _put(self, file: AnnouncedFile) -> None:
-        name = f"{file.name}.json" if file.name else f"{abs(hash((file.path, file.event_ms)))}.json"
-        target = self.folder / name.replace("/", "_")
-        if not target.exists():
-            temporary = self.folder / f".{target.name}.tmp"
-            temporary.write_text(file.body)
-            os.replace(temporary, target)
+        name = file.name or hashlib.sha256(file.body.encode()).hexdigest()
+        self.folder.write_new(f"{name.removesuffix('.json').replace('/', '_')}.json", file.body)
         with self._lock:
             if file.receipt:
                 self._receipts.append(file.receipt)
@@ -82,7 +78,7 @@ class Intake:
         self.metrics, self.missing, self.batches = Metrics(), 0, 0
         self.log = FileLog(spark, f"{self.checkpoint}/filelog")
         self.spool = f"{self.checkpoint}/spool"
-        self.spooler = Spooler(open_queue(options, client), options, self.spool, self.metrics)
+        self.spooler = Spooler(spark, open_queue(options, client), options, self.spool, self.metrics)
         self.listener = MetricsListener(self.metrics)
 
     def __repr__(self) -> str:
