@@ -11,6 +11,7 @@ from sluiceway.llm.common import documents
 from sluiceway.llm.exact_dedup import exact_dedup
 from sluiceway.llm.jaccard_join import jaccard_components
 from sluiceway.llm.language_id import identify_languages
+from sluiceway.llm.line_dedup import drop_boilerplate
 from sluiceway.llm.lm_scoring import score_texts
 from sluiceway.llm.media import media_columns
 from sluiceway.llm.mixing import mix
@@ -23,6 +24,10 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(documents(spark, sf_dir), 24)
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drop_boilerplate(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(documents(spark, sf_dir))
 
@@ -56,8 +61,8 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sharding, op3_token_files, op4_media, op5_packing, op6_exact_dedup, op7_mixing, op8_language_id, op9_lm_scoring, op10_jaccard_join)}
+    return {f.__name__: f for f in (op1_sharding, op2_line_dedup, op3_token_files, op4_media, op5_packing, op6_exact_dedup, op7_mixing, op8_language_id, op9_lm_scoring, op10_jaccard_join)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_exact_dedup": sql.EXACT_DEDUP, "op7_mixing": sql.MIXING}
+    return {"op2_line_dedup": sql.LINE_DEDUP, "op6_exact_dedup": sql.EXACT_DEDUP, "op7_mixing": sql.MIXING}

@@ -21,3 +21,17 @@ m AS (SELECT doc_id, size, t.source_size, target, sum(size) OVER (PARTITION BY d
 e AS (SELECT *, CASE WHEN source_size > 0 THEN budget // source_size ELSE 0 END AS epochs FROM m)
 SELECT doc_id, size, source_size, target, (epochs * size + greatest(0, least(size, budget - epochs * source_size - upto)))::BIGINT AS taken FROM e
 """
+
+LINE_DEDUP = r"""
+WITH t AS (SELECT page_id, lower(regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)', 1)) AS host,
+  regexp_replace(regexp_replace(regexp_replace(coalesce(html, ''), '(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->', '', 'g'),
+    '(?i)</?(?:p|div|br|hr|li|ul|ol|dl|dt|dd|h[1-6]|tr|td|th|table|article|section|nav|header|footer|title|body|head|html|blockquote|pre|aside|main|form)(?:[\s/][^>]*)?>', chr(10), 'g'), '<[^>]*>', '', 'g') AS plain FROM pages),
+l AS (SELECT page_id, host, list_filter(list_transform(string_split(plain, chr(10)), lambda x: trim(x, ' ' || chr(9) || chr(13) || chr(11) || chr(12))), lambda x: x <> '') AS lines FROM t),
+e AS (SELECT page_id, host, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM l),
+h AS (SELECT host, count(*) AS total FROM l GROUP BY 1),
+c AS (SELECT host, line, count(DISTINCT page_id) AS pages FROM e GROUP BY 1, 2),
+b AS (SELECT host, line FROM c JOIN h USING (host) WHERE pages >= 3 AND pages > 0.2::DOUBLE * total),
+m AS (SELECT page_id, pos, e.line, b.line IS NOT NULL AS dropped FROM e LEFT JOIN b ON e.host = b.host AND e.line = b.line),
+g AS (SELECT page_id, count(*) FILTER (WHERE dropped) AS n_dropped, coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), '') AS text FROM m GROUP BY 1)
+SELECT page_id, host, len(lines)::BIGINT AS n_lines, coalesce(n_dropped, 0)::BIGINT AS n_dropped, coalesce(text, '') AS text FROM l LEFT JOIN g USING (page_id)
+"""
