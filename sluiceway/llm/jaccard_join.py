@@ -7,7 +7,7 @@
    n - ceil(n * threshold) + 1 of the order. Shingles of one set only are left out, and with
    them most sets: only sets with a shared shingle in their prefix are kept.
 3. Sets are verified in prefix trees, in units of bounded size. First each set is joined
-   with one other of its prefix groups (the one with the least id), twice, which connects
+   with a center of its prefix groups, the least edited set, in a few rounds, which connects
    groups of near copies without comparing all their pairs. Then the groups that still have
    unconnected sets are joined fully, large ones in pairs of blocks. Pairs that are
    connected already are passed over, so components are exact although not all links are
@@ -19,6 +19,7 @@ A set's id is the first 64 bits of its digest: sets with equal ids count as equa
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,13 +28,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluiceway.llm.common import materialize, scratch
+from sluiceway.llm.common import materialize, pick_rows, scratch
 from sluiceway.llm.components import components
 from sluiceway.llm.corpus_blocks import block_texts, by_shard, pack, shard_bits, shingle_sets, unpack, write_blocks
 from sluiceway.llm.prefix_tree import connecting_links, links_with
 
 #: Sets in a unit of the join, about.
-UNIT = 128
+UNIT = 256
+#: Groups of more sets take part in the later rounds of centers, with so many centers each.
+LARGE, CENTERS = 16, 6
 #: Levels up to this one are exact counts of sets, later ones eighths of a doubling.
 EXACT = 127
 
@@ -97,9 +100,10 @@ def shingle_levels(table: DataFrame, k: int, bits: int) -> DataFrame:
     return table.select("block", "sizes", "text").mapInArrow(ask, REQUESTS).groupBy("shard").applyInPandas(answer, RESPONSES)
 
 
-#: kind 0: a document; kind 1: a shared token in a set's prefix; kind 2: a set that has one,
-#: its shared tokens in `data` (64 bits each, then a level each).
-FOUND = "kind int, doc_id long, id long, n int, token long, data binary"
+#: kind 0: a document; kind 1: a shared token in a set's prefix, n is how common the set's
+#: tokens are; kind 2: a set that has one, its shared tokens in `data` (64 bits each, then a
+#: level each).
+FOUND = "kind int, doc_id long, id long, n int, token long, data binary"  # token of a document: its text's crc32
 _FOUND = pa.schema([("kind", pa.int32()), ("doc_id", pa.int64()), ("id", pa.int64()), ("n", pa.int32()), ("token", pa.int64()), ("data", pa.binary())])
 
 
@@ -109,12 +113,13 @@ def prefixes(table: DataFrame, levels: DataFrame, k: int, bits: int, num: int, d
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                ids, sets = _distinct_sets(block_texts(row), k)
+                texts = block_texts(row)
+                ids, sets = _distinct_sets(texts, k)
                 keys, _ = _keys(sets, bits)
                 level = np.concatenate([np.zeros(0, np.uint8)] + [unpack(x["levels"], "u1") for x in sorted(row["parts"] or (), key=lambda x: x["shard"])])
-                docs = pa.RecordBatch.from_arrays([pa.array(np.zeros(len(ids), np.int32)), pa.array(row["doc_ids"], pa.int64()), pa.array(ids, pa.int64()), pa.array([len(sets[i]) for i in ids], pa.int32()), pa.nulls(len(ids), pa.int64()), pa.nulls(len(ids), pa.binary())], schema=_FOUND)
+                docs = pa.RecordBatch.from_arrays([pa.array(np.zeros(len(ids), np.int32)), pa.array(row["doc_ids"], pa.int64()), pa.array(ids, pa.int64()), pa.array([len(sets[i]) for i in ids], pa.int32()), pa.array(list(map(zlib.crc32, texts)), pa.int64()), pa.nulls(len(ids), pa.binary())], schema=_FOUND)
                 yield docs
-                tokens, owners, sizes, kept = [], [], [], []
+                tokens, owners, commons, kept = [], [], [], []
                 for i, s in sets.items():
                     own = level[np.searchsorted(keys, s >> np.uint64(32 - bits) << np.uint64(32 - bits))]
                     shared = np.flatnonzero(own > 1)
@@ -124,10 +129,11 @@ def prefixes(table: DataFrame, levels: DataFrame, k: int, bits: int, num: int, d
                     shared = shared[np.lexsort((s[shared], own[shared]))]
                     tokens.append(s[shared[:first]].view(np.int64))
                     owners.append(np.full(len(tokens[-1]), i, np.int64))
+                    commons.append(np.full(len(tokens[-1]), int(own.mean() * 1000), np.int32))
                     kept.append((i, len(s), s[shared].tobytes() + own[shared].tobytes()))
                 if kept:
-                    t, o = np.concatenate(tokens), np.concatenate(owners)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(t), np.int32)), pa.nulls(len(t), pa.int64()), pa.array(o), pa.nulls(len(t), pa.int32()), pa.array(t), pa.nulls(len(t), pa.binary())], schema=_FOUND)
+                    t, o, common = np.concatenate(tokens), np.concatenate(owners), np.concatenate(commons)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(t), np.int32)), pa.nulls(len(t), pa.int64()), pa.array(o), pa.array(common), pa.array(t), pa.nulls(len(t), pa.binary())], schema=_FOUND)
                     n = len(kept)
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(n, 2, np.int32)), pa.nulls(n, pa.int64()), pa.array([x[0] for x in kept], pa.int64()), pa.array([x[1] for x in kept], pa.int32()), pa.nulls(n, pa.int64()), pa.array([x[2] for x in kept], pa.binary())], schema=_FOUND)
 
@@ -164,18 +170,41 @@ def star_links(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFra
     return dealt.unionByName(centers).join(sets, "id").groupBy("m", "chunk").applyInPandas(verify, LINKS)
 
 
+def center_pairs(groups: DataFrame, classes: int = 1, seed: int = 0) -> DataFrame:
+    """(id, m): each set with the centers of its groups, one in each hash class, that aren't in its component.
+
+    A center is the set of its class whose tokens are the most common: of near copies, the
+    least edited one, which links with most of the others. A set gets one center of a class,
+    whatever the number of its groups.
+    """
+    dealt = groups.withColumn("class", F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(classes)))
+    top = dealt.groupBy("token", "class").agg(F.max("common").alias("top"))
+    centers = dealt.join(top, ["token", "class"]).filter("common = top").groupBy("token", "class").agg(F.min(F.struct("id", "root")).alias("c"))
+    pairs = groups.join(centers, "token").filter(F.col("root") != F.col("c.root"))
+    return pairs.groupBy("id", "class").agg(F.min("c.id").alias("m")).select("id", "m").distinct()
+
+
 def rest_links(groups: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Links between sets of one token that aren't connected yet. groups: (token, id, root)."""
-    split = materialize(groups.groupBy("token").agg(F.count(F.lit(1)).alias("held"), F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi"))
+    """Links between sets of one token that aren't connected yet. groups: (token, id, root).
+
+    A small group is a unit, and groups of the same sets are one. Of a large group, the sets
+    outside its largest component ask, UNIT at a time, all of the group, UNIT at a time.
+    """
+    parts = materialize(groups.groupBy("token", "root").agg(F.count(F.lit(1)).alias("n")))
+    main = F.max(F.struct("n", "root"))
+    split = materialize(parts.groupBy("token").agg(F.sum("n").alias("held"), F.count(F.lit(1)).alias("roots"), main["root"].alias("main"), main["n"].alias("most")).filter("roots > 1"))
     small = groups.join(split.filter(F.col("held") <= UNIT), "token").groupBy("token").agg(F.sort_array(F.collect_list("id")).alias("ids"))
     small = small.select("ids").distinct().select(F.concat(F.lit("s"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256)).alias("unit"), F.explode("ids").alias("id"))
-    blocks = F.ceil(F.col("held") * 2 / UNIT)
-    large = groups.join(split.filter(F.col("held") > UNIT), "token").withColumn("own", F.pmod(F.xxhash64("id"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
-    large = large.select(F.concat_ws("|", F.lit("l"), "token", F.least("own", "other"), F.greatest("own", "other")).alias("unit"), "id")
+    asked, askers = F.ceil(F.col("held") / UNIT), F.ceil((F.col("held") - F.col("most")) / UNIT)
+    large = groups.join(split.filter(F.col("held") > UNIT), "token").withColumns({"asked": asked, "askers": askers, "hash": F.xxhash64("id")})
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    near = large.withColumn("x", F.pmod("hash", "asked")).withColumn("y", every("askers"))
+    far = large.filter("root <> main").withColumn("y", F.pmod("hash", "askers")).withColumn("x", every("asked"))
+    large = near.unionByName(far).select(F.concat_ws("|", F.lit("l"), "token", "x", "y").alias("unit"), "id")
     roots = groups.select("id", "root").distinct()
 
     def verify(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("id").reset_index(drop=True)
+        pdf = pdf.drop_duplicates("id").sort_values("id").reset_index(drop=True)
         ids = pdf["id"].tolist()
         found = connecting_links(*_unpack_sets(pdf), pdf["root"].tolist(), num, den) if pdf["root"].nunique() > 1 else []
         return pd.DataFrame({"a": [ids[i] for i, _ in found], "b": [ids[j] for _, j in found]}, dtype="int64")
@@ -188,37 +217,49 @@ def rooted(df: DataFrame, roots: DataFrame, name: str = "root", of: str = "id")
     return df.join(roots.select(F.col("id").alias(of), F.col("root").alias(name)), of, "left").withColumn(name, F.coalesce(name, of))
 
 
-def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text", star_rounds: int = 2) -> DataFrame:
-    """One row per input row: id, n_shingles, component_id.
+def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text", star_rounds: int = 4) -> DataFrame:
+    """One row per input row: id, n_shingles, component_id, text_crc32, kept (one row of each component).
 
     A text's set has its distinct shingles of k words (runs of other characters than
     [\\x20\\x09-\\x0D], A-Z in lower case), or the whole sequence of fewer words; a null text
     or one without words has an empty set, linked with nothing, and is a component alone.
     Two rows link when den * intersection >= num * union. component_id is the smallest id
-    that links reach. Equal sets link; repeated ids are one component only if their sets
+    that links reach (null only if all are); its row is kept, or of several that with the
+    smallest checksum. Equal sets link; repeated ids are one component only if their sets
     say so, but share the id. Empty table: no rows. Other columns are ignored.
     """
     table = write_blocks(docs, id_col, text_col)
     bits = shard_bits(table)
     found = prefixes(table, shingle_levels(table, k, bits), k, bits, num, den)
-    base = found.filter("kind = 0").select("doc_id", "id", "n")
-    sets = materialize(found.filter("kind = 2").groupBy("id").agg(F.first("n").alias("n"), F.first("data").alias("data")), "none")
-    prefix = found.filter("kind = 1").select("token", "id")
-    shared = prefix.groupBy("token").agg(F.min("id").alias("m"), F.max("id").alias("most")).filter("m < most")
-    groups = materialize(prefix.join(shared.select("token", "m"), "token").distinct())
-
-    links = materialize(star_links(groups.filter("id <> m").groupBy("id").agg(F.min("m").alias("m")), sets, num, den))
+    base = found.filter("kind = 0").select("doc_id", "id", "n", F.col("token").alias("crc"))
+    prefix = found.filter("kind = 1").select("token", "id", F.col("n").alias("common"))
+    shared = prefix.groupBy("token").agg(F.min("id").alias("least"), F.max("id").alias("most")).filter("least < most").select("token")
+    groups = materialize(prefix.join(shared, "token").distinct())
+    sets = found.filter("kind = 2").select("id", "n", "data").join(groups.select("id").distinct(), "id", "left_semi")
+    sets = materialize(sets.groupBy("id").agg(F.first("n").alias("n"), F.first("data").alias("data")), "none")
+
+    links = materialize(star_links(center_pairs(groups.withColumn("root", F.col("id"))), sets, num, den))
     roots = components(links)
-    for _ in range(star_rounds - 1):
-        apart = rooted(rooted(groups, roots), roots, "center", "m").filter("root <> center")
-        more = materialize(star_links(apart.groupBy("id").agg(F.min("m").alias("m")), sets, num, den))
-        links = links.unionByName(more)
+    for i in range(1, star_rounds):
+        placed = rooted(groups, roots)
+        large = placed.groupBy("token").agg(F.count(F.lit(1)).alias("held"), F.min("root").alias("lo"), F.max("root").alias("hi")).filter((F.col("held") > LARGE) & (F.col("lo") < F.col("hi")))
+        pairs = materialize(center_pairs(placed.join(large.select("token"), "token"), CENTERS, i))
+        if pairs.isEmpty():
+            break
+        links = links.unionByName(materialize(star_links(pairs, sets, num, den)))
         roots = components(links)
     rest = materialize(rest_links(rooted(groups.select("token", "id"), roots), sets, num, den))
     roots = components(links.unionByName(rest))
 
     placed = rooted(base, roots)
-    least = placed.filter("n > 0").groupBy("root").agg(F.min("doc_id").alias("least"))
-    whole = placed.filter("n > 0").join(least, "root").select("doc_id", "n", F.col("least").alias("component_id"))
-    alone = placed.filter("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))
-    return whole.unionByName(alone).select(F.col("doc_id").alias(id_col), F.col("n").cast("long").alias("n_shingles"), "component_id")
+    row = F.struct(F.col("doc_id").isNull().alias("u"), F.col("doc_id").alias("id"), F.col("crc").alias("crc"))
+    least = placed.filter("n > 0").groupBy("root").agg(F.min(row).alias("least"))
+    whole = placed.filter("n > 0").join(least, "root").withColumn("kept", row == F.col("least")).withColumn("least", F.col("least.id"))
+    alone = placed.filter("n = 0").withColumn("kept", F.lit(True)).withColumn("least", F.col("doc_id"))
+    columns = [F.col("doc_id").alias(id_col), F.col("n").cast("long").alias("n_shingles"), F.col("least").alias("component_id"), F.col("crc").alias("text_crc32"), "kept"]
+    return whole.select(columns).unionByName(alone.select(columns))
+
+
+def keep_one_of_each(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of docs for each component, that with the smallest id, with all its columns."""
+    return pick_rows(docs, jaccard_components(docs, k, num, den, id_col, text_col).filter("kept"), id_col, text_col)
