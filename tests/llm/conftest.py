@@ -1,0 +1,33 @@
+import pytest
+
+ODD_TEXTS = [
+    None, "", " ", "\n\n", "x", "Same words here for all of us", "same WORDS here for all of us", "Same  words here for all of us ", "Same words here for all of us",
+    "a\tb\x0bc", "123 456", "!!! ???", "é ü ß and some more accents", "日本語のテキスト", "one two three", "one two three", "it's we'll don't", "<|endoftext|> is text", "nul\0 here",
+    "a  double  space", "x. y, z... w.,", "é. combining", "end with space ", "tab\tin word", "\x1cfile\x1d sep",
+]
+
+
+@pytest.fixture(scope="session")
+def odd(spark):
+    """Nulls, empty and odd texts, ties, repeated rows, a very long text, and columns with names that operators use inside."""
+    long = " ".join(f"word{i % 977} and{i % 31}" for i in range(60_000))
+    texts = [*ODD_TEXTS, long, long + " more"]
+    rows = [(i, t, [None, "en", "de"][i % 3], [None, "a", "b"][i % 3]) for i, t in enumerate(texts)]
+    rows += [rows[5], rows[5], (None, "Same words here for all of us", "en", "a"), (None, None, None, None)]
+    rows = [(*r, 1, "k", 2, 3.0, b"d") for r in rows]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, size int, key string, n int, shard double, d binary")
+
+
+@pytest.fixture(scope="session")
+def empty(odd):
+    return odd.filter("false")
+
+
+@pytest.fixture(scope="session")
+def documents(spark, sf_dir):
+    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+
+
+@pytest.fixture(scope="session")
+def local_docs(documents):
+    return [(r.doc_id, r.text) for r in documents.select("doc_id", "text").orderBy("doc_id").collect()]
