@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
 
@@ -65,10 +66,15 @@ class Folder:
 
 
 def existing(spark: SparkSession, paths: list[str]) -> list[str]:
-    """The paths that are there; a driver-side check for a batch's bounded list."""
+    """The paths that are there, asked for in parallel; for a batch's bounded list."""
     conf = spark._jsc.hadoopConfiguration()
     hadoop = spark._jvm.org.apache.hadoop.fs.Path
-    return [p for p in paths if hadoop(p).getFileSystem(conf).exists(hadoop(p))]
+
+    def there(path: str) -> bool:
+        return hadoop(path).getFileSystem(conf).exists(hadoop(path))
+
+    with ThreadPoolExecutor(32) as pool:
+        return [p for p, ok in zip(paths, pool.map(there, paths), strict=True) if ok]
 
 
 def scratch(spark: SparkSession) -> str:

@@ -32,6 +32,8 @@ from sluiceway.streaming.metrics import Metrics, MetricsListener, timed
 
 Sink = Callable[[DataFrame, int], None]
 PENDING = "path string, processed boolean"
+#: The log is compacted once in so many batches, up to the last KEPT_APART.
+COMPACTED_EVERY, KEPT_APART = 100, 10
 
 
 class Spooler:
@@ -122,6 +124,8 @@ class Intake:
                 self.missing += gone
                 sink(rows, batch_id)
             self.batches += 1
+            if batch_id % COMPACTED_EVERY == COMPACTED_EVERY - 1:
+                self.log.compact(batch_id - KEPT_APART)
 
     def start(self, sink: Sink, trigger: dict[str, Any] | None = None, name: str | None = None) -> StreamingQuery:
         """Starts (or resumes) the query. trigger: as of DataStreamWriter.trigger; default: all that is spooled, then stop."""
