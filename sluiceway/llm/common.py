@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 from collections.abc import Iterator
 
@@ -10,7 +12,7 @@ import pyarrow.compute
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluiceway.sources.files import scratch
+from sluiceway.sources.files import Folder, scratch
 
 #: The characters that count as white space in every contract of this package.
 SPACES = " \t\n\x0b\x0c\r"
@@ -29,8 +31,17 @@ def materialize(df: DataFrame, codec: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def text_or_empty(text: str = "text") -> Column:
-    return F.coalesce(F.col(text), F.lit(""))
+def release(spark: SparkSession, *tables: DataFrame, but: str | None = None) -> None:
+    """Deletes written tables that nothing will read again (but the folder of that name in them), and lets Spark drop the shuffle files of finished jobs.
+
+    Spark deletes a shuffle's files when the driver collects the plan as garbage, which it
+    has little reason to do soon while the executors' disks fill.
+    """
+    for folder in {f.rpartition("/")[0] for t in tables for f in t.inputFiles()}:
+        if folder.rpartition("/")[2] != but:
+            Folder(spark, folder).delete("")
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def strip_spaces(text: Column) -> Column:
@@ -52,9 +63,24 @@ def blocks(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
         for i, size in enumerate(sizes.tolist()):
             if i > start and held + size > limit:
                 yield batch.slice(start, i - start)
+                give_back()
                 start, held = i, 0
             held += size
         yield batch.slice(start, n - start)
+        give_back()
+
+
+try:
+    _LIBC = ctypes.CDLL("libc.so.6")
+except OSError:  # another C library
+    _LIBC = None
+
+
+def give_back() -> None:
+    """Returns freed memory to the system, so that waiting workers hold little of it."""
+    pa.default_memory_pool().release_unused()
+    if _LIBC is not None:
+        _LIBC.malloc_trim(0)
 
 
 def one_thread() -> None:

@@ -69,7 +69,7 @@ def block_texts(row: dict) -> list[bytes]:
 def shard_bits(table: DataFrame) -> int:
     """Binary digits of the number of shards, from the bytes of all blocks (a word has about 6)."""
     n = table.agg(F.sum("n_bytes")).first()[0] or 0
-    return min(16, max(6, (n // 6 // PER_SHARD).bit_length()))
+    return min(20, max(6, (n // 6 // PER_SHARD).bit_length()))
 
 
 def mix(h: np.ndarray) -> np.ndarray:

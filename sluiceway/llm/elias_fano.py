@@ -34,10 +34,12 @@ def encode(values: np.ndarray, universe: int) -> list[np.ndarray]:
     n = len(values)
     low_bits = max(0, (universe // max(n, 1)).bit_length() - 1)
     values = values.astype(_U)
-    digits = ((values[:, None] >> np.arange(low_bits, dtype=_U)) & _U(1)).astype(np.uint8).ravel()
+    digits = np.empty((n, low_bits), np.uint8)
+    for i in range(low_bits):  # a column at a time, so that no wider array is made
+        digits[:, i] = values >> _U(i) & _U(1)
     high = np.zeros(n + (universe >> low_bits) + 1, np.uint8)
     high[(values >> _U(low_bits)).astype(np.int64) + np.arange(n)] = 1
-    return [np.array([n, low_bits, universe], np.uint64), _words(digits), _words(high)]
+    return [np.array([n, low_bits, universe], np.uint64), _words(digits.ravel()), _words(high)]
 
 
 def _words(bits: np.ndarray) -> np.ndarray:

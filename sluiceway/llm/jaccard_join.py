@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluiceway.llm.common import materialize, pick_rows, scratch
+from sluiceway.llm.common import give_back, materialize, pick_rows, release, scratch
 from sluiceway.llm.components import components
 from sluiceway.llm.corpus_blocks import block_texts, by_shard, pack, shard_bits, shingle_sets, unpack, write_blocks
 from sluiceway.llm.prefix_tree import connecting_links, links_with
@@ -89,6 +89,7 @@ def shingle_levels(table: DataFrame, k: int, bits: int) -> DataFrame:
                     ],
                     names=["shard", "block", "keys", "counts"],
                 )
+                give_back()
 
     def answer(pdf: pd.DataFrame) -> pd.DataFrame:
         asked = [unpack(x, "<u4") for x in pdf["keys"]]
@@ -136,6 +137,7 @@ def prefixes(table: DataFrame, levels: DataFrame, k: int, bits: int, num: int, d
                     yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(t), np.int32)), pa.nulls(len(t), pa.int64()), pa.array(o), pa.array(common), pa.array(t), pa.nulls(len(t), pa.binary())], schema=_FOUND)
                     n = len(kept)
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(n, 2, np.int32)), pa.nulls(n, pa.int64()), pa.array([x[0] for x in kept], pa.int64()), pa.array([x[1] for x in kept], pa.int32()), pa.nulls(n, pa.int64()), pa.array([x[2] for x in kept], pa.binary())], schema=_FOUND)
+                give_back()
 
     parts = levels.groupBy("block").agg(F.collect_list(F.struct("shard", "levels")).alias("parts"))  # a row per shard at most
     path = scratch(table.sparkSession)
@@ -187,14 +189,22 @@ def center_pairs(groups: DataFrame, classes: int = 1, seed: int = 0) -> DataFram
 def rest_links(groups: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """Links between sets of one token that aren't connected yet. groups: (token, id, root).
 
-    A small group is a unit, and groups of the same sets are one. Of a large group, the sets
-    outside its largest component ask, UNIT at a time, all of the group, UNIT at a time.
+    Small groups that hang together by their sets are one unit, so each set is read once; where
+    that would be too large, each group is a unit, and groups of the same sets are one. Of a
+    large group, the sets outside its largest component ask, UNIT at a time, all of the group,
+    UNIT at a time.
     """
     parts = materialize(groups.groupBy("token", "root").agg(F.count(F.lit(1)).alias("n")))
     main = F.max(F.struct("n", "root"))
     split = materialize(parts.groupBy("token").agg(F.sum("n").alias("held"), F.count(F.lit(1)).alias("roots"), main["root"].alias("main"), main["n"].alias("most")).filter("roots > 1"))
-    small = groups.join(split.filter(F.col("held") <= UNIT), "token").groupBy("token").agg(F.sort_array(F.collect_list("id")).alias("ids"))
-    small = small.select("ids").distinct().select(F.concat(F.lit("s"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256)).alias("unit"), F.explode("ids").alias("id"))
+    small = materialize(groups.join(split.filter(F.col("held") <= UNIT).select("token"), "token").select("token", "id"))
+    near = components(small.join(small.groupBy("token").agg(F.min("id").alias("b")), "token").select(F.col("id").alias("a"), "b"))
+    cluster = rooted(small.select("id").distinct(), near).withColumnRenamed("root", "cluster")
+    cluster = materialize(cluster.join(cluster.groupBy("cluster").agg(F.count(F.lit(1)).alias("held")), "cluster"))
+    whole = cluster.filter(F.col("held") <= UNIT).select(F.concat_ws("|", F.lit("c"), "cluster").alias("unit"), "id")
+    alike = small.join(cluster.filter(F.col("held") > UNIT).select("id"), "id").groupBy("token").agg(F.sort_array(F.collect_list("id")).alias("ids"))
+    alike = alike.select("ids").distinct().select(F.concat(F.lit("s"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256)).alias("unit"), F.explode("ids").alias("id"))
+    small = whole.unionByName(alike)
     asked, askers = F.ceil(F.col("held") / UNIT), F.ceil((F.col("held") - F.col("most")) / UNIT)
     large = groups.join(split.filter(F.col("held") > UNIT), "token").withColumns({"asked": asked, "askers": askers, "hash": F.xxhash64("id")})
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
@@ -212,9 +222,9 @@ def rest_links(groups: DataFrame, sets: DataFrame, num: int, den: int) -> DataFr
     return small.unionByName(large).join(sets.join(roots, "id"), "id").groupBy("unit").applyInPandas(verify, LINKS)
 
 
-def rooted(df: DataFrame, roots: DataFrame, name: str = "root", of: str = "id") -> DataFrame:
+def rooted(df: DataFrame, roots: DataFrame) -> DataFrame:
     """df with the root of each id, which is the id itself where it is linked with nothing."""
-    return df.join(roots.select(F.col("id").alias(of), F.col("root").alias(name)), of, "left").withColumn(name, F.coalesce(name, of))
+    return df.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
 
 
 def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text", star_rounds: int = 4) -> DataFrame:
@@ -231,12 +241,14 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
     table = write_blocks(docs, id_col, text_col)
     bits = shard_bits(table)
     found = prefixes(table, shingle_levels(table, k, bits), k, bits, num, den)
+    release(docs.sparkSession, table)
     base = found.filter("kind = 0").select("doc_id", "id", "n", F.col("token").alias("crc"))
     prefix = found.filter("kind = 1").select("token", "id", F.col("n").alias("common"))
     shared = prefix.groupBy("token").agg(F.min("id").alias("least"), F.max("id").alias("most")).filter("least < most").select("token")
     groups = materialize(prefix.join(shared, "token").distinct())
     sets = found.filter("kind = 2").select("id", "n", "data").join(groups.select("id").distinct(), "id", "left_semi")
     sets = materialize(sets.groupBy("id").agg(F.first("n").alias("n"), F.first("data").alias("data")), "none")
+    release(docs.sparkSession, found, but="kind=0")  # the documents are read once more
 
     links = materialize(star_links(center_pairs(groups.withColumn("root", F.col("id"))), sets, num, den))
     roots = components(links)
@@ -248,6 +260,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
             break
         links = links.unionByName(materialize(star_links(pairs, sets, num, den)))
         roots = components(links)
+        release(docs.sparkSession)
     rest = materialize(rest_links(rooted(groups.select("token", "id"), roots), sets, num, den))
     roots = components(links.unionByName(rest))
 

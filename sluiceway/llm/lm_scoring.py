@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluiceway.llm import elias_fano
-from sluiceway.llm.common import materialize
+from sluiceway.llm.common import give_back, materialize
 from sluiceway.llm.corpus_blocks import block_texts, by_shard, chain_hashes, pack, shard_bits, unpack, word_hashes, write_blocks
 from sluiceway.llm.elias_fano import EliasFano
 
@@ -232,6 +232,7 @@ def bigram_answers(joined: DataFrame, bits: int, total: int, distinct: int, part
                     + [binary(pairs & np.uint64(0xFFFFFFFF), "<u4", inner), binary(times, "<u4", inner), binary(plain, "u1", inner)],
                     names=["shard", "block", "ctx", "numbers", "known", "words", "counts", "plain"],
                 )
+                give_back()
 
     def answer(pdf: pd.DataFrame) -> pd.DataFrame:
         asked = [(unpack(r.ctx, "<u4").astype(np.uint64), unpack(r.numbers, "<u4").astype(np.int64), unpack(r.words, "<u4").astype(np.uint64)) for r in pdf.itertuples()]
@@ -253,6 +254,7 @@ def bigram_answers(joined: DataFrame, bits: int, total: int, distinct: int, part
             trie = Trie(build_trie(pairs, counts, given, likely, folder))
             found = [trie.look_up(*a) for a in asked]
             del trie
+        give_back()
         return pdf[["shard", "block"]].assign(codes=[pack(c) for c, _ in found], weights=[pack(w) for _, w in found])
 
     return joined.mapInArrow(ask, BIGRAMS).groupBy("shard").applyInPandas(answer, ANSWERS)
@@ -307,5 +309,6 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     [pa.array(row["doc_ids"], pa.int64()), pa.array(~t.training), pa.array(t.n), pa.array(sums((counts[t.at] > 0).astype(np.int64))), pa.array(np.full(len(t.n), total))] + [pa.array(sums(np.log10(x))) for x in (base, p)],
                     names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
                 )
+                give_back()
 
     return joined.join(answers, "block").mapInArrow(score, SCORES).withColumnRenamed("doc_id", id_col)

@@ -20,9 +20,11 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sluiceway.llm.common import blocks, materialize
-from sluiceway.llm.tokens import give_back, tokenizer_path, with_end, worker_tokenizer
+from sluiceway.llm.tokens import tokenizer_path, with_end, worker_tokenizer
 
 RANK_PARTS = 256
+#: Chunks that a worker keeps; folded case makes for fewer than token files need.
+CACHED_CHUNKS = 300_000
 
 #: A pattern: [(length, times), ...] and the number of sequences of this content.
 Pattern = tuple[list[tuple[int, int]], int]
@@ -171,7 +173,7 @@ def tokenize_pieces(docs: DataFrame, tokenizer: str, kind: str, end: int, capaci
     """A row per piece (PIECES). Only texts longer than the capacity are cut."""
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tk = worker_tokenizer(tokenizer_path(tokenizer), kind)
+        tk = worker_tokenizer(tokenizer_path(tokenizer), kind, CACHED_CHUNKS)
         for batch in blocks(batches):
             ids, lengths = with_end(*tk.encode(batch.column(1)), end)
             data = memoryview(ids.astype("<u4")).cast("B")
@@ -183,8 +185,6 @@ def tokenize_pieces(docs: DataFrame, tokenizer: str, kind: str, end: int, capaci
             first = 4 * ((np.cumsum(lengths) - lengths)[row] + start)
             crc = [zlib.crc32(data[a:b]) for a, b in zip(first.tolist(), (first + 4 * length).tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), pa.array(piece, pa.int32()), pa.array(start), pa.array(length), pa.array(crc, pa.int64())], names=["doc_id", "piece", "start", "length", "ids_crc32"])
-            del ids, data
-            give_back()
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(pieces, PIECES)
 

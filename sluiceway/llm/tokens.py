@@ -7,7 +7,6 @@ for which that can't be said is encoded whole.
 
 from __future__ import annotations
 
-import ctypes
 from collections.abc import Callable
 from dataclasses import dataclass
 from itertools import chain, repeat
@@ -188,13 +187,6 @@ class ChunkedTokenizer:
         return gather(self.flat, starts, lengths), np.diff(np.append(0, np.cumsum(lengths, dtype=np.int64))[borders])
 
 
-def give_back() -> None:
-    """Returns freed memory to the system, so that idle workers hold little of it."""
-    pa.default_memory_pool().release_unused()
-    if _LIBC is not None:
-        _LIBC.malloc_trim(0)
-
-
 def gather(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """flat[starts[0] : starts[0] + lengths[0]], then that of 1, and so on, as one array."""
     total = int(lengths.sum(dtype=np.int64))
@@ -217,16 +209,11 @@ def with_end(ids: np.ndarray, lengths: np.ndarray, end: int) -> tuple[np.ndarray
     return out, after
 
 
-try:
-    _LIBC = ctypes.CDLL("libc.so.6")
-except OSError:  # another C library
-    _LIBC = None
-
 _READY: dict[tuple[str, str], ChunkedTokenizer] = {}
 
 
-def worker_tokenizer(file: str, kind: str) -> ChunkedTokenizer:
+def worker_tokenizer(file: str, kind: str, cached: int = CACHED_CHUNKS) -> ChunkedTokenizer:
     """This worker's tokenizer, kept with its cache for later tasks. kind: byte_level or spaceless."""
     if (file, kind) not in _READY:
-        _READY[file, kind] = ChunkedTokenizer(file, KINDS[kind])
+        _READY[file, kind] = ChunkedTokenizer(file, KINDS[kind], cached)
     return _READY[file, kind]
