@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluiceway.llm.common import blocks, materialize
+from sluiceway.llm.common import blocks, give_back, materialize
 
 DIM_BITS = 15
 DIMS = 1 << DIM_BITS
@@ -117,18 +117,17 @@ def fit_temperature(logits: np.ndarray, labels: np.ndarray) -> float:
 
 
 def train(languages: list[str], sample: list[tuple[int, np.ndarray, np.ndarray]], idf: np.ndarray, epochs: int = 3, seed: int = 7) -> Model:
-    """sample: (language, n-grams, counts). Every fifth example is kept for calibration."""
+    """sample: (language, n-grams, their weights). Every fifth example is kept for calibration."""
     rng = np.random.default_rng(seed)
     order = rng.permutation(len(sample))
-    vectors = [tf_idf(found, counts, idf) for _, found, counts in sample]
     held = order[::5] if len(order) >= 10 else order[:0]
     used = np.setdiff1d(order, held)
     ftrl = Ftrl(DIMS, len(languages))
     for _ in range(epochs):
         for i in rng.permutation(used):
-            ftrl.learn(sample[i][1], vectors[i], sample[i][0])
+            ftrl.learn(sample[i][1], sample[i][2].astype(float), sample[i][0])
     weights = ftrl.weights(slice(None))
-    logits = np.array([vectors[i] @ weights[sample[i][1]] for i in held]).reshape(-1, len(languages))
+    logits = np.array([sample[i][2] @ weights[sample[i][1]] for i in held]).reshape(-1, len(languages))
     return Model(languages, weights.astype(np.float32), idf, fit_temperature(logits, np.array([sample[i][0] for i in held], np.int64)))
 
 
@@ -174,7 +173,7 @@ def learn_model(docs: DataFrame, per_language: int = 1000, text_col: str = "text
                 df[found] += 1
                 n += 1
                 if u[i] < shares[langs[i]]:
-                    taken.append((-1, 0, langs[i], np.stack([found, tf]).astype("<u4").tobytes(), 0))
+                    taken.append((-1, 0, langs[i], found.astype("<u2").tobytes() + tf.astype("<u4").tobytes(), 0))
             if taken:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*taken, strict=True), kinds, strict=True)], names=names)
         if n:
@@ -187,9 +186,17 @@ def learn_model(docs: DataFrame, per_language: int = 1000, text_col: str = "text
     total = found.agg(F.sum("n")).first()[0] or 0
     idf = (np.log((1 + total) / (1 + df)) + 1).astype(np.float32)
     place = {name: i for i, name in enumerate(languages)}
-    picked = sorted((place[r.lang], bytes(r.data)) for r in found.filter("slice < 0").select("lang", "data").collect())
-    sample = [(i, *np.frombuffer(d, "<u4").reshape(2, -1).astype(np.int64)) for i, d in picked]
-    return train(languages, sample, idf) if sample else Model([], np.zeros((DIMS, 0), np.float32), idf, 1.0)
+    picked = sorted((place[r.lang], bytes(r.data)) for r in found.filter("slice < 0").select("lang", "data").toLocalIterator())
+    sample = []
+    for i, data in picked:
+        n = len(data) // 6
+        grams = np.frombuffer(data, "<u2", n)
+        sample.append((i, grams, tf_idf(grams, np.frombuffer(data, "<u4", n, 2 * n), idf).astype(np.float32)))
+    del picked
+    model = train(languages, sample, idf) if sample else Model([], np.zeros((DIMS, 0), np.float32), idf, 1.0)
+    del sample
+    give_back()
+    return model
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", keep: Column | None = None) -> DataFrame:
