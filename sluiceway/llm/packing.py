@@ -23,8 +23,8 @@ from sluiceway.llm.common import blocks, materialize
 from sluiceway.llm.tokens import tokenizer_path, with_end, worker_tokenizer
 
 RANK_PARTS = 256
-#: Chunks that a worker keeps; folded case makes for fewer than token files need.
-CACHED_CHUNKS = 300_000
+#: Chunks that a worker keeps, and text bytes that it encodes at once: both small, for memory.
+CACHED_CHUNKS, BLOCK = 150_000, 2 << 20
 
 #: A pattern: [(length, times), ...] and the number of sequences of this content.
 Pattern = tuple[list[tuple[int, int]], int]
@@ -174,7 +174,7 @@ def tokenize_pieces(docs: DataFrame, tokenizer: str, kind: str, end: int, capaci
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tk = worker_tokenizer(tokenizer_path(tokenizer), kind, CACHED_CHUNKS)
-        for batch in blocks(batches):
+        for batch in blocks(batches, limit=BLOCK):
             ids, lengths = with_end(*tk.encode(batch.column(1)), end)
             data = memoryview(ids.astype("<u4")).cast("B")
             n = -(-lengths // capacity)
