@@ -54,7 +54,13 @@ def action(verdict_col: Column, keep_invalid: bool = False) -> Column:
     return F.when(verdict_col == OK, ADMIT).when(verdict_col == IN_CACHE_PENDING, RETRY).otherwise(KEEP if keep_invalid else DROP)
 
 
-def is_new_file(files: DataFrame, log: DataFrame, floor_ms: int | None = None) -> DataFrame:
-    """The files whose path isn't in the log, or only with a time below the floor."""
+def is_new_file(files: DataFrame, log: DataFrame, floor_ms: int | None = None, by: str | None = None) -> DataFrame:
+    """The files whose path isn't in the log, or only with a time below the floor.
+
+    With `by`, a column of both, a file is compared with the log's rows of smaller values only.
+    """
     held = log if floor_ms is None else log.filter(F.col("event_ms") >= floor_ms)
-    return files.join(held.select("path"), "path", "left_anti")
+    if by is None:
+        return files.join(held.select("path"), "path", "left_anti")
+    earlier = held.select(F.col("path").alias("logged_path"), F.col(by).alias("logged_by"))
+    return files.join(earlier, (F.col("path") == F.col("logged_path")) & (F.col("logged_by") < F.col(by)), "left_anti")

@@ -68,6 +68,11 @@ def logged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return admission.into_batches(first_files(spark, sf_dir), BATCH, "event_ms", "event_id").select("batch_id", "path", "event_ms")
 
 
+def logged_by_trigger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log that the triggers leave, each admitting what no earlier one did: path, event_ms, trigger_id."""
+    return admission.first_by_path(created(spark, sf_dir), "trigger_id", "event_ms", "event_id").select("path", "event_ms", "trigger_id")
+
+
 # Notifications and verdicts.
 
 
@@ -163,6 +168,12 @@ def is_new_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validate.is_new_file(files, logged(spark, sf_dir).filter("batch_id < 5"))
 
 
+def is_new_file_by_trigger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every trigger's files against all that earlier triggers logged."""
+    files = created(spark, sf_dir).select("trigger_id", "path").distinct()
+    return validate.is_new_file(files, logged_by_trigger(spark, sf_dir), by="trigger_id")
+
+
 def log_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = logged(spark, sf_dir).withColumn("commit_ms", F.col("event_ms"))
     latest = files.agg(F.max("event_ms")).first()[0] or 0
@@ -329,6 +340,7 @@ _ORACLES = {
     log_latest: _sql("SELECT batch_id, path, event_ms FROM l WHERE batch_id = (SELECT max(batch_id) FROM l)"),
     log_written_latest: _sql("SELECT batch_id, path, event_ms FROM l WHERE batch_id = 2"),
     is_new_file: _sql("SELECT DISTINCT path FROM c WHERE trigger_id = 19 AND NOT EXISTS (SELECT 1 FROM l WHERE l.path = c.path AND batch_id < 5)"),
+    is_new_file_by_trigger: _sql("SELECT trigger_id, path FROM (SELECT DISTINCT trigger_id, path FROM c) JOIN g USING (path) WHERE logged_by >= trigger_id", "g AS (SELECT path, min(trigger_id) AS logged_by FROM c GROUP BY 1)"),
     log_clean: _sql("SELECT batch_id FROM l GROUP BY 1 HAVING max(event_ms) < (SELECT max(event_ms) FROM l) - 20 * 86400000"),
     reprocess_dry_run: _sql("SELECT count(DISTINCT batch_id) AS batches, count(*) AS files FROM l WHERE batch_id BETWEEN 2 AND 9"),
     partition_columns: "SELECT event_id, event_type, CAST(user_id % 7 AS INT) AS bucket_no FROM events WHERE user_id % 7 = 3",
