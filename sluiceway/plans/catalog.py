@@ -138,29 +138,53 @@ def log_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return logged(spark, sf_dir).filter("batch_id between 3 and 5")
 
 
-def _written(spark: SparkSession, sf_dir: str, batches: int) -> FileLog:
+#: Batches that are added singly to a written log, after the others.
+SINGLY = 3
+
+
+def _written(spark: SparkSession, sf_dir: str, least: int = 1) -> FileLog:
+    """The whole log on disk: all batches (`least` of them at least, if need be empty ones), the last ones added singly."""
     log = FileLog(spark, scratch(spark))
-    files = logged(spark, sf_dir).filter(F.col("batch_id") < batches).persist()
-    for i in range(batches):
+    files = logged(spark, sf_dir).persist()
+    last = files.agg(F.max("batch_id")).first()[0]
+    batches = max(least, 0 if last is None else last + 1)
+    filled = max(batches - SINGLY, 0)
+    if filled:
+        log.fill(files, filled - 1, commit_ms=0)
+    for i in range(filled, batches):
         log.add(i, files.filter(F.col("batch_id") == i), commit_ms=i)
     files.unpersist()
     return log
 
 
 def log_written_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same, through a log on disk whose first batches are compacted."""
+    """The same, through the whole log on disk, of which all but the last two batches are compacted."""
     log = _written(spark, sf_dir, 7)
-    log.compact(4)
+    log.compact(log.latest_batch_id() - 2)
     return log.range(3, 5).select("batch_id", "path", "event_ms")
 
 
+def log_written_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _written(spark, sf_dir).range().select("batch_id", "path", "event_ms")
+
+
 def log_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = logged(spark, sf_dir)
     return files.join(F.broadcast(files.agg(F.max("batch_id").alias("batch_id"))), "batch_id").select("batch_id", "path", "event_ms")
 
 
 def log_written_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _written(spark, sf_dir, 3).latest()[1].select("batch_id", "path", "event_ms")
+    """The latest batch when only three are written; log_written_last has that of the whole log."""
+    log = FileLog(spark, scratch(spark))
+    files = logged(spark, sf_dir).filter(F.col("batch_id") < 3).persist()
+    for i in range(3):
+        log.add(i, files.filter(F.col("batch_id") == i), commit_ms=i)
+    files.unpersist()
+    return log.latest()[1].select("batch_id", "path", "event_ms")
+
+
+def log_written_last(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _written(spark, sf_dir).latest()[1].select("batch_id", "path", "event_ms")
 
 
 def is_new_file(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -337,8 +361,10 @@ _ORACLES = {
     delete_subbatches: _sql('SELECT path, CAST(floor((row_number() OVER (ORDER BY path) - 1) / 10) AS BIGINT) AS "group" FROM l WHERE batch_id = 3'),
     log_range: _sql("SELECT batch_id, path, event_ms FROM l WHERE batch_id BETWEEN 3 AND 5"),
     log_written_range: _sql("SELECT batch_id, path, event_ms FROM l WHERE batch_id BETWEEN 3 AND 5"),
+    log_written_all: _sql("SELECT batch_id, path, event_ms FROM l"),
     log_latest: _sql("SELECT batch_id, path, event_ms FROM l WHERE batch_id = (SELECT max(batch_id) FROM l)"),
     log_written_latest: _sql("SELECT batch_id, path, event_ms FROM l WHERE batch_id = 2"),
+    log_written_last: _sql("SELECT batch_id, path, event_ms FROM l WHERE batch_id = (SELECT max(batch_id) FROM l)"),
     is_new_file: _sql("SELECT DISTINCT path FROM c WHERE trigger_id = 19 AND NOT EXISTS (SELECT 1 FROM l WHERE l.path = c.path AND batch_id < 5)"),
     is_new_file_by_trigger: _sql("SELECT trigger_id, path FROM (SELECT DISTINCT trigger_id, path FROM c) JOIN g USING (path) WHERE logged_by >= trigger_id", "g AS (SELECT path, min(trigger_id) AS logged_by FROM c GROUP BY 1)"),
     log_clean: _sql("SELECT batch_id FROM l GROUP BY 1 HAVING max(event_ms) < (SELECT max(event_ms) FROM l) - 20 * 86400000"),

@@ -93,6 +93,23 @@ class FileLog:
         self.folder.delete(aside)
         return False
 
+    def fill(self, files: DataFrame, upto: int, commit_ms: int | None = None) -> bool:
+        """Logs batches 0 to `upto` of an empty log at once, as compacted ones; False if a batch is there. files: batch_id, path, event_ms."""
+        if upto < 0:
+            raise ValueError("a batch id must not be negative")
+        if self.latest_batch_id() >= 0:
+            return False
+        commit_ms = int(time.time() * 1000) if commit_ms is None else commit_ms
+        headers = self.spark.range(upto + 1).select(F.col("id").alias("batch_id"), F.lit(None).cast("string").alias("path"), F.lit(None).cast("long").alias("event_ms"))
+        entries = files.filter(F.col("batch_id") <= upto).select("batch_id", "path", "event_ms")
+        rows = headers.unionByName(entries).withColumns({"commit_ms": F.lit(commit_ms).cast("long"), "floor_ms": F.lit(0).cast("long"), "glob": F.lit(None).cast("string")})
+        aside = f"aside/{uuid.uuid4().hex}"
+        rows.repartitionByRange(F.col("batch_id")).write.parquet(self.folder.at(aside))
+        if self.folder.move_new(aside, f"compacted/1-{upto}"):
+            return True
+        self.folder.delete(aside)
+        return False
+
     def compact(self, upto: int | None = None, without: Sequence[int] = ()) -> None:
         """Folds batches up to `upto` into one table, leaving some out. Readers see the old or the new table."""
         old = self._compacted()

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from sluiceway.operators.validate import is_new_file
 from sluiceway.plans import catalog
+from sluiceway.sources.filelog import Entry, FileLog
 
 
 def test_newness_by_trigger(spark):
@@ -17,3 +18,19 @@ def test_newness_judges_files_of_all_triggers(spark, sf_dir):
     new = catalog.queries()["is_new_file_by_trigger"](spark, sf_dir)
     assert new.count() == catalog.first_files(spark, sf_dir).count()  # each path is new once
     assert new.agg(F.countDistinct("trigger_id")).first()[0] > 1
+
+
+def test_filling_a_log(spark, tmp_path):
+    with FileLog(spark, f"file://{tmp_path}/log") as log:
+        files = spark.createDataFrame([(0, "a", 1), (2, "b", 2), (3, "c", 3)], "batch_id long, path string, event_ms long")
+        assert log.fill(files, 2) and not log.fill(files, 2) and log.latest_batch_id() == 2
+        assert log.get(1).collect() == [] and log.add(3, [Entry("d", 4)]) and not log.add(2, [])
+        assert sorted((r.batch_id, r.path) for r in log.range().collect()) == [(0, "a"), (2, "b"), (3, "d")]
+
+
+def test_the_whole_log_is_written(spark):
+    sf_dir = "/root/testdata/sf0.01"  # 29 batches
+    log, files = catalog._written(spark, sf_dir, 7), catalog.logged(spark, sf_dir)
+    last = files.agg(F.max("batch_id")).first()[0]
+    assert last > 7 and log.latest()[0] == log.latest_batch_id() == last and log.batch_ids() == [last - 2, last - 1, last]
+    assert log.range().count() == files.count()
