@@ -131,6 +131,11 @@ def delete_subbatches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return admission.acknowledgement_groups(logged(spark, sf_dir).filter("batch_id = 3"), "batch_id").select("path", "group")
 
 
+def delete_subbatches_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The groups of every batch."""
+    return admission.acknowledgement_groups(logged(spark, sf_dir), "batch_id").select("batch_id", "path", "group")
+
+
 # The log.
 
 
@@ -359,6 +364,7 @@ _ORACLES = {
     oldest_first_topk: _sql("SELECT batch_id, path, event_ms FROM l ORDER BY event_ms, path LIMIT 25"),
     unprocessed_pending: _sql("SELECT path, event_ms FROM l WHERE batch_id % 2 <> 0"),
     delete_subbatches: _sql('SELECT path, CAST(floor((row_number() OVER (ORDER BY path) - 1) / 10) AS BIGINT) AS "group" FROM l WHERE batch_id = 3'),
+    delete_subbatches_all: _sql('SELECT batch_id, path, CAST(floor((row_number() OVER (PARTITION BY batch_id ORDER BY path) - 1) / 10) AS BIGINT) AS "group" FROM l'),
     log_range: _sql("SELECT batch_id, path, event_ms FROM l WHERE batch_id BETWEEN 3 AND 5"),
     log_written_range: _sql("SELECT batch_id, path, event_ms FROM l WHERE batch_id BETWEEN 3 AND 5"),
     log_written_all: _sql("SELECT batch_id, path, event_ms FROM l"),

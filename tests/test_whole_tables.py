@@ -34,3 +34,9 @@ def test_the_whole_log_is_written(spark):
     last = files.agg(F.max("batch_id")).first()[0]
     assert last > 7 and log.latest()[0] == log.latest_batch_id() == last and log.batch_ids() == [last - 2, last - 1, last]
     assert log.range().count() == files.count()
+
+
+def test_acknowledgement_groups_of_all_batches(spark, sf_dir):
+    got = catalog.queries()["delete_subbatches_all"](spark, sf_dir).toPandas()
+    assert len(got) == catalog.logged(spark, sf_dir).count() and got.batch_id.nunique() > 1
+    assert (got.groupby(["batch_id", "group"]).size() <= 10).all() and (got.groupby("batch_id").group.min() == 0).all()
