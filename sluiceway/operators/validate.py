@@ -35,16 +35,28 @@ def verdict(path: Column, event_ms: Column, floor_ms: Column | int, glob: str |
     )
 
 
-def with_verdicts(files: DataFrame, pending: DataFrame, log: DataFrame, floor_ms: int, glob: str | None = None) -> DataFrame:
+def with_verdicts(files: DataFrame, pending: DataFrame, log: DataFrame, floor_ms: Column | int, glob: str | None = None, by: str | None = None) -> DataFrame:
     """files (path, event_ms, ...) with a verdict column.
 
     pending: (path, processed). log: (path, event_ms), of which only rows not below the
     floor are read, since older ones count as forgotten. Spark broadcasts the smaller side
     of each join if it measures it as small, and else joins on the hashed path.
+
+    With `by`, a column of all three, a file is judged against pending rows of the same value
+    and the log's rows of smaller ones; then the floor can be a column of files, the same for
+    all files of a value.
     """
-    known = pending.select(F.col("path"), F.col("processed"), F.lit(True).alias("cached"))
-    logged = log.filter(F.col("event_ms") >= floor_ms).groupBy("path").agg(F.max("event_ms").alias("logged_ms"))
-    joined = files.join(known, "path", "left").join(logged, "path", "left")
+    keys = ["path"] if by is None else ["path", by]
+    known = pending.select(*keys, F.col("processed"), F.lit(True).alias("cached"))
+    if by is None:
+        held = log.filter(F.col("event_ms") >= floor_ms).select("path", F.col("event_ms").alias("logged_ms"))
+    else:
+        floor = floor_ms if isinstance(floor_ms, Column) else F.lit(floor_ms)
+        earlier = log.select("path", F.col("event_ms").alias("logged_ms"), F.col(by).alias("logged_by"))
+        asked = files.select(*keys, floor.alias("floor")).distinct()
+        held = asked.join(earlier, "path").filter((F.col("logged_by") < F.col(by)) & (F.col("logged_ms") >= F.col("floor")))
+    logged = held.groupBy(*keys).agg(F.max("logged_ms").alias("logged_ms"))
+    joined = files.join(known, keys, "left").join(logged, keys, "left")
     out = verdict(F.col("path"), F.col("event_ms"), floor_ms, glob, F.col("cached"), F.col("processed"), F.col("logged_ms"))
     return joined.withColumn("verdict", out).drop("cached", "processed", "logged_ms")
 

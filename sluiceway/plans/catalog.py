@@ -111,6 +111,19 @@ def verdict_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.withColumn("action", validate.action(F.col("verdict"))).groupBy("verdict", "action").agg(F.count(F.lit(1)).alias("n"))
 
 
+def verdict_counts_by_trigger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All files, each against the files of the trigger before, the log of all earlier triggers and the floor after them.
+
+    As in `logged`, a path is logged once, when it is first announced.
+    """
+    files = created(spark, sf_dir)
+    floors = admission.floors_by_trigger(files, DAY_MS).select("trigger_id", F.coalesce("floor_ms", F.lit(0)).alias("floor_ms"))
+    first = files.groupBy("trigger_id", "path").agg(F.min(F.struct("event_ms", "event_id")).alias("row"))
+    pending = first.select((F.col("trigger_id") + 1).alias("trigger_id"), "path", (F.col("row.event_id") % 2 == 0).alias("processed"))
+    judged = validate.with_verdicts(files.join(floors, "trigger_id"), pending, logged_by_trigger(spark, sf_dir), F.col("floor_ms"), GLOB, by="trigger_id")
+    return judged.withColumn("action", validate.action(F.col("verdict"))).groupBy("verdict", "action").agg(F.count(F.lit(1)).alias("n"))
+
+
 # Admission.
 
 
@@ -360,6 +373,16 @@ _ORACLES = {
         "p AS (SELECT path, event_id % 2 = 0 AS processed FROM c, m WHERE trigger_id = last - 2 QUALIFY row_number() OVER (PARTITION BY path ORDER BY event_ms, event_id) = 1)",
         "g AS (SELECT path, max(event_ms) AS logged_ms FROM l, x WHERE batch_id < 20 AND event_ms >= floor_ms GROUP BY 1)",
     ),
+    verdict_counts_by_trigger: _sql(
+        f"""SELECT verdict, CASE verdict WHEN 'Ok' THEN 'admit' WHEN 'ExistInCacheNotProcessed' THEN 'retry' ELSE 'drop' END AS action, count(*) AS n FROM (
+          SELECT CASE WHEN NOT {_GLOB_SQL} THEN 'PatternNotMatch' WHEN event_ms < floor_ms THEN 'FileExpired' WHEN processed THEN 'ExistInCacheProcessed'
+            WHEN NOT processed THEN 'ExistInCacheNotProcessed' WHEN logged_by < trigger_id AND logged_ms >= floor_ms THEN 'PersistedInMetadataLog' ELSE 'Ok' END AS verdict
+          FROM c JOIN x USING (trigger_id) LEFT JOIN p USING (trigger_id, path) LEFT JOIN a USING (path)) GROUP BY 1, 2""",
+        "m AS (SELECT trigger_id, max(event_ms) AS latest FROM c GROUP BY 1)",
+        "x AS (SELECT trigger_id, coalesce(max(latest) OVER (ORDER BY trigger_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 86400000, 0) AS floor_ms FROM m)",
+        "p AS (SELECT trigger_id + 1 AS trigger_id, path, event_id % 2 = 0 AS processed FROM c QUALIFY row_number() OVER (PARTITION BY c.trigger_id, path ORDER BY event_ms, event_id) = 1)",
+        "a AS (SELECT path, event_ms AS logged_ms, trigger_id AS logged_by FROM c QUALIFY row_number() OVER (PARTITION BY path ORDER BY trigger_id, event_ms, event_id) = 1)",
+    ),
     batch_admission: _sql("SELECT batch_id, path, event_ms, event_id FROM l"),
     oldest_first_topk: _sql("SELECT batch_id, path, event_ms FROM l ORDER BY event_ms, path LIMIT 25"),
     unprocessed_pending: _sql("SELECT path, event_ms FROM l WHERE batch_id % 2 <> 0"),

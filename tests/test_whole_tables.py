@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from sluiceway.operators.validate import is_new_file
+from sluiceway.operators.validate import FILE_EXPIRED, IN_CACHE_PENDING, IN_LOG, OK, is_new_file, with_verdicts
 from sluiceway.plans import catalog
 from sluiceway.sources.filelog import Entry, FileLog
 
@@ -40,3 +40,17 @@ def test_acknowledgement_groups_of_all_batches(spark, sf_dir):
     got = catalog.queries()["delete_subbatches_all"](spark, sf_dir).toPandas()
     assert len(got) == catalog.logged(spark, sf_dir).count() and got.batch_id.nunique() > 1
     assert (got.groupby(["batch_id", "group"]).size() <= 10).all() and (got.groupby("batch_id").group.min() == 0).all()
+
+
+def test_verdicts_by_trigger(spark):
+    files = spark.createDataFrame([(0, "a", 5, 0), (1, "a", 6, 3), (2, "a", 7, 6), (1, "b", 6, 3), (2, "b", 8, 6), (2, "c", 5, 6)], "trigger_id long, path string, event_ms long, floor_ms long")
+    log = spark.createDataFrame([(0, "a", 5), (1, "b", 6)], "trigger_id long, path string, event_ms long")
+    pending = spark.createDataFrame([(1, "b", False)], "trigger_id long, path string, processed boolean")
+    got = with_verdicts(files, pending, log, F.col("floor_ms"), by="trigger_id").collect()
+    assert {(r.trigger_id, r.path): r.verdict for r in got} == {(0, "a"): OK, (1, "a"): IN_LOG, (2, "a"): OK, (1, "b"): IN_CACHE_PENDING, (2, "b"): IN_LOG, (2, "c"): FILE_EXPIRED}
+
+
+def test_every_file_gets_a_verdict(spark):
+    sf_dir = "/root/testdata/sf0.1"
+    counts = {r.verdict: r.n for r in catalog.queries()["verdict_counts_by_trigger"](spark, sf_dir).collect()}
+    assert sum(counts.values()) == catalog.created(spark, sf_dir).count() and counts[IN_LOG] > 0
