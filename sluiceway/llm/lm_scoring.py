@@ -1,9 +1,10 @@
 """Language-model scores from an n-gram trie in Elias-Fano form, spread over shards.
 
-The model interpolates bigrams with add-one unigrams. Counts come from all training texts:
+The model interpolates trigrams with bigrams, and those with add-one unigrams. Counts come from all training texts:
 blocks of documents exchange their distinct n-grams with shards (see corpus_blocks). A shard
 holds the trie of its contexts: the context words, monotone pointers to their successors, the
-successors relative to their context, and quantised probabilities, all in memory-mapped
+successors relative to their context, pointers from these bigrams to the words after them, these
+words relative to their bigram, and quantised probabilities, all in memory-mapped
 files that are searched with the blocks' questions. Contexts with more than 1/1024 of all
 tokens are dealt over many shards by successor, so no shard grows with a frequent word.
 
@@ -11,6 +12,10 @@ p(w | c) = a * count(c w) / count(c) + (1 - a) * p(w), with a weight `a` by the
 context's count that each shard fits to its counts by expectation maximisation, leaving each
 occurrence out of its own estimate. So repeated passages count where they repeat, and texts
 like no other are scored as by the unigrams alone.
+
+p(w | b c) = a * count(b c w) / count(b c) + (1 - a) * p(w | c). A trigram is in the shard of its
+first two words, which doesn't know p(w | c): there `a` is fitted against the least unigram, so it
+is the share of occurrences of which the trigram occurs elsewhere too.
 """
 
 from __future__ import annotations
@@ -38,6 +43,8 @@ SPREAD = 64
 #: Probabilities are kept in steps of STEP decades, rounded down; below LEAST decades they are 0.
 STEP, LEAST = 0.03, -7.62
 WEIGHT = 65535
+#: The same for contexts of two words.
+WEIGHT2 = 255
 
 
 def in_training(doc_ids: list, parts: int, held: int) -> np.ndarray:
@@ -89,6 +96,20 @@ def contexts(t: Tokens, counts: np.ndarray, total: int, bits: int) -> tuple[np.n
     return keys, known, pairs, pair_of, before, extra, spread
 
 
+def trigrams(t: Tokens, pair_of: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The block's trigrams: (sorted distinct ones, tokens that have one, place of each of these tokens' trigram).
+
+    A trigram is the place of its first two words' pair and 32 digits of the third word; the first
+    token of a text has none, the second one has BEGIN as its first word.
+    """
+    inner = np.ones(len(t.at), bool)
+    inner[t.starts] = False
+    inner = np.flatnonzero(inner)
+    third = (t.words & np.uint64(0xFFFFFFFF))[t.at[inner]]
+    found, place = np.unique(pair_of[inner - 1].astype(np.uint64) << np.uint64(32) | third, return_inverse=True)
+    return found, inner, place
+
+
 # Words and their counts.
 
 
@@ -141,11 +162,18 @@ def fit_weights(count: np.ndarray, total: np.ndarray, plain: np.ndarray, rounds:
     return weight
 
 
-def build_trie(pairs: np.ndarray, counts: np.ndarray, given: dict[int, int], plain: np.ndarray, folder: str) -> Path:
-    """Writes the levels of a shard: contexts, pointers, successors, probabilities, weights.
+def encode_shares(shares: np.ndarray) -> np.ndarray:
+    codes = np.floor((np.log10(np.maximum(shares, 1e-30)) - LEAST) / STEP) + 1
+    return np.clip(codes, 0, 255).astype(np.uint8)
+
+
+def build_trie(pairs: np.ndarray, counts: np.ndarray, given: dict[int, int], plain: np.ndarray, triples: np.ndarray, triple_counts: np.ndarray, least: float, folder: str) -> Path:
+    """Writes the levels of a shard: contexts, and pointers, successors, probabilities and weights of contexts of one and two words.
 
     pairs: sorted, 32 digits of the context and 32 of the successor, all with counts;
-    given: counts of contexts that other shards have parts of.
+    given: counts of contexts that other shards have parts of. triples: sorted, the place of the
+    first two words in pairs and 32 digits of the third, all with counts; least: the least
+    probability of a word.
     """
     ctx = (pairs >> np.uint64(32)).astype(np.int64)
     starts = np.flatnonzero(np.diff(ctx, prepend=-1))
@@ -159,15 +187,22 @@ def build_trie(pairs: np.ndarray, counts: np.ndarray, given: dict[int, int], pla
     size = np.frexp(total.astype(float))[1]
     weight = fit_weights(counts, total[rank], plain) if len(pairs) else np.zeros(64)
     share = weight[size][rank] * counts / total[rank]
-    codes = np.floor((np.log10(np.maximum(share, 1e-30)) - LEAST) / STEP) + 1
     taken = np.ceil(weight[size] * own / total * WEIGHT)
     successors = rank.astype(np.uint64) << np.uint64(32) | pairs & np.uint64(0xFFFFFFFF)
+    of = (triples >> np.uint64(32)).astype(np.int64)
+    weight2 = fit_weights(triple_counts, counts[of], np.full(len(of), least)) if len(of) else np.zeros(64)
+    size2 = np.frexp(counts.astype(float))[1]
+    share2 = weight2[size2][of] * triple_counts / counts[of]
     levels = {
         "contexts": elias_fano.encode(names.astype(np.uint64), 1 << 32),
         "pointers": elias_fano.encode(borders, len(pairs) + 1),
         "successors": elias_fano.encode(successors, max(len(starts), 1) << 32),
-        "probabilities": [np.clip(codes, 0, 255).astype(np.uint8)],
+        "probabilities": [encode_shares(share)],
         "weights": [np.clip(taken, 0, WEIGHT - 1).astype(np.uint16)],
+        "pointers_2": elias_fano.encode(np.append(0, np.cumsum(np.bincount(of, minlength=len(pairs)))), len(triples) + 1),
+        "successors_2": elias_fano.encode(triples, max(len(pairs), 1) << 32),
+        "probabilities_2": [encode_shares(share2)],
+        "weights_2": [np.clip(np.ceil(weight2[size2] * WEIGHT2), 0, WEIGHT2 - 1).astype(np.uint8)],
     }
     for name, arrays in levels.items():
         for i, a in enumerate(arrays):
@@ -180,35 +215,53 @@ class Trie:
 
     def __init__(self, folder: Path) -> None:
         read = lambda name, i: np.load(folder / f"{name}{i}.npy", mmap_mode="r")
-        self.contexts, self.pointers, self.successors = (EliasFano(*(read(name, i) for i in range(3))) for name in ("contexts", "pointers", "successors"))
-        self.probabilities, self.weights = read("probabilities", 0), read("weights", 0)
+        names = ("contexts", "pointers", "successors", "pointers_2", "successors_2")
+        self.contexts, self.pointers, self.successors, self.pointers_2, self.successors_2 = (EliasFano(*(read(name, i) for i in range(3))) for name in names)
+        self.probabilities, self.weights, self.probabilities_2, self.weights_2 = (read(name, 0) for name in ("probabilities", "weights", "probabilities_2", "weights_2"))
+
+    def look_up(self, ctx: np.ndarray, numbers: np.ndarray, words: np.ndarray, numbers_2: np.ndarray, words_2: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Codes of the words, numbers[i] of them after context i, and the weights of the contexts; 0 where unknown.
 
-    def look_up(self, ctx: np.ndarray, numbers: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Codes of the words, numbers[i] of them after context i, and the weights of the contexts; 0 where unknown."""
+        Then the same of words_2, numbers_2[i] of them after word i and its context, and of these pairs.
+        """
         codes, weights = np.zeros(len(words), np.uint8), np.zeros(len(ctx), np.uint16)
+        codes_2, weights_2 = np.zeros(len(words_2), np.uint8), np.zeros(len(words), np.uint8)
         if not self.contexts.n:
-            return codes, weights
+            return codes, weights, codes_2, weights_2
         place = np.minimum(self.contexts.successor(ctx), self.contexts.n - 1)
         known = self.contexts.get(place) == ctx
         weights[known] = self.weights[place[known]]
-        of = np.repeat(np.where(known, place, -1), numbers)
-        asked = np.flatnonzero(of >= 0)
-        wanted = of[asked].astype(np.uint64) << np.uint64(32) | words[asked]
-        found = self.successors.successor(wanted)
-        # the search is over the whole level, but a hit lies between its context's pointers
-        inside = found < self.pointers.get(of[asked] + 1).astype(np.int64)
-        asked, found, wanted = asked[inside], found[inside], wanted[inside]
-        hit = self.successors.get(found) == wanted
-        codes[asked[hit]] = self.probabilities[found[hit]]
-        return codes, weights
-
-
-BIGRAMS = "shard int, block long, ctx binary, numbers binary, known binary, words binary, counts binary, plain binary"
-ANSWERS = "shard int, block long, codes binary, weights binary"
-
-
-def bigram_answers(joined: DataFrame, bits: int, total: int, distinct: int, parts: int, held: int) -> DataFrame:
-    """ANSWERS to each block's bigrams from the tries of all shards. joined: blocks with their words' counts."""
+        asked, found = _below(self.pointers, self.successors, np.where(known, place, -1), numbers, words)
+        codes[asked] = self.probabilities[found]
+        if not self.successors_2.n:
+            return codes, weights, codes_2, weights_2
+        pair = np.full(len(words), -1)
+        pair[asked] = found
+        weights_2[asked] = self.weights_2[found]
+        asked, found = _below(self.pointers_2, self.successors_2, pair, numbers_2, words_2)
+        codes_2[asked] = self.probabilities_2[found]
+        return codes, weights, codes_2, weights_2
+
+
+def _below(pointers: EliasFano, successors: EliasFano, place: np.ndarray, numbers: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of the words, numbers[i] of them after the context at place[i] (-1: unknown), those that the level has, and where."""
+    of = np.repeat(place, numbers)
+    asked = np.flatnonzero(of >= 0)
+    wanted = of[asked].astype(np.uint64) << np.uint64(32) | words[asked]
+    found = successors.successor(wanted)
+    # the search is over the whole level, but a hit lies between its context's pointers
+    inside = found < pointers.get(of[asked] + 1).astype(np.int64)
+    asked, found, wanted = asked[inside], found[inside], wanted[inside]
+    hit = successors.get(found) == wanted
+    return asked[hit], found[hit]
+
+
+QUESTIONS = "shard int, block long, ctx binary, numbers binary, known binary, words binary, counts binary, plain binary, numbers_2 binary, words_2 binary, counts_2 binary"
+ANSWERS = "shard int, block long, codes binary, weights binary, codes_2 binary, weights_2 binary"
+
+
+def ngram_answers(joined: DataFrame, bits: int, total: int, distinct: int, parts: int, held: int) -> DataFrame:
+    """ANSWERS to each block's bigrams and trigrams from the tries of all shards. joined: blocks with their words' counts."""
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -227,10 +280,16 @@ def bigram_answers(joined: DataFrame, bits: int, total: int, distinct: int, part
                 cut = list(zip(at, at[1:], strict=False))
                 binary = lambda a, kind, c: pa.array([pack(a[x:y].astype(kind)) for x, y in c], pa.binary())
                 inner = [(ends[a], ends[b]) for a, b in cut]
+                triples, having, triple_of = trigrams(t, pair_of)
+                times_2 = np.bincount(triple_of[t.trains[having]], minlength=len(triples))
+                numbers_2 = np.bincount((triples >> np.uint64(32)).astype(np.int64), minlength=len(pairs))
+                ends_2 = np.append(0, np.cumsum(numbers_2))
+                inner_2 = [(ends_2[a], ends_2[b]) for a, b in inner]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(shards[at[:-1]], pa.int32()), pa.array(np.full(len(cut), row["block"])), binary(keys & np.uint64(0xFFFFFFFF), "<u4", cut), binary(numbers, "<u4", cut), binary(known, "<u8", cut)]
-                    + [binary(pairs & np.uint64(0xFFFFFFFF), "<u4", inner), binary(times, "<u4", inner), binary(plain, "u1", inner)],
-                    names=["shard", "block", "ctx", "numbers", "known", "words", "counts", "plain"],
+                    + [binary(pairs & np.uint64(0xFFFFFFFF), "<u4", inner), binary(times, "<u4", inner), binary(plain, "u1", inner)]
+                    + [binary(numbers_2, "<u4", inner), binary(triples & np.uint64(0xFFFFFFFF), "<u4", inner_2), binary(times_2, "<u4", inner_2)],
+                    names=["shard", "block", "ctx", "numbers", "known", "words", "counts", "plain", "numbers_2", "words_2", "counts_2"],
                 )
                 give_back()
 
@@ -244,20 +303,32 @@ def bigram_answers(joined: DataFrame, bits: int, total: int, distinct: int, part
         counts = np.bincount(inverse, times[trained], len(pairs)).astype(np.int64)
         likely = np.zeros(len(pairs))
         likely[inverse] = 2.0 ** (plain[trained] / 8) / (total + distinct + 1)
+        place = np.full(len(every), -1)
+        place[trained] = inverse
         del every, times, plain, inverse
+        of = np.repeat(place, np.concatenate([unpack(x, "<u4") for x in pdf["numbers_2"]]))
+        words_2 = np.concatenate([unpack(x, "<u4") for x in pdf["words_2"]])
+        times_2 = np.concatenate([unpack(x, "<u4") for x in pdf["counts_2"]])
+        trained = times_2 > 0  # then its first two words are, too
+        triples, inverse = np.unique(of[trained].astype(np.uint64) << np.uint64(32) | words_2[trained], return_inverse=True)
+        triple_counts = np.bincount(inverse, times_2[trained], len(triples)).astype(np.int64)
+        del place, of, words_2, times_2, trained, inverse
         given: dict[int, int] = {}
         for (ctx, _, _), data in zip(asked, pdf["known"], strict=True):
             known = unpack(data, "<u8")
             some = np.flatnonzero(known)
             given.update(zip(ctx[some].tolist(), known[some].tolist(), strict=True))
         with tempfile.TemporaryDirectory() as folder:
-            trie = Trie(build_trie(pairs, counts, given, likely, folder))
-            found = [trie.look_up(*a) for a in asked]
+            trie = Trie(build_trie(pairs, counts, given, likely, triples, triple_counts, 1 / (total + distinct + 1), folder))
+            del pairs, counts, likely, triples, triple_counts
+            found = []
+            for a, numbers, words in zip(asked, pdf["numbers_2"], pdf["words_2"], strict=True):
+                found.append([pack(x) for x in trie.look_up(*a, unpack(numbers, "<u4").astype(np.int64), unpack(words, "<u4").astype(np.uint64))])
             del trie
         give_back()
-        return pdf[["shard", "block"]].assign(codes=[pack(c) for c, _ in found], weights=[pack(w) for _, w in found])
+        return pdf[["shard", "block"]].assign(**dict(zip(("codes", "weights", "codes_2", "weights_2"), map(list, zip(*found, strict=True)), strict=True)))
 
-    return joined.mapInArrow(ask, BIGRAMS).groupBy("shard").applyInPandas(answer, ANSWERS)
+    return joined.mapInArrow(ask, QUESTIONS).groupBy("shard").applyInPandas(answer, ANSWERS)
 
 
 def word_counts(row: dict) -> np.ndarray:
@@ -283,8 +354,8 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     distinct, total = sums[0] or 0, sums[1] or 0
     counts = counted.filter("block >= 0").groupBy("block").agg(F.collect_list(F.struct("shard", "counts")).alias("counts"))  # a row per shard at most
     joined = table.select("block", "doc_ids", "sizes", "text").join(counts, "block")
-    answers = bigram_answers(joined, bits, total, distinct, parts, held)
-    answers = answers.groupBy("block").agg(F.collect_list(F.struct("shard", "codes", "weights")).alias("answers"))
+    answers = ngram_answers(joined, bits, total, distinct, parts, held)
+    answers = answers.groupBy("block").agg(F.collect_list(F.struct("shard", "codes", "weights", "codes_2", "weights_2")).alias("answers"))
     share = np.append(0.0, 10 ** (LEAST + STEP * np.arange(255)))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -304,6 +375,10 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 by_word[spread] = taken[np.searchsorted(keys, extra)].sum(1)
                 base = (counts[t.at] + 1) / (total + distinct + 1)
                 p = share[codes[pair_of]] + (1 - np.minimum(by_word[before], 0.999999)) * base
+                _, having, triple_of = trigrams(t, pair_of)
+                codes_2 = np.concatenate([unpack(x["codes_2"], "u1") for x in parts_])
+                taken_2 = np.concatenate([unpack(x["weights_2"], "u1") for x in parts_]) / WEIGHT2
+                p[having] = share[codes_2[triple_of]] + (1 - taken_2[pair_of[having - 1]]) * p[having]
                 sums = lambda x: np.add.reduceat(x, t.starts)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(row["doc_ids"], pa.int64()), pa.array(~t.training), pa.array(t.n), pa.array(sums((counts[t.at] > 0).astype(np.int64))), pa.array(np.full(len(t.n), total))] + [pa.array(sums(np.log10(x))) for x in (base, p)],
