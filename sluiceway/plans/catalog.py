@@ -230,11 +230,19 @@ def reprocess_dry_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Sources and streams.
 
 
-def partition_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _partitioned(spark: SparkSession, sf_dir: str, folders: str) -> DataFrame:
     root = scratch(spark)
     n = table(spark, sf_dir, "events").select("event_id", "event_type", (F.col("user_id") % 7).cast("int").alias("bucket_no"))
     n.repartition(4, "event_type", "bucket_no").write.partitionBy("event_type", "bucket_no").csv(root)
-    return spark.read.schema("event_id long, event_type string, bucket_no int").option("basePath", root).csv(f"{root}/event_type=*/bucket_no=3")
+    return spark.read.schema("event_id long, event_type string, bucket_no int").option("basePath", root).csv(f"{root}/{folders}")
+
+
+def partition_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _partitioned(spark, sf_dir, "event_type=*/bucket_no=3")
+
+
+def partition_columns_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _partitioned(spark, sf_dir, "event_type=*/bucket_no=*")
 
 
 def _round_trip(file_format: str, name: str, **options: str) -> Callable[[SparkSession, str], DataFrame]:
@@ -399,6 +407,7 @@ _ORACLES = {
     log_clean: _sql("SELECT batch_id FROM l GROUP BY 1 HAVING max(event_ms) < (SELECT max(event_ms) FROM l) - 20 * 86400000"),
     reprocess_dry_run: _sql("SELECT count(DISTINCT batch_id) AS batches, count(*) AS files FROM l WHERE batch_id BETWEEN 2 AND 9"),
     partition_columns: "SELECT event_id, event_type, CAST(user_id % 7 AS INT) AS bucket_no FROM events WHERE user_id % 7 = 3",
+    partition_columns_all: "SELECT event_id, event_type, CAST(user_id % 7 AS INT) AS bucket_no FROM events",
     csv_roundtrip: "SELECT * FROM customer",
     json_roundtrip: "SELECT * FROM customer",
     parquet_roundtrip: "SELECT * FROM customer",

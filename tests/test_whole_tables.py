@@ -54,3 +54,9 @@ def test_every_file_gets_a_verdict(spark):
     sf_dir = "/root/testdata/sf0.1"
     counts = {r.verdict: r.n for r in catalog.queries()["verdict_counts_by_trigger"](spark, sf_dir).collect()}
     assert sum(counts.values()) == catalog.created(spark, sf_dir).count() and counts[IN_LOG] > 0
+
+
+def test_all_partitions_are_read_back(spark, sf_dir):
+    got = catalog.queries()["partition_columns_all"](spark, sf_dir)
+    assert got.count() == catalog.table(spark, sf_dir, "events").count()
+    assert sorted(r.bucket_no for r in got.select("bucket_no").distinct().collect()) == list(range(7))
