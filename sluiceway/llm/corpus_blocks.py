@@ -14,12 +14,12 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluiceway.llm.common import SPACES, blocks, materialize
+from sluiceway.llm.common import SPACES, blocks, long_id, materialize
 
-BLOCKS = "block long, doc_ids array<long>, sizes array<int>, n_bytes long, text binary"
+BLOCKS = "block long, doc_ids array<long>, marks array<long>, sizes array<int>, n_bytes long, text binary"
 #: Text bytes hashed at once.
 HASHED = 1 << 20
 #: Distinct n-grams that a shard is meant to get from all blocks.
@@ -40,8 +40,17 @@ def unpack(data: bytes, kind: str) -> np.ndarray:
     return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), kind)
 
 
-def write_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents as written blocks of at most common.BLOCK_BYTES of text, or one document."""
+def pack_numbers(a: np.ndarray) -> bytes:
+    """32-bit numbers, their first bytes together, then their second ones, and so on, which packs better."""
+    return pack(a.astype("<u4").view("u1").reshape(-1, 4).T)
+
+
+def unpack_numbers(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(unpack(data, "u1").reshape(4, -1).T).view("<u4").ravel()
+
+
+def write_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mark: Column | None = None) -> DataFrame:
+    """The documents as written blocks of at most common.BLOCK_BYTES of text, or one document. mark: a long kept for each."""
 
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = TaskContext.get().partitionId() << 32
@@ -50,11 +59,11 @@ def write_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             texts = [t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()]
             sizes = list(map(len, texts))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([first + i]), pa.array([batch.column(0).to_pylist()], pa.list_(pa.int64())), pa.array([sizes], pa.list_(pa.int32())), pa.array([sum(sizes)]), pa.array([zip_(b"".join(texts))], pa.binary())],
-                names=["block", "doc_ids", "sizes", "n_bytes", "text"],
+                [pa.array([first + i]), pa.array([batch.column(0).to_pylist()], pa.list_(pa.int64())), pa.array([batch.column(2).to_pylist()], pa.list_(pa.int64())), pa.array([sizes], pa.list_(pa.int32())), pa.array([sum(sizes)]), pa.array([zip_(b"".join(texts))], pa.binary())],
+                names=["block", "doc_ids", "marks", "sizes", "n_bytes", "text"],
             )
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    rows = docs.select(long_id(docs, id_col), F.col(text_col).alias("text"), (F.lit(0).cast("long") if mark is None else mark).alias("mark"))
     return materialize(rows.mapInArrow(put, BLOCKS), "none")
 
 
@@ -67,9 +76,9 @@ def block_texts(row: dict) -> list[bytes]:
 
 
 def shard_bits(table: DataFrame) -> int:
-    """Binary digits of the number of shards, from the bytes of all blocks (a word has about 6)."""
+    """Binary digits of the number of shards, 6 to 24, from the bytes of all blocks (a word has about 6): up to 100 TB, a shard gets about PER_SHARD."""
     n = table.agg(F.sum("n_bytes")).first()[0] or 0
-    return min(20, max(6, (n // 6 // PER_SHARD).bit_length()))
+    return min(24, max(6, (n // 6 // PER_SHARD).bit_length()))
 
 
 def mix(h: np.ndarray) -> np.ndarray:

@@ -12,17 +12,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluiceway.llm.common import materialize, pick_rows, row_crc, strip_spaces
+from sluiceway.llm.common import materialize, pick_rows, row_hash, strip_spaces
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot_keys: int = 1024, tracked: int = 16384, hot_rows: int = 64) -> DataFrame:
-    """One row per input row: id, keep_id, group_size, kept, text_sha256, text_crc32
-    (of the text as it is).
+    """One row per input row: id, keep_id, group_size, kept, text_sha256, row_hash (of all columns).
 
     Texts are equal when identical without white space ([\\x20\\x09-\\x0D]); a null text
     counts as empty. Of equal texts the row with the most code points stays, then the one
-    with the smallest id (a null id comes last), then, for rows repeated entirely, any one.
-    Empty table: no rows. Other columns are ignored, whatever their names.
+    with the smallest id (a null id comes last), then that with the smallest row_hash; of
+    rows repeated entirely, any one. Empty table: no rows. Other columns only count in the
+    row_hash, whatever their names.
 
     hot_keys, tracked: rows broadcast at most, and counters of the summary (a power of 2).
     hot_rows: a digest with fewer rows is left to the shuffle.
@@ -33,10 +33,10 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             F.col(id_col).alias("doc_id"),
             F.length(text).cast("long").alias("n"),
             F.unhex(F.sha2(strip_spaces(text), 256)).alias("d"),
-            row_crc(text_col).alias("crc"),
+            row_hash(docs).alias("hash"),
         ).withColumn("r", F.monotonically_increasing_id())
     )
-    winner = F.min(F.struct((-F.col("n")).alias("n"), F.col("doc_id").isNull().alias("u"), F.col("doc_id").alias("id"), F.col("r").alias("r"))).alias("w")
+    winner = F.min(F.struct((-F.col("n")).alias("n"), F.col("doc_id").isNull().alias("u"), F.col("doc_id").alias("id"), F.col("hash").alias("hash"), F.col("r").alias("r"))).alias("w")
     found = keyed.agg(F.expr(f"approx_top_k(hex(d), {hot_keys}, {tracked})").alias("top"))
     named = found.select(F.explode("top.item").alias("h")).select(F.unhex("h").alias("d"))
     hot = materialize(
@@ -44,7 +44,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     )
     near = keyed.join(F.broadcast(hot), "d", "left")
     mine = near.filter(F.col("w").isNotNull())
-    rest = near.filter(F.col("w").isNull()).select("doc_id", "n", "d", "crc", "r")
+    rest = near.filter(F.col("w").isNull()).select("doc_id", "n", "d", "hash", "r")
     groups = rest.groupBy("d").agg(F.count(F.lit(1)).alias("group_size"), winner)
     rest = rest.join(groups, "d")
     columns = [
@@ -53,11 +53,11 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.col("group_size"),
         (F.col("r") == F.col("w.r")).alias("kept"),
         F.lower(F.hex("d")).alias("text_sha256"),
-        F.col("crc").alias("text_crc32"),
+        F.col("hash").alias("row_hash"),
     ]
     return mine.select(columns).unionByName(rest.select(columns))
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs that exact_dedup keeps, with all their columns."""
-    return pick_rows(docs, exact_dedup(docs, id_col, text_col).filter("kept"), id_col, text_col)
+    return pick_rows(docs, exact_dedup(docs, id_col, text_col).filter("kept"))

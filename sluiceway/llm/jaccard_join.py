@@ -19,7 +19,6 @@ A set's id is the first 64 bits of its digest: sets with equal ids count as equa
 from __future__ import annotations
 
 import hashlib
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluiceway.llm.common import give_back, materialize, pick_rows, release, scratch
+from sluiceway.llm.common import give_back, join_by_key, materialize, pick_rows, release, row_hash, scratch
 from sluiceway.llm.components import components
 from sluiceway.llm.corpus_blocks import block_texts, by_shard, pack, shard_bits, shingle_sets, unpack, write_blocks
 from sluiceway.llm.prefix_tree import connecting_links, links_with
@@ -104,7 +103,7 @@ def shingle_levels(table: DataFrame, k: int, bits: int) -> DataFrame:
 #: kind 0: a document; kind 1: a shared token in a set's prefix, n is how common the set's
 #: tokens are; kind 2: a set that has one, its shared tokens in `data` (64 bits each, then a
 #: level each).
-FOUND = "kind int, doc_id long, id long, n int, token long, data binary"  # token of a document: its text's crc32
+FOUND = "kind int, doc_id long, id long, n int, token long, data binary"  # token of a document: its row's hash
 _FOUND = pa.schema([("kind", pa.int32()), ("doc_id", pa.int64()), ("id", pa.int64()), ("n", pa.int32()), ("token", pa.int64()), ("data", pa.binary())])
 
 
@@ -118,7 +117,7 @@ def prefixes(table: DataFrame, levels: DataFrame, k: int, bits: int, num: int, d
                 ids, sets = _distinct_sets(texts, k)
                 keys, _ = _keys(sets, bits)
                 level = np.concatenate([np.zeros(0, np.uint8)] + [unpack(x["levels"], "u1") for x in sorted(row["parts"] or (), key=lambda x: x["shard"])])
-                docs = pa.RecordBatch.from_arrays([pa.array(np.zeros(len(ids), np.int32)), pa.array(row["doc_ids"], pa.int64()), pa.array(ids, pa.int64()), pa.array([len(sets[i]) for i in ids], pa.int32()), pa.array(list(map(zlib.crc32, texts)), pa.int64()), pa.nulls(len(ids), pa.binary())], schema=_FOUND)
+                docs = pa.RecordBatch.from_arrays([pa.array(np.zeros(len(ids), np.int32)), pa.array(row["doc_ids"], pa.int64()), pa.array(ids, pa.int64()), pa.array([len(sets[i]) for i in ids], pa.int32()), pa.array(row["marks"], pa.int64()), pa.nulls(len(ids), pa.binary())], schema=_FOUND)
                 yield docs
                 tokens, owners, commons, kept = [], [], [], []
                 for i, s in sets.items():
@@ -141,7 +140,7 @@ def prefixes(table: DataFrame, levels: DataFrame, k: int, bits: int, num: int, d
 
     parts = levels.groupBy("block").agg(F.collect_list(F.struct("shard", "levels")).alias("parts"))  # a row per shard at most
     path = scratch(table.sparkSession)
-    table.select("block", "doc_ids", "sizes", "text").join(parts, "block", "left").mapInArrow(find, FOUND).write.partitionBy("kind").option("compression", "zstd").parquet(path)
+    table.select("block", "doc_ids", "marks", "sizes", "text").join(parts, "block", "left").mapInArrow(find, FOUND).write.partitionBy("kind").option("compression", "zstd").parquet(path)
     return table.sparkSession.read.schema(FOUND).parquet(path)
 
 
@@ -180,9 +179,9 @@ def center_pairs(groups: DataFrame, classes: int = 1, seed: int = 0) -> DataFram
     whatever the number of its groups.
     """
     dealt = groups.withColumn("class", F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(classes)))
-    top = dealt.groupBy("token", "class").agg(F.max("common").alias("top"))
-    centers = dealt.join(top, ["token", "class"]).filter("common = top").groupBy("token", "class").agg(F.min(F.struct("id", "root")).alias("c"))
-    pairs = groups.join(centers, "token").filter(F.col("root") != F.col("c.root"))
+    best = F.min(F.struct((-F.col("common")).alias("common"), F.col("id").alias("id"), F.col("root").alias("root"))).alias("c")
+    centers = dealt.groupBy("token", "class").agg(best, F.count(F.lit(1)).alias("held"))
+    pairs = join_by_key(groups, materialize(centers), "token", "held").filter(F.col("root") != F.col("c.root"))
     return pairs.groupBy("id", "class").agg(F.min("c.id").alias("m")).select("id", "m").distinct()
 
 
@@ -228,24 +227,25 @@ def rooted(df: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text", star_rounds: int = 4) -> DataFrame:
-    """One row per input row: id, n_shingles, component_id, text_crc32, kept (one row of each component).
+    """One row per input row: id, n_shingles, component_id, row_hash (of all columns), kept (one row of each component).
 
     A text's set has its distinct shingles of k words (runs of other characters than
     [\\x20\\x09-\\x0D], A-Z in lower case), or the whole sequence of fewer words; a null text
     or one without words has an empty set, linked with nothing, and is a component alone.
     Two rows link when den * intersection >= num * union. component_id is the smallest id
     that links reach (null only if all are); its row is kept, or of several that with the
-    smallest checksum. Equal sets link; repeated ids are one component only if their sets
-    say so, but share the id. Empty table: no rows. Other columns are ignored.
+    smallest row_hash (of rows repeated entirely, all of these). Equal sets link; repeated ids are one component only if their sets
+    say so, but share the id. Empty table: no rows. Other columns only count
+    in the row_hash. Ids must be integers (else TypeError).
     """
-    table = write_blocks(docs, id_col, text_col)
+    table = write_blocks(docs, id_col, text_col, row_hash(docs))
     bits = shard_bits(table)
     found = prefixes(table, shingle_levels(table, k, bits), k, bits, num, den)
     release(docs.sparkSession, table)
-    base = found.filter("kind = 0").select("doc_id", "id", "n", F.col("token").alias("crc"))
+    base = found.filter("kind = 0").select("doc_id", "id", "n", F.col("token").alias("hash"))
     prefix = found.filter("kind = 1").select("token", "id", F.col("n").alias("common"))
-    shared = prefix.groupBy("token").agg(F.min("id").alias("least"), F.max("id").alias("most")).filter("least < most").select("token")
-    groups = materialize(prefix.join(shared, "token").distinct())
+    shared = materialize(prefix.groupBy("token").agg(F.min("id").alias("least"), F.max("id").alias("most"), F.count(F.lit(1)).alias("held")).filter("least < most").select("token", "held"))
+    groups = materialize(join_by_key(prefix, shared, "token", "held").drop("held").distinct())
     sets = found.filter("kind = 2").select("id", "n", "data").join(groups.select("id").distinct(), "id", "left_semi")
     sets = materialize(sets.groupBy("id").agg(F.first("n").alias("n"), F.first("data").alias("data")), "none")
     release(docs.sparkSession, found, but="kind=0")  # the documents are read once more
@@ -264,15 +264,15 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
     rest = materialize(rest_links(rooted(groups.select("token", "id"), roots), sets, num, den))
     roots = components(links.unionByName(rest))
 
-    placed = rooted(base, roots)
-    row = F.struct(F.col("doc_id").isNull().alias("u"), F.col("doc_id").alias("id"), F.col("crc").alias("crc"))
-    least = placed.filter("n > 0").groupBy("root").agg(F.min(row).alias("least"))
-    whole = placed.filter("n > 0").join(least, "root").withColumn("kept", row == F.col("least")).withColumn("least", F.col("least.id"))
+    placed = materialize(rooted(base, roots))
+    row = F.struct(F.col("doc_id").isNull().alias("u"), F.col("doc_id").alias("id"), F.col("hash").alias("hash"))
+    least = placed.filter("n > 0").groupBy("root").agg(F.min(row).alias("least"), F.count(F.lit(1)).alias("held"))
+    whole = join_by_key(placed.filter("n > 0"), least, "root", "held").withColumn("kept", row == F.col("least")).withColumn("least", F.col("least.id"))
     alone = placed.filter("n = 0").withColumn("kept", F.lit(True)).withColumn("least", F.col("doc_id"))
-    columns = [F.col("doc_id").alias(id_col), F.col("n").cast("long").alias("n_shingles"), F.col("least").alias("component_id"), F.col("crc").alias("text_crc32"), "kept"]
+    columns = [F.col("doc_id").alias(id_col), F.col("n").cast("long").alias("n_shingles"), F.col("least").alias("component_id"), F.col("hash").alias("row_hash"), "kept"]
     return whole.select(columns).unionByName(alone.select(columns))
 
 
 def keep_one_of_each(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of docs for each component, that with the smallest id, with all its columns."""
-    return pick_rows(docs, jaccard_components(docs, k, num, den, id_col, text_col).filter("kept"), id_col, text_col)
+    return pick_rows(docs, jaccard_components(docs, k, num, den, id_col, text_col).filter("kept"))

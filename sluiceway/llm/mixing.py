@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from sluiceway.llm.common import materialize, pick_rows, row_crc
+from sluiceway.llm.common import materialize, pick_rows, row_hash
 
 KEY_HEX = 15
 
@@ -48,13 +48,13 @@ def source_targets(rows: DataFrame, weights: tuple[int, ...], most: int) -> Data
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = (1, 2, 3), most: int = 3, ranges: int = 1024, seed: int = 0) -> DataFrame:
-    """One row per input row: id, size (words), source_size, target (its source's), taken, text_crc32.
+    """One row per input row: id, size (words), source_size, target (its source's), taken, row_hash (of all columns).
 
     Sources by code point, null last as a source of its own, have the weights in turn. A
     source's taken words are its target rounded down. A null text has size 0 and is taken
     0 times, as is every row of a source without words. Ties of the key (repeated ids) are
-    ordered by size and the text's checksum; equal rows share alike whichever comes first.
-    Empty table: no rows. Other columns are ignored.
+    ordered by size and row_hash; equal rows share alike whichever comes first. Empty table: no
+    rows. Other columns only count in the row_hash.
     """
     if ranges & (ranges - 1) or ranges < 1:
         raise ValueError("ranges must be a power of 2")
@@ -66,19 +66,19 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
             F.coalesce(F.concat(F.lit("="), F.col(source_col).cast("string")), F.lit("")).alias("skey"),
             n_words(F.col(text_col)).alias("size"),
             key.alias("key"),
-            row_crc(text_col).alias("crc"),
+            row_hash(docs).alias("hash"),
         )
     ).withColumn("range", F.shiftright("key", 4 * KEY_HEX - (ranges.bit_length() - 1)))
     sums = rows.groupBy("skey", "range").agg(F.sum("size").alias("held"))
     before = F.coalesce(F.sum("held").over(W.partitionBy("skey").orderBy("range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     plan = sums.select("skey", "range", before.alias("offset")).join(source_targets(rows, weights, most), "skey")
-    within = F.sum("size").over(W.partitionBy("skey", "range").orderBy("key", "doc_id", "size", "crc").rowsBetween(W.unboundedPreceding, 0))
+    within = F.sum("size").over(W.partitionBy("skey", "range").orderBy("key", "doc_id", "size", "hash").rowsBetween(W.unboundedPreceding, 0))
     rows = rows.withColumn("upto", within - F.col("size")).join(plan, ["skey", "range"])
     budget = F.floor("target")
     epochs = F.when(F.col("source_size") > 0, F.floor(budget / F.greatest("source_size", F.lit(1)))).otherwise(0)
     rows = rows.withColumn("epochs", epochs.cast("long")).withColumn("left", budget - F.col("epochs") * F.col("source_size"))
     extra = F.greatest(F.lit(0), F.least(F.col("size"), F.col("left") - (F.col("offset") + F.col("upto"))))
-    return rows.select(F.col("doc_id").alias(id_col), "size", "source_size", "target", (F.col("epochs") * F.col("size") + extra).cast("long").alias("taken"), F.col("crc").alias("text_crc32"))
+    return rows.select(F.col("doc_id").alias(id_col), "size", "source_size", "target", (F.col("epochs") * F.col("size") + extra).cast("long").alias("taken"), F.col("hash").alias("row_hash"))
 
 
 def draw(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
@@ -88,4 +88,4 @@ def draw(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     the text or more, so a source misses its target by less than one text.
     """
     taken = mix(docs, id_col, text_col, source_col, **options).filter("size > 0")
-    return pick_rows(docs, taken.withColumn("copies", F.floor(F.col("taken") / F.col("size") + 0.5)), id_col, text_col)
+    return pick_rows(docs, taken.withColumn("copies", F.floor(F.col("taken") / F.col("size") + 0.5)))

@@ -30,8 +30,21 @@ l AS (SELECT page_id, host, list_filter(list_transform(string_split(plain, chr(1
 e AS (SELECT page_id, host, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM l),
 h AS (SELECT host, count(*) AS total FROM l GROUP BY 1),
 c AS (SELECT host, line, count(DISTINCT page_id) AS pages FROM e GROUP BY 1, 2),
-b AS (SELECT host, line FROM c JOIN h USING (host) WHERE pages >= 3 AND pages > 0.2::DOUBLE * total),
+b AS (SELECT host, line FROM c JOIN h USING (host) WHERE pages >= 2 AND pages > 0.2::DOUBLE * total),
 m AS (SELECT page_id, pos, e.line, b.line IS NOT NULL AS dropped FROM e LEFT JOIN b ON e.host = b.host AND e.line = b.line),
 g AS (SELECT page_id, count(*) FILTER (WHERE dropped) AS n_dropped, coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), '') AS text FROM m GROUP BY 1)
 SELECT page_id, host, len(lines)::BIGINT AS n_lines, coalesce(n_dropped, 0)::BIGINT AS n_dropped, coalesce(text, '') AS text FROM l LEFT JOIN g USING (page_id)
 """
+
+JACCARD = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents),
+d AS (SELECT doc_id, CASE WHEN len(words) >= 4 THEN list_sort(list_distinct(list_transform(range(1, len(words) - 2), lambda i: array_to_string(words[i:i + 3], ' ')))) WHEN len(words) > 0 THEN [array_to_string(words, ' ')] ELSE [] END AS grams FROM w),
+s AS (SELECT min(doc_id) AS id, grams, len(grams) AS n FROM d WHERE len(grams) > 0 GROUP BY grams),
+e AS (SELECT id, n, unnest(grams) AS g FROM s),
+p AS (SELECT a.id AS a, b.id AS b, count(*) AS shared, any_value(a.n + b.n) AS sizes FROM e a JOIN e b ON a.g = b.g AND a.id < b.id GROUP BY 1, 2),
+k AS (SELECT a, b FROM p WHERE 100 * shared >= 85 * (sizes - shared)),
+l AS (SELECT a, b FROM k UNION ALL SELECT b, a FROM k),
+r AS (SELECT id, id AS root FROM s UNION SELECT l.b, r.root FROM r JOIN l ON l.a = r.id),
+c AS (SELECT grams, min(root) AS component_id FROM r JOIN s USING (id) GROUP BY grams)
+SELECT doc_id, len(d.grams)::BIGINT AS n_shingles, coalesce(component_id, doc_id) AS component_id FROM d LEFT JOIN c USING (grams)
+"""

@@ -5,9 +5,11 @@ import re
 import pytest
 
 import corpus_pipeline
-from sluiceway.llm import catalog
-from sluiceway.llm.common import materialize
-from sluiceway.llm.mixing import mix
+from sluiceway.llm import catalog, common
+from sluiceway.llm.common import materialize, row_hash
+from sluiceway.llm.exact_dedup import drop_copies
+from sluiceway.llm.jaccard_join import keep_one_of_each
+from sluiceway.llm.mixing import draw, mix
 from tests.llm import brute
 
 
@@ -85,6 +87,29 @@ def test_odd_rows_pass_all_stages(spark, odd, empty):
         docs.collect()
 
 
+def test_rows_that_differ_in_another_column_only_are_not_mixed_up(spark):
+    text = "one text of more than five words that two sources have"
+    docs = spark.createDataFrame([(1, text, "a"), (1, text, "b"), (2, "something else of that source a", "a"), (3, "and this is from the source b", "b"), (None, "x y z", "a"), (None, "x y z", "b"), (None, "x y z", "b")], "doc_id long, text string, source string")
+    taken = collections.Counter((r.doc_id, r.source) for r in draw(docs, weights=(1, 1)).collect())
+    assert taken[1, "a"] and taken[1, "b"] and taken[None, "a"] and taken[None, "b"]
+    for keep in (drop_copies, keep_one_of_each):
+        kept = collections.Counter(r.doc_id for r in keep(docs).collect())
+        assert (kept[1], kept[2], kept[3], kept[None]) == (1, 1, 1, 1)
+
+
+def test_names_of_rows(spark):
+    docs = spark.createDataFrame([(None, "a", {"k": 1}), ("a", None, {"k": 1}), ("a", None, {"k": 2}), ("a", None, None), ("a", None, None)], "x string, `y.z` string, m map<string, int>")
+    assert docs.select(row_hash(docs)).distinct().count() == 4
+
+
+def test_joins_by_key_with_frequent_keys(spark, monkeypatch):
+    monkeypatch.setattr(common, "HOT_KEYS", 2)
+    left = spark.createDataFrame([(k, i) for k in range(5) for i in range(10 * k + 1)], "k long, i long")
+    right = spark.createDataFrame([(k, 10 * k + 1, c) for k in (0, 1, 3, 4, 7) for c in ("x", "y")], "k long, held long, c string")
+    want = sorted(map(tuple, left.join(right, "k").select("k", "i", "c").collect()))
+    assert sorted(map(tuple, common.join_by_key(left, right, "k", "held").select("k", "i", "c").collect())) == want
+
+
 def test_every_operator_is_registered():
     assert [n.partition("_")[0] for n in catalog.queries()] == [f"op{i}" for i in range(1, 11)]
     assert set(catalog.oracle_sql()) <= set(catalog.queries())
