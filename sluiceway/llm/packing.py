@@ -19,12 +19,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from sluiceway.llm.common import blocks, materialize
+from sluiceway.llm.common import blocks, long_id, materialize
 from sluiceway.llm.tokens import tokenizer_path, with_end, worker_tokenizer
 
 RANK_PARTS = 256
 #: Chunks that a worker keeps, and text bytes that it encodes at once: both small, for memory.
-CACHED_CHUNKS, BLOCK = 150_000, 2 << 20
+CACHED_CHUNKS, BLOCK = 600_000, 2 << 20
 
 #: A pattern: [(length, times), ...] and the number of sequences of this content.
 Pattern = tuple[list[tuple[int, int]], int]
@@ -169,11 +169,11 @@ def placement(patterns: list[Pattern]) -> np.ndarray:
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-def tokenize_pieces(docs: DataFrame, tokenizer: str, kind: str, end: int, capacity: int, id_col: str, text_col: str) -> DataFrame:
+def tokenize_pieces(docs: DataFrame, tokenizer: str, kind: str, end: int, capacity: int, id_col: str, text_col: str, special_as_text: bool = False) -> DataFrame:
     """A row per piece (PIECES). Only texts longer than the capacity are cut."""
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tk = worker_tokenizer(tokenizer_path(tokenizer), kind, CACHED_CHUNKS)
+        tk = worker_tokenizer(tokenizer_path(tokenizer), kind, CACHED_CHUNKS, special_as_text)
         for batch in blocks(batches, limit=BLOCK):
             ids, lengths = with_end(*tk.encode(batch.column(1)), end)
             data = memoryview(ids.astype("<u4")).cast("B")
@@ -186,19 +186,22 @@ def tokenize_pieces(docs: DataFrame, tokenizer: str, kind: str, end: int, capaci
             crc = [zlib.crc32(data[a:b]) for a, b in zip(first.tolist(), (first + 4 * length).tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), pa.array(piece, pa.int32()), pa.array(start), pa.array(length), pa.array(crc, pa.int64())], names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(pieces, PIECES)
+    return docs.select(long_id(docs, id_col), F.col(text_col).alias("text")).mapInArrow(pieces, PIECES)
 
 
-def pack(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", kind: str = "spaceless", end: int = 1, capacity: int = 4096, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", kind: str = "spaceless", end: int = 1, capacity: int = 4096, id_col: str = "doc_id", text_col: str = "text", special_as_text: bool = False) -> DataFrame:
     """One row per piece: id, piece, start, length, ids_crc32, sequence_id, offset.
 
+    special_as_text: whether a special token's string in a text is ordinary text; if not, it is
+    that token, as the tokenizers library has it. Ids must be integers (else TypeError).
+
     A null or empty text is one piece with the end id alone. Only documents longer than the
     capacity are cut, into full pieces and a last one. Rows repeated entirely are packed each
     for itself; equal lengths are interchangeable, and which piece takes which place follows
     a hash of the id. Empty table: no rows. Other columns are ignored.
     """
     spark = docs.sparkSession
-    pieces = materialize(tokenize_pieces(docs, tokenizer, kind, end, capacity, id_col, text_col))
+    pieces = materialize(tokenize_pieces(docs, tokenizer, kind, end, capacity, id_col, text_col, special_as_text))
     counts = dict(map(tuple, pieces.groupBy("length").agg(F.count(F.lit(1))).collect()))  # at most `capacity` rows
     plan = spark.sparkContext.broadcast(placement(pack_counts(counts, capacity)))  # bounded by the lengths, not by the corpus
     parted = pieces.withColumn("part", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(RANK_PARTS)).cast("int"))
