@@ -4,11 +4,12 @@ A rolling gear hash cuts each payload where its last 32 bytes say so, hence equa
 give equal chunks wherever they stand. Spark joins on chunk digests find the chunks that are
 used more than once. The store keeps, once per distinct text, the ordered list of its chunk
 digests with the bytes of its own chunks, and once per shared chunk its bytes. Reading puts
-each medium together from its list and verifies every chunk by its digest. Only digests and
+each medium together from its list and verifies every chunk and the whole by their digests. Only digests and
 shared chunks are shuffled for that, besides one shuffle of compressed payloads.
 
-The stored form of a medium is a WAV file: a RIFF header, then the payload as mono samples
-of 8 bits. The header follows from the payload's length, so the store holds the samples only.
+The stored form of a medium is a WAV file: a RIFF header, which is the first chunk of its
+list, then the payload as mono samples of 8 bits. Parquet compresses the bytes of many media
+together, which takes less room than each by itself.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluiceway.llm.common import blocks, materialize, scratch
+from sluiceway.llm.common import blocks, materialize, release, scratch
 
 UNIT = 192
 RATE = 8000
@@ -101,18 +102,18 @@ _ARROW = pa.schema([("kind", pa.int32()), ("key", pa.binary()), ("n_bytes", pa.i
 
 
 def _stored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Kind 0: a text's list of chunks and the bytes of those not `away`. Kind 1: a shared chunk."""
-    zip_, unzip = zstandard.ZstdCompressor(level=6).compress, zstandard.ZstdDecompressor().decompress
-    for batch in blocks(batches, "data", 2 << 20):
+    """Kind 0: a text's list of chunks and the bytes of those not `away`. Kind 1: a shared chunk. Chunk 0 is the header."""
+    unzip = zstandard.ZstdDecompressor().decompress
+    for batch in blocks(batches, "data", 1 << 20):
         rows, out = batch.to_pylist(), []
         payloads = [unzip(r["data"]) for r in rows]
         for r, payload, ends in zip(rows, payloads, cuts(payloads), strict=True):
-            starts = [0, *ends[:-1]]
-            shared = {u["seq"]: u["own"] for u in r["uses"] or ()}
-            data = r["data"] if not shared else zip_(b"".join(payload[a:b] for i, (a, b) in enumerate(zip(starts, ends, strict=True)) if i not in shared))
-            digests = [digest(payload[a:b]) for a, b in zip(starts, ends, strict=True)]
-            out.append((0, r["key"], r["n_bytes"], digests, [b - a for a, b in zip(starts, ends, strict=True)], sorted(shared), data))
-            out += [(1, digests[i], None, None, None, None, zip_(payload[starts[i] : ends[i]])) for i, own in shared.items() if own]
+            parts = [wav_header(len(payload)), *(payload[a:b] for a, b in zip([0, *ends], ends, strict=False))]
+            shared = {u["seq"] + 1: u["own"] for u in r["uses"] or ()}
+            digests = [digest(p) for p in parts]
+            data = b"".join(p for i, p in enumerate(parts) if i not in shared)
+            out.append((0, r["key"], r["n_bytes"], digests, list(map(len, parts)), sorted(shared), data))
+            out += [(1, digests[i], None, None, None, None, parts[i]) for i, own in shared.items() if own]
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), _ARROW.types, strict=True)], schema=_ARROW)
 
 
@@ -122,10 +123,12 @@ def write_store(docs: DataFrame, path: str, text_col: str) -> DataFrame:
     chunks = materialize(texts.mapInArrow(_chunked, "d binary, key binary, seq int").distinct())
     owners = chunks.groupBy("d").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "seq")).alias("owner")).filter("n > 1")
     uses = chunks.join(owners, "d").select("key", F.struct("seq", (F.struct("key", "seq") == F.col("owner")).alias("own")).alias("use"))
-    uses = uses.groupBy("key").agg(F.collect_list("use").alias("uses"))  # a text's chunks at most
+    uses = materialize(uses.groupBy("key").agg(F.collect_list("use").alias("uses")))  # a text's chunks at most
+    release(docs.sparkSession, chunks)
     payloads = texts.mapInArrow(_compressed, "key binary, n_bytes long, data binary")
     payloads = payloads.groupBy("key").agg(F.first("n_bytes").alias("n_bytes"), F.first("data").alias("data"))
-    payloads.join(uses, "key", "left").mapInArrow(_stored, STORE).write.partitionBy("kind").option("compression", "none").parquet(path)
+    payloads.join(uses, "key", "left").mapInArrow(_stored, STORE).write.partitionBy("kind").option("compression", "zstd").parquet(path)
+    release(docs.sparkSession, uses)  # and the payloads' shuffle
     return docs.sparkSession.read.schema(STORE).parquet(path)
 
 
@@ -139,8 +142,11 @@ MEDIA = "key binary, n_bytes long, payload_bytes long, payload_sha256 string, ta
 _MEDIA_ARROW = pa.schema([("key", pa.binary()), ("n_bytes", pa.int64()), ("payload_bytes", pa.int64()), ("payload_sha256", pa.string()), ("tail_crc32", pa.int64()), ("media_bytes", pa.int64()), ("media_sha256", pa.string()), ("feature", pa.string())])
 
 
-def assemble(own: bytes, digests: list[bytes], lengths: list[int], away: dict[int, bytes]) -> bytes:
-    """The payload of an ordered chunk list; raises where a chunk isn't what its digest says."""
+def assemble(key: bytes, n_bytes: int, own: bytes, digests: list[bytes], lengths: list[int], away: dict[int, bytes]) -> bytes:
+    """The medium of an ordered chunk list.
+
+    Raises where a chunk isn't what its digest says, or the whole isn't the medium of the text of that key.
+    """
     parts, at = [], 0
     for i, (d, n) in enumerate(zip(digests, lengths, strict=True)):
         if i in away:
@@ -150,18 +156,20 @@ def assemble(own: bytes, digests: list[bytes], lengths: list[int], away: dict[in
         if len(part) != n or digest(part) != d:
             raise ValueError(f"chunk {d.hex()} is damaged")
         parts.append(part)
-    return b"".join(parts)
+    payload = b"".join(parts[1:])
+    if digest(payload[:n_bytes]) != key or as_payload(payload[:n_bytes]) != payload or parts[0] != wav_header(len(payload)):
+        raise ValueError(f"the list of {key.hex()} is damaged")
+    return parts[0] + payload
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    unzip = zstandard.ZstdDecompressor().decompress
     for batch in blocks(batches, "data", 2 << 20):
         out = []
         for r in batch.to_pylist():
-            away = {p["seq"]: unzip(p["data"]) for p in r.get("parts") or ()}
-            payload = assemble(unzip(r["data"]), r["digests"], r["lengths"], away)
-            header = wav_header(len(payload))
-            out.append((r["key"], r["n_bytes"], len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), len(header) + len(payload), hashlib.sha256(header + payload).hexdigest(), feature(np.frombuffer(payload, np.uint8))))
+            away = {p["seq"]: p["data"] for p in r.get("parts") or ()}
+            medium = assemble(r["key"], r["n_bytes"], r["data"], r["digests"], r["lengths"], away)
+            payload = medium[r["lengths"][0] :]
+            out.append((r["key"], r["n_bytes"], len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), len(medium), hashlib.sha256(medium).hexdigest(), feature(np.frombuffer(payload, np.uint8))))
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), _MEDIA_ARROW.types, strict=True)], schema=_MEDIA_ARROW)
 
 
