@@ -5,8 +5,10 @@ blocks of documents exchange their distinct n-grams with shards (see corpus_bloc
 holds the trie of its contexts: the context words, monotone pointers to their successors, the
 successors relative to their context, pointers from these bigrams to the words after them, these
 words relative to their bigram, and quantised probabilities, all in memory-mapped
-files that are searched with the blocks' questions. Contexts with more than 1/1024 of all
-tokens are dealt over many shards by successor, so no shard grows with a frequent word.
+files that are searched with the blocks' questions. Words are numbered: the exchange that
+counts them gives each 64-bit hash its rank, so contexts and successors are exact numbers and
+not digits of a hash. Contexts with more than 1/1024 of all tokens are dealt over many shards
+by successor, a fixed share of all shards, so no shard grows with a frequent word.
 
 p(w | c) = a * count(c w) / count(c) + (1 - a) * p(w), with a weight `a` by the size of the
 context's count that each shard fits to its counts by expectation maximisation, leaving each
@@ -32,14 +34,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluiceway.llm import elias_fano
-from sluiceway.llm.common import give_back, materialize
-from sluiceway.llm.corpus_blocks import block_texts, by_shard, chain_hashes, pack, shard_bits, unpack, word_hashes, write_blocks
+from sluiceway.llm.common import give_back, materialize, release
+from sluiceway.llm.corpus_blocks import block_texts, by_shard, chain_hashes, pack, pack_numbers, shard_bits, unpack, unpack_numbers, word_hashes, write_blocks
 from sluiceway.llm.elias_fano import EliasFano
 
 BEGIN, END = (chain_hashes([np.array([i], np.uint64)] * 3)[0] for i in (1, 2))
-#: A context with more than 1 / HOT of all tokens is dealt over SPREAD shards.
+#: A context with more than 1 / HOT of all tokens is dealt over one SPREAD-th of the shards, but SPREAD of them at least.
 HOT = 1024
 SPREAD = 64
+LOW = np.uint64(0xFFFFFFFF)
 #: Probabilities are kept in steps of STEP decades, rounded down; below LEAST decades they are 0.
 STEP, LEAST = 0.03, -7.62
 WEIGHT = 65535
@@ -68,53 +71,73 @@ class Tokens:
         self.words, self.at = np.unique(tokens, return_inverse=True)
 
 
-def contexts(t: Tokens, counts: np.ndarray, total: int, bits: int) -> tuple[np.ndarray, ...]:
-    """The block's bigrams by context: (keys, counts of hot ones, pairs, place of each token's pair, first context of each pair's word).
+class Contexts:
+    """The block's bigrams by context.
 
-    keys: sorted, of 32 digits in the shard after the shard's. pairs: sorted, a place in keys
-    and 32 digits of the successor. A hot context has a key in each of its shards.
+    keys: sorted, a shard and 32 digits of the context's number. pairs: sorted, a place in keys and
+    32 digits of the successor's number; pair_of: the place of each token's pair. A hot context has
+    a key in each of its shards, with its count in `known`. Numbers are exact up to 2**32 distinct words.
     """
-    low = np.uint64(0xFFFFFFFF)
-    names = np.append(t.words, BEGIN)
-    totals = np.append(counts, counts[np.searchsorted(t.words, END)])
-    hot = totals * HOT > total
-    shards, ctx = (names >> np.uint64(64 - bits)), names >> np.uint64(32 - bits) & low
-    before = np.empty_like(t.at)
-    before[1:] = t.at[:-1]
-    before[t.starts] = len(t.words)
-    successor = t.words & low  # digits that the shard of a word does not show
-    part = np.where(hot[before], successor[t.at] >> np.uint64(26), 0).astype(np.uint64)
-    shard = shards[before] + part & np.uint64((1 << bits) - 1)
-    mine = shard << np.uint64(32) | ctx[before]
-    spread = np.flatnonzero(hot & np.isin(np.arange(len(names)), before))
-    extra = ((shards[spread][:, None] + np.arange(SPREAD, dtype=np.uint64)) & np.uint64((1 << bits) - 1)) << np.uint64(32) | ctx[spread][:, None]
-    keys = np.unique(np.concatenate([mine, extra.ravel()]))
-    known = np.zeros(len(keys), np.int64)
-    known[np.searchsorted(keys, extra.ravel())] = np.repeat(totals[spread], SPREAD)
-    place = np.searchsorted(keys, mine).astype(np.uint64)
-    pairs, pair_of = np.unique(place << np.uint64(32) | successor[t.at], return_inverse=True)
-    return keys, known, pairs, pair_of, before, extra, spread
-
-
-def trigrams(t: Tokens, pair_of: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+
+    def __init__(self, t: Tokens, counts: np.ndarray, ids: np.ndarray, begin: int, total: int, bits: int) -> None:
+        names = np.append(ids, begin).astype(np.uint64) & LOW
+        shards = np.append(t.words, BEGIN) >> np.uint64(64 - bits)
+        every, spread = np.uint64((1 << bits) - 1), 1 << max(SPREAD.bit_length() - 1, bits - SPREAD.bit_length() + 1)
+        totals = np.append(counts, counts[np.searchsorted(t.words, END)])
+        hot = totals * HOT > total
+        before = np.empty_like(t.at)
+        before[1:] = t.at[:-1]
+        before[t.starts] = len(t.words)
+        used = np.zeros(len(names), bool)
+        used[before] = True
+        own, dealt, plain = shards << np.uint64(32) | names, np.flatnonzero(hot & used), np.flatnonzero(~hot & used)
+        extra = (shards[dealt][:, None] + np.arange(spread, dtype=np.uint64) & every) << np.uint64(32) | names[dealt][:, None]
+        self.keys = np.sort(np.concatenate([own[plain], extra.ravel()]))
+        # where each context's keys are, so that no token has to be searched for
+        self._plain, self._dealt = plain, dealt
+        self._place, self._places = np.searchsorted(self.keys, own[plain]), np.searchsorted(self.keys, extra)
+        self.known = np.zeros(len(self.keys), np.int64)
+        self.known[self._places.ravel()] = np.repeat(totals[dealt], spread)
+        by_word, row = np.zeros(len(names), np.int64), np.zeros(len(names), np.int64)
+        by_word[plain], row[dealt] = self._place, np.arange(len(dealt))
+        place, on = by_word[before], np.flatnonzero(hot[before])
+        place[on] = self._places[row[before[on]], (names[t.at[on]] & np.uint64(spread - 1)).astype(np.int64)]
+        self.pairs, self.pair_of = np.unique(place.astype(np.uint64) << np.uint64(32) | names[t.at], return_inverse=True)
+        self.before, self.names = before, names
+
+    def taken(self, of_keys: np.ndarray) -> np.ndarray:
+        """What bigrams take of each word as a context, from what they take of each key: for a hot one, the sum over its shards."""
+        out = np.zeros(len(self.names))
+        out[self._plain] = of_keys[self._place]
+        out[self._dealt] = of_keys[self._places].sum(1)
+        return out
+
+
+def trigrams(t: Tokens, c: Contexts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The block's trigrams: (sorted distinct ones, tokens that have one, place of each of these tokens' trigram).
 
-    A trigram is the place of its first two words' pair and 32 digits of the third word; the first
+    A trigram is the place of its first two words' pair and 32 digits of the third word's number; the first
     token of a text has none, the second one has BEGIN as its first word.
     """
     inner = np.ones(len(t.at), bool)
     inner[t.starts] = False
     inner = np.flatnonzero(inner)
-    third = (t.words & np.uint64(0xFFFFFFFF))[t.at[inner]]
-    found, place = np.unique(pair_of[inner - 1].astype(np.uint64) << np.uint64(32) | third, return_inverse=True)
+    third = c.names[t.at[inner]]
+    found, place = np.unique(c.pair_of[inner - 1].astype(np.uint64) << np.uint64(32) | third, return_inverse=True)
     return found, inner, place
 
 
 # Words and their counts.
 
 
+COUNTED = "shard int, block long, counts binary, ranks binary, v long, n long, known long"
+
+
 def count_words(table: DataFrame, bits: int, parts: int, held: int) -> DataFrame:
-    """(shard, block, counts, v, n): training counts of the block's words; v and n (of the shard) where block is null."""
+    """COUNTED: training counts of the block's words, and their ranks among the shard's words, the most frequent first.
+
+    Where block is null, of the shard: v and n, words and occurrences in training, and known, all words.
+    """
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -129,11 +152,21 @@ def count_words(table: DataFrame, bits: int, parts: int, held: int) -> DataFrame
         words = [unpack(x, "<u8") for x in pdf["words"]]
         known, inverse = np.unique(np.concatenate(words), return_inverse=True)
         totals = np.bincount(inverse, np.concatenate([unpack(x, "<u4") for x in pdf["counts"]]), len(known)).astype("<u8")
-        ends, given = np.cumsum([0, *map(len, words)]), totals[inverse]
-        blocks = pdf[["shard", "block"]].assign(counts=[pack(given[a:b]) for a, b in zip(ends, ends[1:], strict=False)], v=0, n=0)
-        return pd.concat([blocks, pd.DataFrame({"shard": pdf["shard"][:1], "block": -1, "counts": [b""], "v": int((totals > 0).sum()), "n": int(totals.sum())})])
+        rank = np.empty(len(known), np.uint32)
+        rank[np.argsort(-totals.astype(np.int64), kind="stable")] = np.arange(len(known), dtype=np.uint32)
+        ends, given, ranks = np.cumsum([0, *map(len, words)]), totals[inverse], rank[inverse]
+        cut = list(zip(ends, ends[1:], strict=False))
+        blocks = pdf[["shard", "block"]].assign(counts=[pack(given[a:b]) for a, b in cut], ranks=[pack_numbers(ranks[a:b]) for a, b in cut], v=0, n=0, known=0)
+        return pd.concat([blocks, pd.DataFrame({"shard": pdf["shard"][:1], "block": -1, "counts": [b""], "ranks": [b""], "v": int((totals > 0).sum()), "n": int(totals.sum()), "known": len(known)})])
+
+    return table.select("block", "doc_ids", "sizes", "text").mapInArrow(ask, "shard int, block long, words binary, counts binary").groupBy("shard").applyInPandas(answer, COUNTED)
 
-    return table.select("block", "doc_ids", "sizes", "text").mapInArrow(ask, "shard int, block long, words binary, counts binary").groupBy("shard").applyInPandas(answer, "shard int, block long, counts binary, v long, n long")
+
+def word_counts(row: dict, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Training counts and numbers of the block's words. A number is a rank in a shard and the shard: frequent words have small ones."""
+    parts = sorted(row["counts"], key=lambda x: x["shard"])
+    counts = np.concatenate([unpack(x["counts"], "<u8") for x in parts]).astype(np.int64)
+    return counts, np.concatenate([unpack_numbers(x["ranks"]).astype(np.int64) << bits | x["shard"] for x in parts])
 
 
 # The trie of a shard.
@@ -167,13 +200,13 @@ def encode_shares(shares: np.ndarray) -> np.ndarray:
     return np.clip(codes, 0, 255).astype(np.uint8)
 
 
-def build_trie(pairs: np.ndarray, counts: np.ndarray, given: dict[int, int], plain: np.ndarray, triples: np.ndarray, triple_counts: np.ndarray, least: float, folder: str) -> Path:
+def build_trie(pairs: np.ndarray, counts: np.ndarray, given: dict[int, int], plain: np.ndarray, triples: np.ndarray, triple_counts: np.ndarray, least: float, width: int, folder: str) -> Path:
     """Writes the levels of a shard: contexts, and pointers, successors, probabilities and weights of contexts of one and two words.
 
     pairs: sorted, 32 digits of the context and 32 of the successor, all with counts;
     given: counts of contexts that other shards have parts of. triples: sorted, the place of the
     first two words in pairs and 32 digits of the third, all with counts; least: the least
-    probability of a word.
+    probability of a word; width: digits of a word's number, which is all that the levels keep.
     """
     ctx = (pairs >> np.uint64(32)).astype(np.int64)
     starts = np.flatnonzero(np.diff(ctx, prepend=-1))
@@ -188,19 +221,20 @@ def build_trie(pairs: np.ndarray, counts: np.ndarray, given: dict[int, int], pla
     weight = fit_weights(counts, total[rank], plain) if len(pairs) else np.zeros(64)
     share = weight[size][rank] * counts / total[rank]
     taken = np.ceil(weight[size] * own / total * WEIGHT)
-    successors = rank.astype(np.uint64) << np.uint64(32) | pairs & np.uint64(0xFFFFFFFF)
+    relative = lambda place, word: place.astype(np.uint64) << np.uint64(width) | word & LOW
     of = (triples >> np.uint64(32)).astype(np.int64)
     weight2 = fit_weights(triple_counts, counts[of], np.full(len(of), least)) if len(of) else np.zeros(64)
     size2 = np.frexp(counts.astype(float))[1]
     share2 = weight2[size2][of] * triple_counts / counts[of]
     levels = {
+        "width": [np.array([width])],
         "contexts": elias_fano.encode(names.astype(np.uint64), 1 << 32),
         "pointers": elias_fano.encode(borders, len(pairs) + 1),
-        "successors": elias_fano.encode(successors, max(len(starts), 1) << 32),
+        "successors": elias_fano.encode(relative(rank, pairs), max(len(starts), 1) << width),
         "probabilities": [encode_shares(share)],
         "weights": [np.clip(taken, 0, WEIGHT - 1).astype(np.uint16)],
         "pointers_2": elias_fano.encode(np.append(0, np.cumsum(np.bincount(of, minlength=len(pairs)))), len(triples) + 1),
-        "successors_2": elias_fano.encode(triples, max(len(pairs), 1) << 32),
+        "successors_2": elias_fano.encode(relative(of, triples), max(len(pairs), 1) << width),
         "probabilities_2": [encode_shares(share2)],
         "weights_2": [np.clip(np.ceil(weight2[size2] * WEIGHT2), 0, WEIGHT2 - 1).astype(np.uint8)],
     }
@@ -214,9 +248,10 @@ class Trie:
     """A shard's trie, its levels memory-mapped."""
 
     def __init__(self, folder: Path) -> None:
-        read = lambda name, i: np.load(folder / f"{name}{i}.npy", mmap_mode="r")
+        read = lambda name, i: np.load(folder / f"{name}{i}.npy", mmap_mode="r").view(np.ndarray)
         names = ("contexts", "pointers", "successors", "pointers_2", "successors_2")
-        self.contexts, self.pointers, self.successors, self.pointers_2, self.successors_2 = (EliasFano(*(read(name, i) for i in range(3))) for name in names)
+        self.contexts, self.pointers, self.successors, self.pointers_2, self.successors_2 = (EliasFano(*(read(name, i) for i in range(5))) for name in names)
+        self.width = int(read("width", 0)[0])
         self.probabilities, self.weights, self.probabilities_2, self.weights_2 = (read(name, 0) for name in ("probabilities", "weights", "probabilities_2", "weights_2"))
 
     def look_up(self, ctx: np.ndarray, numbers: np.ndarray, words: np.ndarray, numbers_2: np.ndarray, words_2: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -228,47 +263,43 @@ class Trie:
         codes_2, weights_2 = np.zeros(len(words_2), np.uint8), np.zeros(len(words), np.uint8)
         if not self.contexts.n:
             return codes, weights, codes_2, weights_2
-        place = np.minimum(self.contexts.successor(ctx), self.contexts.n - 1)
-        known = self.contexts.get(place) == ctx
-        weights[known] = self.weights[place[known]]
-        asked, found = _below(self.pointers, self.successors, np.where(known, place, -1), numbers, words)
+        place = self.contexts.find(ctx)
+        weights[place >= 0] = self.weights[place[place >= 0]]
+        asked, found = self._below(self.pointers, self.successors, place, numbers, words)
         codes[asked] = self.probabilities[found]
         if not self.successors_2.n:
             return codes, weights, codes_2, weights_2
         pair = np.full(len(words), -1)
         pair[asked] = found
         weights_2[asked] = self.weights_2[found]
-        asked, found = _below(self.pointers_2, self.successors_2, pair, numbers_2, words_2)
+        asked, found = self._below(self.pointers_2, self.successors_2, pair, numbers_2, words_2)
         codes_2[asked] = self.probabilities_2[found]
         return codes, weights, codes_2, weights_2
 
-
-def _below(pointers: EliasFano, successors: EliasFano, place: np.ndarray, numbers: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of the words, numbers[i] of them after the context at place[i] (-1: unknown), those that the level has, and where."""
-    of = np.repeat(place, numbers)
-    asked = np.flatnonzero(of >= 0)
-    wanted = of[asked].astype(np.uint64) << np.uint64(32) | words[asked]
-    found = successors.successor(wanted)
-    # the search is over the whole level, but a hit lies between its context's pointers
-    inside = found < pointers.get(of[asked] + 1).astype(np.int64)
-    asked, found, wanted = asked[inside], found[inside], wanted[inside]
-    hit = successors.get(found) == wanted
-    return asked[hit], found[hit]
+    def _below(self, pointers: EliasFano, successors: EliasFano, place: np.ndarray, numbers: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of the words, numbers[i] of them after the context at place[i] (-1: unknown), those that the level has, and where."""
+        known = place >= 0
+        some = np.zeros(len(place), bool)  # contexts with a range of successors between their pointers
+        some[known] = pointers.get(place[known] + 1) > pointers.get(place[known])
+        asked = np.flatnonzero(np.repeat(some, numbers))
+        found = successors.find(np.repeat(place, numbers)[asked].astype(np.uint64) << np.uint64(self.width) | words[asked])
+        return asked[found >= 0], found[found >= 0]
 
 
 QUESTIONS = "shard int, block long, ctx binary, numbers binary, known binary, words binary, counts binary, plain binary, numbers_2 binary, words_2 binary, counts_2 binary"
 ANSWERS = "shard int, block long, codes binary, weights binary, codes_2 binary, weights_2 binary"
 
 
-def ngram_answers(joined: DataFrame, bits: int, total: int, distinct: int, parts: int, held: int) -> DataFrame:
+def ngram_answers(joined: DataFrame, bits: int, total: int, distinct: int, begin: int, parts: int, held: int) -> DataFrame:
     """ANSWERS to each block's bigrams and trigrams from the tries of all shards. joined: blocks with their words' counts."""
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 t = Tokens(row, parts, held)
-                counts = word_counts(row)
-                keys, known, pairs, pair_of, *_ = contexts(t, counts, total, bits)
+                counts, ids = word_counts(row, bits)
+                c = Contexts(t, counts, ids, begin, total, bits)
+                keys, known, pairs, pair_of = c.keys, c.known, c.pairs, c.pair_of
                 times = np.bincount(pair_of[t.trains], minlength=len(pairs))
                 level = np.minimum(np.round(8 * np.log2(counts + 1.0)), 255).astype(np.uint8)
                 plain = np.zeros(len(pairs), np.uint8)
@@ -279,22 +310,25 @@ def ngram_answers(joined: DataFrame, bits: int, total: int, distinct: int, parts
                 at = np.append(np.flatnonzero(np.diff(shards, prepend=-1)), len(keys))
                 cut = list(zip(at, at[1:], strict=False))
                 binary = lambda a, kind, c: pa.array([pack(a[x:y].astype(kind)) for x, y in c], pa.binary())
+                numbers_ = lambda a, c: pa.array([pack_numbers(a[x:y]) for x, y in c], pa.binary())
                 inner = [(ends[a], ends[b]) for a, b in cut]
-                triples, having, triple_of = trigrams(t, pair_of)
+                triples, having, triple_of = trigrams(t, c)
                 times_2 = np.bincount(triple_of[t.trains[having]], minlength=len(triples))
                 numbers_2 = np.bincount((triples >> np.uint64(32)).astype(np.int64), minlength=len(pairs))
                 ends_2 = np.append(0, np.cumsum(numbers_2))
                 inner_2 = [(ends_2[a], ends_2[b]) for a, b in inner]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(shards[at[:-1]], pa.int32()), pa.array(np.full(len(cut), row["block"])), binary(keys & np.uint64(0xFFFFFFFF), "<u4", cut), binary(numbers, "<u4", cut), binary(known, "<u8", cut)]
-                    + [binary(pairs & np.uint64(0xFFFFFFFF), "<u4", inner), binary(times, "<u4", inner), binary(plain, "u1", inner)]
-                    + [binary(numbers_2, "<u4", inner), binary(triples & np.uint64(0xFFFFFFFF), "<u4", inner_2), binary(times_2, "<u4", inner_2)],
+                    [pa.array(shards[at[:-1]], pa.int32()), pa.array(np.full(len(cut), row["block"])), numbers_(keys & LOW, cut), binary(numbers, "<u4", cut), binary(known, "<u8", cut)]
+                    + [numbers_(pairs & LOW, inner), binary(times, "<u4", inner), binary(plain, "u1", inner)]
+                    + [binary(numbers_2, "<u4", inner), numbers_(triples & LOW, inner_2), binary(times_2, "<u4", inner_2)],
                     names=["shard", "block", "ctx", "numbers", "known", "words", "counts", "plain", "numbers_2", "words_2", "counts_2"],
                 )
                 give_back()
 
+    width = min(max((begin - 1).bit_length(), 1), 32)  # no word has the number of BEGIN
+
     def answer(pdf: pd.DataFrame) -> pd.DataFrame:
-        asked = [(unpack(r.ctx, "<u4").astype(np.uint64), unpack(r.numbers, "<u4").astype(np.int64), unpack(r.words, "<u4").astype(np.uint64)) for r in pdf.itertuples()]
+        asked = [(unpack_numbers(r.ctx).astype(np.uint64), unpack(r.numbers, "<u4").astype(np.int64), unpack_numbers(r.words).astype(np.uint64)) for r in pdf.itertuples()]
         every = np.concatenate([np.repeat(c, n) << np.uint64(32) | w for c, n, w in asked])
         times = np.concatenate([unpack(x, "<u4") for x in pdf["counts"]])
         plain = np.concatenate([unpack(x, "u1") for x in pdf["plain"]])
@@ -307,7 +341,7 @@ def ngram_answers(joined: DataFrame, bits: int, total: int, distinct: int, parts
         place[trained] = inverse
         del every, times, plain, inverse
         of = np.repeat(place, np.concatenate([unpack(x, "<u4") for x in pdf["numbers_2"]]))
-        words_2 = np.concatenate([unpack(x, "<u4") for x in pdf["words_2"]])
+        words_2 = np.concatenate([unpack_numbers(x) for x in pdf["words_2"]])
         times_2 = np.concatenate([unpack(x, "<u4") for x in pdf["counts_2"]])
         trained = times_2 > 0  # then its first two words are, too
         triples, inverse = np.unique(of[trained].astype(np.uint64) << np.uint64(32) | words_2[trained], return_inverse=True)
@@ -319,11 +353,11 @@ def ngram_answers(joined: DataFrame, bits: int, total: int, distinct: int, parts
             some = np.flatnonzero(known)
             given.update(zip(ctx[some].tolist(), known[some].tolist(), strict=True))
         with tempfile.TemporaryDirectory() as folder:
-            trie = Trie(build_trie(pairs, counts, given, likely, triples, triple_counts, 1 / (total + distinct + 1), folder))
+            trie = Trie(build_trie(pairs, counts, given, likely, triples, triple_counts, 1 / (total + distinct + 1), width, folder))
             del pairs, counts, likely, triples, triple_counts
             found = []
             for a, numbers, words in zip(asked, pdf["numbers_2"], pdf["words_2"], strict=True):
-                found.append([pack(x) for x in trie.look_up(*a, unpack(numbers, "<u4").astype(np.int64), unpack(words, "<u4").astype(np.uint64))])
+                found.append([pack(x) for x in trie.look_up(*a, unpack(numbers, "<u4").astype(np.int64), unpack_numbers(words).astype(np.uint64))])
             del trie
         give_back()
         return pdf[["shard", "block"]].assign(**dict(zip(("codes", "weights", "codes_2", "weights_2"), map(list, zip(*found, strict=True)), strict=True)))
@@ -331,10 +365,6 @@ def ngram_answers(joined: DataFrame, bits: int, total: int, distinct: int, parts
     return joined.mapInArrow(ask, QUESTIONS).groupBy("shard").applyInPandas(answer, ANSWERS)
 
 
-def word_counts(row: dict) -> np.ndarray:
-    return np.concatenate([unpack(x["counts"], "<u8") for x in sorted(row["counts"], key=lambda x: x["shard"])]).astype(np.int64)
-
-
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
@@ -345,16 +375,20 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     counted. A text's tokens are its words (runs of other characters than [\\x20\\x09-\\x0D],
     A-Z in lower case) and an end; a null or empty text is its end alone. Repeated rows are
     counted as often as they are there. Without training rows all scores are 0. Empty table:
-    no rows. Other columns are ignored.
+    no rows. Other columns are ignored. Ids must be integers (else TypeError).
     """
+    spark = docs.sparkSession
     table = write_blocks(docs, id_col, text_col)
     bits = shard_bits(table)
     counted = materialize(count_words(table, bits, parts, held), "none")
-    sums = counted.agg(F.sum("v"), F.sum("n")).first()
-    distinct, total = sums[0] or 0, sums[1] or 0
-    counts = counted.filter("block >= 0").groupBy("block").agg(F.collect_list(F.struct("shard", "counts")).alias("counts"))  # a row per shard at most
-    joined = table.select("block", "doc_ids", "sizes", "text").join(counts, "block")
-    answers = ngram_answers(joined, bits, total, distinct, parts, held)
+    sums = counted.agg(F.sum("v"), F.sum("n"), F.max("known")).first()
+    distinct, total, begin = sums[0] or 0, sums[1] or 0, (sums[2] or 0) << bits  # no word has the number `begin`
+    counts = counted.filter("block >= 0").groupBy("block").agg(F.collect_list(F.struct("shard", "counts", "ranks")).alias("counts"))  # a row per shard at most
+    # each exchange is written, so that its shuffle and what it was made of can go before the next
+    joined = materialize(table.select("block", "doc_ids", "sizes", "text").join(counts, "block"), "none")
+    release(spark, table, counted)
+    answers = materialize(ngram_answers(joined, bits, total, distinct, begin, parts, held), "none")
+    release(spark)
     answers = answers.groupBy("block").agg(F.collect_list(F.struct("shard", "codes", "weights", "codes_2", "weights_2")).alias("answers"))
     share = np.append(0.0, 10 ** (LEAST + STEP * np.arange(255)))
 
@@ -362,23 +396,17 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         for batch in batches:
             for row in batch.to_pylist():
                 t = Tokens(row, parts, held)
-                counts = word_counts(row)
-                keys, _, _, pair_of, before, extra, spread = contexts(t, counts, total, bits)
+                counts, ids = word_counts(row, bits)
+                c = Contexts(t, counts, ids, begin, total, bits)
                 parts_ = sorted(row["answers"], key=lambda x: x["shard"])
                 codes = np.concatenate([unpack(x["codes"], "u1") for x in parts_])
-                taken = np.concatenate([unpack(x["weights"], "<u2") for x in parts_]) / WEIGHT
-                # what bigrams take of each context: for a hot one, the sum over its shards
-                names = np.append(t.words, BEGIN)
-                own = names >> np.uint64(64 - bits) << np.uint64(32) | names >> np.uint64(32 - bits) & np.uint64(0xFFFFFFFF)
-                place = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
-                by_word = np.where(keys[place] == own, taken[place], 0.0)
-                by_word[spread] = taken[np.searchsorted(keys, extra)].sum(1)
+                by_word = c.taken(np.concatenate([unpack(x["weights"], "<u2") for x in parts_]) / WEIGHT)
                 base = (counts[t.at] + 1) / (total + distinct + 1)
-                p = share[codes[pair_of]] + (1 - np.minimum(by_word[before], 0.999999)) * base
-                _, having, triple_of = trigrams(t, pair_of)
+                p = share[codes[c.pair_of]] + (1 - np.minimum(by_word[c.before], 0.999999)) * base
+                _, having, triple_of = trigrams(t, c)
                 codes_2 = np.concatenate([unpack(x["codes_2"], "u1") for x in parts_])
                 taken_2 = np.concatenate([unpack(x["weights_2"], "u1") for x in parts_]) / WEIGHT2
-                p[having] = share[codes_2[triple_of]] + (1 - taken_2[pair_of[having - 1]]) * p[having]
+                p[having] = share[codes_2[triple_of]] + (1 - taken_2[c.pair_of[having - 1]]) * p[having]
                 sums = lambda x: np.add.reduceat(x, t.starts)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(row["doc_ids"], pa.int64()), pa.array(~t.training), pa.array(t.n), pa.array(sums((counts[t.at] > 0).astype(np.int64))), pa.array(np.full(len(t.n), total))] + [pa.array(sums(np.log10(x))) for x in (base, p)],
