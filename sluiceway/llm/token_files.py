@@ -1,8 +1,8 @@
 """Token-id files compressed with Re-Pair grammars.
 
 A shard is a run of whole documents in ascending id order. In each shard, frequent pairs of
-neighbouring ids are replaced by nonterminals, round after round; pairs never cross the end
-of a document. A shard stores its rules, the length of each rule's expansion, and where
+neighbouring ids are replaced by nonterminals, round after round, until no pair occurs LEAST
+times; pairs never cross the end of a document. A shard stores its rules, the length of each rule's expansion, and where
 each document's symbols begin, so one document is decoded without its neighbours.
 
 Layout of a shard (little-endian): magic, then uint64 counts (documents, symbols, rules,
@@ -27,58 +27,80 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from sluiceway.llm.common import blocks, scratch
+from sluiceway.llm.common import blocks, long_id, scratch
 from sluiceway.llm.tokens import gather, tokenizer_path, with_end, worker_tokenizer
 
 MAGIC = b"SLWYRP01"
-#: Pairs are counted among this many of the most frequent symbols in each round: a pair is no
-#: more frequent than its rarer symbol, so the most frequent pairs are among them.
-FREQUENT = 1024
+#: A pair that occurs less often in a shard is not replaced: its rule would take more room than it saves.
+LEAST = 16
+#: A round replaces the pairs that occur at least 1 / TOGETHER as often as the most frequent one.
+TOGETHER = 4
+#: Binary digits of the hash by which pairs are counted before those that may be frequent are sorted.
+PAIR_BITS = 20
 
 
-def re_pair(ids: np.ndarray, lengths: np.ndarray, base: int, rounds: int = 4, per_round: int = 2048, least: int = 16) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(symbols, symbols per document, rules as rows of two symbols); rule i is symbol base + i."""
+def _frequent_pairs(seq: np.ndarray, last: np.ndarray, known: int, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int] | None:
+    """(places of pairs that may be frequent, the distinct ones, which of these each is, their counts, the threshold); None if no pair occurs `least` times.
+
+    A pair is no more frequent than its hash, so only places whose hash is frequent are sorted; all pairs are counted.
+    """
+    h = seq.view(np.uint32)
+    hashed = (h[:-1] * np.uint32(0x9E3779B1) + h[1:] * np.uint32(0x85EBCA77)) >> np.uint32(32 - PAIR_BITS)
+    hashed[last[:-1]] = 1 << PAIR_BITS
+    counts = np.bincount(hashed, minlength=(1 << PAIR_BITS) + 1)
+    counts[-1] = 0
+    most = int(counts.max())
+    while most >= least:
+        threshold = max(least, most // TOGETHER)
+        at = np.flatnonzero((counts >= threshold)[hashed])
+        pairs, which, n = np.unique(seq[at].astype(np.int64) * known + seq[at + 1], return_inverse=True, return_counts=True)
+        most = int(n.max())
+        if most >= threshold:
+            return at, pairs, which, n, max(least, most // TOGETHER)
+    return None
+
+
+def _apart(hits: np.ndarray) -> np.ndarray:
+    """Which of the ascending places to replace: of overlapping pairs, every other one from the left."""
+    where = np.arange(len(hits))
+    begins = np.where(np.diff(hits, prepend=-2) != 1, where, 0)
+    return (where - np.maximum.accumulate(begins)) % 2 == 0
+
+
+def re_pair(ids: np.ndarray, lengths: np.ndarray, base: int, least: int = LEAST) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(symbols, symbols per document, rules as rows of two symbols); rule i is symbol base + i.
+
+    In the result no pair of neighbours within a document occurs `least` times (2 at least).
+    Pairs of a round that are rarely replaced, since they overlap others, wait for a later one;
+    if all are, the most frequent pair is replaced alone.
+    """
     seq = ids.astype(np.int32)
     last = np.zeros(len(seq), bool)
     last[np.cumsum(lengths)[lengths > 0] - 1] = True
     rules: list[np.ndarray] = []
     known = base
-    for _ in range(rounds):
-        if len(seq) < 2:
-            break
-        counts = np.bincount(seq, minlength=known)
-        top = np.argsort(-counts, kind="stable")[:FREQUENT]
-        side = len(top) + 1
-        rank = np.full(known, side - 1, np.int32)
-        rank[top] = np.arange(side - 1, dtype=np.int32)
-        ranks = rank[seq]
-        left = np.where(last, np.int32(side - 1), ranks)[:-1]
-        keys = left * np.int32(side) + ranks[1:]
-        pairs = np.bincount(keys, minlength=side * side).reshape(side, side)
-        pairs[-1, :] = 0
-        pairs[:, -1] = 0
-        flat = pairs.ravel()
-        wanted = np.flatnonzero(flat >= least)
-        if not len(wanted):
-            break
-        wanted = wanted[np.argsort(-flat[wanted], kind="stable")[:per_round]]
-        rule = np.full(side * side, -1, np.int32)
-        rule[wanted] = np.arange(known, known + len(wanted), dtype=np.int32)
-        new = rule[keys]
-        hits = np.flatnonzero(new >= 0)
-        runs = np.diff(hits, prepend=-2) != 1  # of overlapping pairs, every other one from the left
-        where = np.arange(len(hits))
-        hits = hits[(where - np.maximum.accumulate(np.where(runs, where, 0))) % 2 == 0]
-        rules.append(np.stack([top[wanted // side], top[wanted % side]], 1))
-        known += len(wanted)
-        seq[hits] = new[hits]
+    while len(seq) > 1 and (found := _frequent_pairs(seq, last, known, max(least, 2))):
+        at, pairs, which, n, threshold = found
+        for chosen in (n >= threshold, np.arange(len(n)) == n.argmax()):
+            hit = chosen[which]
+            hits, of = at[hit], which[hit]
+            apart = _apart(hits)
+            hits, of = hits[apart], of[apart]
+            worth = np.bincount(of, minlength=len(pairs)) >= max(2, threshold // TOGETHER)
+            if worth.any():
+                break
+        else:
+            worth = chosen  # a pair that overlaps itself only, so at least one place is replaced
+        name = np.where(worth, np.cumsum(worth) - 1 + known, -1)
+        new = name[of]
+        hits, new = hits[new >= 0], new[new >= 0]
+        rules.append(np.stack([pairs[worth] // known, pairs[worth] % known], 1))
+        known += int(worth.sum())
+        seq[hits] = new
         last[hits] = last[hits + 1]
         kept = np.ones(len(seq), bool)
         kept[hits + 1] = False
-        saved = len(hits) / len(seq)
         seq, last = seq[kept], last[kept]
-        if saved < 0.01:
-            break
     per_doc = np.zeros(len(lengths), np.int64)
     per_doc[lengths > 0] = np.diff(np.flatnonzero(last), prepend=-1)
     return seq, per_doc, np.concatenate(rules) if rules else np.zeros((0, 2), np.int64)
@@ -155,14 +177,14 @@ class Shard:
 SHARDS = "part int, block int, n_docs long, n_ids long, data binary"
 
 
-def write_shards(docs: DataFrame, path: str, tokenizer: str, kind: str, end: int, id_col: str, text_col: str) -> DataFrame:
+def write_shards(docs: DataFrame, path: str, tokenizer: str, kind: str, end: int, id_col: str, text_col: str, special_as_text: bool = False) -> DataFrame:
     """Tokenizes the documents in ascending id order into shards under path; the table of shards.
 
     One document that is longer than a block makes a shard alone. Null ids come first.
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tk = worker_tokenizer(tokenizer_path(tokenizer), kind)
+        tk = worker_tokenizer(tokenizer_path(tokenizer), kind, special_as_text=special_as_text)
         base, part = tk.tokenizer.get_vocab_size(), TaskContext.get().partitionId()
         for i, batch in enumerate(blocks(batches)):
             ids, lengths = with_end(*tk.encode(batch.column(1)), end)
@@ -170,7 +192,7 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, kind: str, end: int
             data = encode_shard(key.fill_null(0).to_numpy(), key.is_null().to_numpy(zero_copy_only=False), ids, lengths, base)
             yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "block": pa.array([i], pa.int32()), "n_docs": [batch.num_rows], "n_ids": [len(ids)], "data": pa.array([data], pa.binary())})
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    rows = docs.select(long_id(docs, id_col), F.col(text_col).alias("text"))
     # ties of the id are ordered by the text, so that every run writes the same shards
     rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.crc32(F.coalesce("text", F.lit("")))).mapInArrow(encode, SHARDS).write.option("compression", "none").parquet(path)
     return docs.sparkSession.read.schema(SHARDS).parquet(path)
@@ -196,13 +218,16 @@ def read_shards(shards: DataFrame) -> DataFrame:
     return shards.select("part", "block", "data").mapInArrow(decode, "part int, block int, doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
-def token_files(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", kind: str = "byte_level", end: int = 2, id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> DataFrame:
+def token_files(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", kind: str = "byte_level", end: int = 2, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, special_as_text: bool = False) -> DataFrame:
     """Writes the documents' ids and returns, from the files: id, start, n_tokens, ids_crc32.
 
+    special_as_text: whether a special token's string in a text is ordinary text; if not, it is
+    that token, as the tokenizers library has it. Ids must be integers (else TypeError).
+
     A null text is empty: it has the end id alone. Repeated ids follow each other, ordered
     by a checksum of the text. Empty table: no rows. Other columns are ignored.
     """
-    shards = write_shards(docs, path or scratch(docs.sparkSession), tokenizer, kind, end, id_col, text_col)
+    shards = write_shards(docs, path or scratch(docs.sparkSession), tokenizer, kind, end, id_col, text_col, special_as_text)
     sums = shards.groupBy("part").agg(F.sum("n_ids").alias("held"))  # a row per writing task
     parts = sums.select("part", F.coalesce(F.sum("held").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("before"))
     within = F.coalesce(F.sum("n_ids").over(W.partitionBy("part").orderBy("block").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
