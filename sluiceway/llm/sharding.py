@@ -1,25 +1,33 @@
 """Sharding by best-fit-decreasing bin packing of indivisible groups.
 
-Groups of equal texts are never divided. A group above 1/items of all bytes is an item of
-its own (there are fewer than `items` of those, whatever the input); all smaller groups fall
-by hash into `items` bins of the hash, each of which is one item. So the driver packs at
-most 2 * items sizes, and its knowledge of the corpus does not grow with the corpus. The
-items, largest first, enter the bin with the tightest sufficient rest, found by successor
-search in a balanced tree.
+Groups of equal texts are never divided. Groups of one size are interchangeable, so the
+instance is a histogram of sizes: each group is packed as itself, whatever their number, and
+the driver's knowledge of the corpus is bounded. Sizes are exact up to 2**12 bytes and rounded
+up to 12 binary digits beyond, which leaves 110,000 sizes at most. Sizes, largest first, enter
+the bin with the tightest sufficient rest, found by successor search in a balanced tree: as
+many groups of the size as fit, which is where they would go one by one. A group finds its
+bin by its rank among the groups of its size.
 """
 
 from __future__ import annotations
 
-import hashlib
+from collections import Counter
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sluiceway.llm.common import materialize
 
+#: A group above one in so many of a shard's bytes has its rows placed by a broadcast of its shard.
 PER_SHARD = 1000
-SLOT_PARTS = 256
+#: Binary digits of a size that are kept.
+DIGITS = 12
+#: Parts in which rows or groups are numbered, at least, and rows meant for a part.
+PARTS, PER_PART = 256, 1 << 20
+
+#: (size, first rank, groups, bin): groups of one size that go to one bin.
+Run = tuple[int, int, int, int]
 
 
 class RestTree:
@@ -74,45 +82,93 @@ class RestTree:
         return best
 
 
+def best_fit_counts(counts: list[tuple[int, int]], capacity: int, most: int | None = None) -> tuple[list[Run], int] | None:
+    """Runs for (size, groups) with the largest size first, and how many bins there are; None if there would be more than `most`."""
+    runs, tree, used = [], RestTree(), 0
+    for size, n in counts:
+        if size > capacity:
+            raise ValueError(f"size {size} exceeds the capacity {capacity}")
+        rank = 0
+        while rank < n:
+            found = tree.take_tightest(size)
+            if found is None:
+                if used == most:
+                    return None
+                found, used = (capacity, used), used + 1
+            # a bin stays the tightest one while it takes groups of this size
+            q = min(n - rank, found[0] // size) if size else n - rank
+            runs.append((size, rank, q, found[1]))
+            rank += q
+            tree.add(found[0] - q * size, found[1])
+    return runs, used
+
+
+def shard_counts(counts: dict[int, int], shards: int) -> list[Run]:
+    """Runs over the bins 0 to shards - 1 at the least capacity found at which best fit needs no more bins.
+
+    A group beyond an even share takes a bin alone; the rest share the other bins evenly.
+    """
+    left, total, runs = dict(sorted(counts.items(), reverse=True)), sum(s * n for s, n in counts.items()), []
+    while left and len(runs) < shards - 1:
+        size = next(iter(left))
+        if not size * (shards - len(runs)) >= total > 0:
+            break
+        runs.append((size, counts[size] - left[size], 1, len(runs)))
+        total -= size
+        left[size] -= 1
+        if not left[size]:
+            del left[size]
+    if not left:
+        return runs
+    alone, bins = len(runs), shards - len(runs)
+    taken = {size: counts[size] - n for size, n in left.items()}  # only the largest size left can have some
+    least = max(-(-total // bins), next(iter(left)))
+    step, grown = max(1, total // bins >> 14), 0
+    while (found := best_fit_counts(list(left.items()), least + grown, bins)) is None:
+        grown = grown * 2 or step
+    return runs + [(size, rank + taken[size], n, alone + b) for size, rank, n, b in found[0]]
+
+
+def _by_item(sizes: list[int], runs: list[Run]) -> list[int]:
+    """The bin of each of the sizes; of equal ones, the first has rank 0."""
+    places: dict[int, list[int]] = {}
+    for size, _, n, b in sorted(runs):
+        places.setdefault(size, []).extend([b] * n)
+    nth: Counter = Counter()
+    out = []
+    for size in sizes:
+        out.append(places[size][nth[size]])
+        nth[size] += 1
+    return out
+
+
 def best_fit_decreasing(sizes: list[int], capacity: int) -> tuple[list[int], int]:
     """The bin of each size, and how many bins there are. No size may exceed capacity."""
-    bins, tree, used = [0] * len(sizes), RestTree(), 0
-    for i in sorted(range(len(sizes)), key=lambda i: (-sizes[i], i)):
-        if sizes[i] > capacity:
-            raise ValueError(f"size {sizes[i]} exceeds the capacity {capacity}")
-        found = tree.take_tightest(sizes[i])
-        if found is None:
-            found, used = (capacity, used), used + 1
-        bins[i] = found[1]
-        tree.add(found[0] - sizes[i], found[1])
-    return bins, used
+    runs, used = best_fit_counts(sorted(Counter(sizes).items(), reverse=True), capacity)
+    return _by_item(sizes, runs), used
 
 
 def into_shards(sizes: list[int], shards: int) -> list[int]:
-    """Bins 0 to shards - 1 for the sizes at the least capacity found at which best fit needs no more bins.
+    """The shard of each size; see shard_counts."""
+    return _by_item(sizes, shard_counts(Counter(sizes), shards))
 
-    A size beyond an even share takes a bin alone; the rest share the other bins evenly.
-    """
-    out, order, alone = [0] * len(sizes), sorted(range(len(sizes)), key=lambda i: (-sizes[i], i)), 0
-    total = sum(sizes)
-    while alone < min(shards - 1, len(order)) and sizes[order[alone]] * (shards - alone) >= total > 0:
-        out[order[alone]] = alone
-        total -= sizes[order[alone]]
-        alone += 1
-    rest, left = order[alone:], shards - alone
-    if not rest:
-        return out
-    held = [sizes[i] for i in rest]
-    least = max(-(-total // left), held[0])
-    step, grown = max(1, total // left >> 14), 0
-    while True:
-        bins, used = best_fit_decreasing(held, least + grown)
-        if used <= left:
-            break
-        grown = grown * 2 or step
-    for i, b in zip(rest, bins, strict=True):
-        out[i] = alone + b
-    return out
+
+def rounded(size: Column) -> Column:
+    """The size, rounded up to DIGITS binary digits."""
+    shift = F.greatest(F.length(F.bin(size)) - DIGITS, F.lit(0))
+    unit = F.call_function("shiftleft", F.lit(1).cast("long"), shift)
+    return F.call_function("shiftleft", F.call_function("shiftright", size + unit - 1, shift), shift)
+
+
+def numbered(rows: DataFrame, n: int, group: str, key: str, *order: str) -> DataFrame:
+    """rows with `rank` (from 0) among those of their group, counted in parts by hash of the key, so that a large group isn't one task's."""
+    parts = max(PARTS, n // PER_PART)
+    parted = rows.withColumn("part", F.pmod(F.xxhash64(key), F.lit(parts)).cast("int"))
+    counts = parted.groupBy(group, "part").agg(F.count(F.lit(1)).alias("held"))
+    before = F.coalesce(F.sum("held").over(W.partitionBy(group).orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    within = F.row_number().over(W.partitionBy(group, "part").orderBy(*order)) - 1
+    out = parted.withColumn("within", within).join(counts.select(group, "part", before.alias("before")), [group, "part"])
+    return out.withColumn("rank", (F.col("within") + F.col("before")).cast("long")).drop("part", "within", "before")
 
 
 def shard(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col: str = "text", per_shard: int = PER_SHARD) -> DataFrame:
@@ -120,11 +176,11 @@ def shard(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col: str =
 
     size: UTF-8 bytes of the text plus 8; a null text counts as empty and is in one group
     with empty texts. Equal texts share a shard; shards have near equal bytes (law 'bytes')
-    as far as groups can be kept whole. slot numbers a shard's rows without gaps, ordered by
-    hash of the id, id, checksum and size; rows repeated entirely get distinct slots.
+    as far as groups can be kept whole. slot numbers a shard's rows without gaps, in parts by
+    hash of the id, there by id, checksum and size; rows repeated entirely get distinct slots.
     grown_shard is null. Empty table: no rows. Other columns are ignored.
     """
-    spark, items = docs.sparkSession, shards * per_shard
+    spark = docs.sparkSession
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = materialize(
         docs.select(
@@ -134,19 +190,17 @@ def shard(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col: str =
             F.unhex(F.sha2(text, 256)).alias("g"),
         )
     )
-    groups = materialize(rows.groupBy("g").agg(F.sum("size").alias("held")))
-    total = groups.agg(F.sum("held")).first()[0] or 0
-    large = materialize(groups.filter(F.col("held") > total // items).select("g", F.hex("g").alias("item")))  # fewer than `items` rows
-    named = lambda df: df.join(F.broadcast(large), "g", "left").withColumn("item", F.coalesce("item", F.pmod(F.xxhash64("g"), F.lit(items)).cast("string")))
-    sizes = {r[0]: r[1] for r in named(groups).groupBy("item").agg(F.sum("held")).collect()}  # at most 2 * items
-    keys = sorted(sizes, key=lambda k: hashlib.md5(k.encode()).digest())
-    bins = into_shards([sizes[k] for k in keys], shards)
-    plan = spark.createDataFrame(list(zip(keys, bins, strict=True)), "item string, shard int")
-    placed = named(rows).join(F.broadcast(plan), "item").withColumn("part", F.pmod(F.xxhash64("doc_id"), F.lit(SLOT_PARTS)).cast("int"))
-    counts = placed.groupBy("shard", "part").agg(F.count(F.lit(1)).alias("held"))
-    before = F.coalesce(F.sum("held").over(W.partitionBy("shard").orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    within = F.row_number().over(W.partitionBy("shard", "part").orderBy("doc_id", "text_crc32", "size"))
-    placed = placed.withColumn("slot", within - 1).join(counts.select("shard", "part", before.alias("offset")), ["shard", "part"])
-    return placed.select(
-        F.col("doc_id").alias(id_col), "size", "text_crc32", F.lit("bytes").alias("law"), "shard", (F.col("slot") + F.col("offset")).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard")
-    )
+    groups = materialize(rows.groupBy("g").agg(F.sum("size").alias("held")).withColumn("class", rounded(F.col("held"))))
+    counts = {r[0]: r[1] for r in groups.groupBy("class").agg(F.count(F.lit(1))).collect()}  # bounded by DIGITS
+    sums = groups.agg(F.count(F.lit(1)), F.sum("held")).first()
+    runs = spark.createDataFrame(shard_counts(counts, shards), "class long, first long, n long, shard int")
+    ranked = numbered(groups, sums[0], "class", "g", "g").join(F.broadcast(runs), "class")
+    ranked = materialize(ranked.filter((F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("first") + F.col("n"))).select("g", "held", "shard"))
+    # rows of groups that may be large find their shard where they stand; the others' groups are small
+    large = F.col("held") > (sums[1] or 0) // (shards * per_shard)
+    near = rows.join(F.broadcast(ranked.filter(large).select("g", "shard")), "g", "left")  # fewer than shards * per_shard
+    far = near.filter("shard is null").drop("shard").join(ranked.filter(~large).select("g", "shard"), "g")
+    placed = near.filter("shard is not null").unionByName(far).drop("g")
+    n = rows.count()
+    placed = numbered(placed, n, "shard", "doc_id", "doc_id", "text_crc32", "size")
+    return placed.select(F.col("doc_id").alias(id_col), "size", "text_crc32", F.lit("bytes").alias("law"), "shard", F.col("rank").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
