@@ -149,21 +149,23 @@ def sum_vectors(parts: DataFrame) -> np.ndarray:
     return np.concatenate([out[i] for i in range(SLICES)]) if out else np.zeros(DIMS, np.int64)
 
 
-def learn_model(docs: DataFrame, per_language: int = 1000, text_col: str = "text", lang_col: str = "lang", key: Column | None = None) -> Model:
+def learn_model(docs: DataFrame, per_language: int = 1000, text_col: str = "text", lang_col: str = "lang", key: Column | None = None, most_languages: int = 256) -> Model:
     """Trains on all rows of docs with a text and a language.
 
     Document frequencies are those of all these rows. Weights and temperature come of about
     per_language rows of each language, or all if there are fewer: those whose hash of `key`
-    is below the language's share. Languages are few; there is a row for each in the driver.
+    and text is below the language's share. Rows with one key and text count once there, so
+    the sample is bounded even if ids are null or rows repeated. Of more than most_languages
+    languages, those with the most rows are learned.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"), (F.xxhash64(key if key is not None else F.col(text_col)).bitwiseAND(0x7FFFFFFF) / float(1 << 31)).alias("u")).filter("text is not null and lang is not null")
-    counts = dict(map(tuple, rows.groupBy("lang").count().collect()))
+    rows = docs.select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"), (F.xxhash64(*([] if key is None else [key]), F.col(text_col)).bitwiseAND(0x7FFFFFFF) / float(1 << 31)).alias("u")).filter("text is not null and lang is not null")
+    counts = dict(map(tuple, rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_languages).collect()))
     languages = sorted(counts)
     shares = {name: per_language / n for name, n in counts.items()}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        df, n = np.zeros(DIMS, np.int64), 0
+        df, n, seen = np.zeros(DIMS, np.int64), 0, set()
         kinds = [pa.int32(), pa.int32(), pa.string(), pa.binary(), pa.int64()]
         names = ["slice", "task", "lang", "data", "n"]
         for batch in blocks(batches, limit=BLOCK):
@@ -172,7 +174,8 @@ def learn_model(docs: DataFrame, per_language: int = 1000, text_col: str = "text
             for i, (found, tf) in enumerate(ngram_counts(batch.column(0).to_pylist())):
                 df[found] += 1
                 n += 1
-                if u[i] < shares[langs[i]]:
+                if u[i] < shares.get(langs[i], 0) and (langs[i], u[i]) not in seen:
+                    seen.add((langs[i], u[i]))  # a part of the sample at most
                     taken.append((-1, 0, langs[i], found.astype("<u2").tobytes() + tf.astype("<u4").tobytes(), 0))
             if taken:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*taken, strict=True), kinds, strict=True)], names=names)
@@ -186,7 +189,7 @@ def learn_model(docs: DataFrame, per_language: int = 1000, text_col: str = "text
     total = found.agg(F.sum("n")).first()[0] or 0
     idf = (np.log((1 + total) / (1 + df)) + 1).astype(np.float32)
     place = {name: i for i, name in enumerate(languages)}
-    picked = sorted((place[r.lang], bytes(r.data)) for r in found.filter("slice < 0").select("lang", "data").toLocalIterator())
+    picked = sorted((place[r.lang], bytes(r.data)) for r in found.filter("slice < 0").select("lang", "data").distinct().toLocalIterator())
     sample = []
     for i, data in picked:
         n = len(data) // 6

@@ -1,5 +1,6 @@
 import collections
 import hashlib
+import math
 import re
 import zlib
 
@@ -8,6 +9,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from sluiceway.llm import language_id
 from sluiceway.llm.components import components
 from sluiceway.llm.corpus_blocks import word_hashes
 from sluiceway.llm.elias_fano import EliasFano, encode
@@ -60,7 +62,7 @@ def test_exact_dedup_of_odd_rows(odd, empty):
 # Line deduplication.
 
 
-def check_lines(df, pages, ratio=0.2, least=3):
+def check_lines(df, pages, ratio=0.2, least=2):
     def lines(text):
         plain = re.sub(r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->", "", text or "")
         plain = re.sub(r"(?i)</?(?:p|div|br|hr|li|ul|ol|dl|dt|dd|h[1-6]|tr|td|th|table|article|section|nav|header|footer|title|body|head|html|blockquote|pre|aside|main|form)(?:[\s/][^>]*)?>", "\n", plain)
@@ -128,6 +130,14 @@ def test_mix(documents):
     assert sorted(mix(documents).collect()) == sorted(mix(documents.repartition(3)).collect())
 
 
+def test_many_lines_of_a_page_are_dropped_at_once(spark):
+    """In proportion to the page's lines, not to their square."""
+    lines = [f"line {i}" for i in range(40_000)]
+    pages = spark.createDataFrame([(p, f"http://h/{p}", "\n".join([*lines, f"own {p}"])) for p in range(4)], "page_id long, url string, html string")
+    out = drop_boilerplate(pages, is_html=False).collect()
+    assert [(r.text, r.n_lines, r.n_dropped) for r in sorted(out)] == [(f"own {p}", 40_001, 40_000) for p in range(4)]
+
+
 def test_mix_of_odd_rows(odd, empty):
     one_source = odd.filter("doc_id is not null").dropDuplicates(["doc_id"])
     check_mix(mix(one_source), [(r.doc_id, r.text, r.source) for r in one_source.collect()])
@@ -183,6 +193,66 @@ def test_nothing_to_learn_from(spark):
     assert [(r.lang_pred, r.score) for r in identify_languages(docs).collect()] == [("und", 0.0)]
 
 
+def test_sample_is_bounded_without_ids(spark):
+    rows = [(None, f"text {'abcdefgh'[i % 8] * (i % 50 + 1)} {i}", "en") for i in range(3000)] + [(None, "the same", "de")] * 3000
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    seen = []
+    real = language_id.train
+    try:
+        language_id.train = lambda languages, sample, *a: seen.append(len(sample)) or real(languages, sample, *a)
+        assert identify_languages(docs, per_language=20).count() == 6000
+        assert language_id.learn_model(docs, most_languages=1).languages in (["de"], ["en"])
+    finally:
+        language_id.train = real
+    assert 5 <= seen[0] <= 60
+
+
+def test_training_equals_plain_formulas():
+    """TF-IDF, hashed n-grams and FTRL-proximal, each in plain Python."""
+
+    def grams(text):
+        out = collections.Counter()
+        low = text.lower()
+        for n in (1, 2, 3):
+            for i in range(len(low) - n + 1):
+                h = 0
+                for k, c in enumerate(low[i : i + n]):
+                    h = (h * 0x01000193 + ord(c) + k + 1) & 0xFFFFFFFF
+                h = (h ^ h >> 15) * 0x85EBCA6B & 0xFFFFFFFF
+                out[((h ^ h >> 13) * 0xC2B2AE35 & 0xFFFFFFFF) >> 17] += 1
+        return out
+
+    texts = ["Hello World", "hallo welt", "helo", "Wörld x"] * 3
+    found = list(language_id.ngram_counts(texts))
+    idf = np.linspace(1, 3, language_id.DIMS).astype(np.float32)
+    z, n2 = collections.defaultdict(float), collections.defaultdict(float)
+    ftrl = Ftrl(language_id.DIMS, 2)
+
+    def weight(key):
+        v = z[key]
+        return 0.0 if abs(v) <= 0.02 else -(v - math.copysign(0.02, v)) / ((1 + math.sqrt(n2[key])) + 1e-3)
+
+    for k, (text, (at, tf)) in enumerate(zip(texts, found, strict=True)):
+        plain = grams(text)
+        assert dict(zip(at.tolist(), tf.tolist(), strict=True)) == plain
+        raw = {g: (1 + math.log(c)) * float(idf[g]) for g, c in plain.items()}
+        norm = math.sqrt(sum(v * v for v in raw.values()))
+        x = {g: v / norm for g, v in raw.items()}
+        got = language_id.tf_idf(at, tf, idf)
+        assert got == pytest.approx([x[g] for g in at.tolist()], rel=1e-5)
+        ftrl.learn(at, got, k % 2)
+        logits = [sum(v * weight((g, c)) for g, v in x.items()) for c in (0, 1)]
+        p = [math.exp(v) / sum(map(math.exp, logits)) for v in logits]
+        old = {(g, c): weight((g, c)) for g in x for c in (0, 1)}
+        for g, v in x.items():
+            for c in (0, 1):
+                grad = v * (p[c] - (c == k % 2))
+                z[g, c] += grad - (math.sqrt(n2[g, c] + grad * grad) - math.sqrt(n2[g, c])) * old[g, c]
+                n2[g, c] += grad * grad
+    have = ftrl.weights(slice(None))
+    assert all(have[g, c] == pytest.approx(weight((g, c)), abs=1e-5) for g, c in list(z))
+
+
 def test_l1_keeps_weights_sparse():
     rng = np.random.default_rng(0)
     sparse, dense = Ftrl(50, 2, l1=0.5), Ftrl(50, 2, l1=0.0)
@@ -214,6 +284,8 @@ def test_elias_fano(values, universe):
     assert ef.get(np.arange(len(v))).tolist() == v.tolist()
     asked = np.arange(0, 5001, 7).astype(np.uint64)
     assert ef.successor(asked).tolist() == np.searchsorted(v, asked).tolist()
+    first = np.searchsorted(v, asked)
+    assert ef.find(asked).tolist() == [i if i < len(v) and v[i] == x else -1 for i, x in zip(first.tolist(), asked.tolist(), strict=True)]
 
 
 def check_scores(df, docs):
