@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 # The fields of a notification and the name of the event that announces a file.
 RECORDS = "Records array<struct<eventName: string, eventTime: string, s3: struct<bucket: struct<name: string>, object: struct<key: string>>>>"
 CREATED = "ObjectCreated"
-TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
+#: ISO 8601 in UTC, with up to nine digits of a second's fraction.
+TIME_PATTERN = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d{1,9})?Z(?![\s\S])"
 SCHEME = "s3://"
 
 #: How a notification is judged; all but CREATED_FILE are acknowledged without further ado.
@@ -16,8 +17,8 @@ CREATED_FILE, DISCARDED, UNPARSEABLE = "created", "discarded", "unparseable"
 
 
 def event_millis(text: Column) -> Column:
-    """Epoch milliseconds of an event time in UTC; null where it isn't one."""
-    return F.unix_millis(F.from_utc_timestamp(F.try_to_timestamp(text, F.lit(TIME_FORMAT)), F.current_timezone()))
+    """Epoch milliseconds of an event time in UTC, finer digits cut off; null where it isn't one."""
+    return F.when(text.rlike(TIME_PATTERN), F.unix_millis(F.try_to_timestamp(text)))
 
 
 def object_path(bucket: Column, key: Column) -> Column:

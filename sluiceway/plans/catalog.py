@@ -5,7 +5,11 @@ The events table stands for a stream of notifications: see `notifications`.
 
 from __future__ import annotations
 
+import json
+import time
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,11 +17,12 @@ from pyspark.sql import functions as F
 from sluiceway.functions.globs import matches_glob
 from sluiceway.functions.notifications import created_files, notification_body, parse
 from sluiceway.operators import admission, validate
-from sluiceway.sources.filelog import FileLog
+from sluiceway.sources.filelog import Entry, FileLog
 from sluiceway.sources.files import scratch
-from sluiceway.sources.options import Options
+from sluiceway.sources.options import Options, settings, state_store_confs
 from sluiceway.sources.queue import DirectoryQueue, notification
 from sluiceway.sources.reader import read_files
+from sluiceway.streaming import reprocess
 from sluiceway.streaming.intake import Intake
 
 BUCKET = "bucket"
@@ -100,18 +105,6 @@ def expiry_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def verdict_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The files of the last triggers against a log of the first batches and a cache of one trigger."""
-    files = created(spark, sf_dir)
-    last = files.agg(F.max("trigger_id").alias("last"))
-    files = files.join(F.broadcast(last))  # one row
-    late = files.filter(F.col("trigger_id") >= F.col("last") - 1).select("event_id", "path", "event_ms")
-    pending = admission.first_by_path(files.filter(F.col("trigger_id") == F.col("last") - 2).select("path", "event_ms", "event_id"), "event_ms", "event_id").select("path", (F.col("event_id") % 2 == 0).alias("processed"))
-    floor = files.filter(F.col("trigger_id") == F.col("last")).agg(F.min("event_ms")).first()[0] or 0
-    judged = validate.with_verdicts(late, pending, logged(spark, sf_dir).filter("batch_id < 20"), floor - DAY_MS, GLOB)
-    return judged.withColumn("action", validate.action(F.col("verdict"))).groupBy("verdict", "action").agg(F.count(F.lit(1)).alias("n"))
-
-
-def verdict_counts_by_trigger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All files, each against the files of the trigger before, the log of all earlier triggers and the floor after them.
 
     As in `logged`, a path is logged once, when it is first announced.
@@ -141,28 +134,19 @@ def unprocessed_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def delete_subbatches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return admission.acknowledgement_groups(logged(spark, sf_dir).filter("batch_id = 3"), "batch_id").select("path", "group")
-
-
-def delete_subbatches_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The groups of every batch."""
     return admission.acknowledgement_groups(logged(spark, sf_dir), "batch_id").select("batch_id", "path", "group")
 
 
 # The log.
 
-
-def log_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return logged(spark, sf_dir).filter("batch_id between 3 and 5")
-
-
 #: Batches that are added singly to a written log, after the others.
 SINGLY = 3
 
 
-def _written(spark: SparkSession, sf_dir: str, least: int = 1) -> FileLog:
+def _written(spark: SparkSession, sf_dir: str, least: int = 1, root: str | None = None) -> FileLog:
     """The whole log on disk: all batches (`least` of them at least, if need be empty ones), the last ones added singly."""
-    log = FileLog(spark, scratch(spark))
+    log = FileLog(spark, root or scratch(spark))
     files = logged(spark, sf_dir).persist()
     last = files.agg(F.max("batch_id")).first()[0]
     batches = max(least, 0 if last is None else last + 1)
@@ -175,74 +159,73 @@ def _written(spark: SparkSession, sf_dir: str, least: int = 1) -> FileLog:
     return log
 
 
-def log_written_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same, through the whole log on disk, of which all but the last two batches are compacted."""
+def log_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three batches of the whole log on disk, of which all but the last two batches are compacted."""
     log = _written(spark, sf_dir, 7)
     log.compact(log.latest_batch_id() - 2)
     return log.range(3, 5).select("batch_id", "path", "event_ms")
 
 
-def log_written_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+def log_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _written(spark, sf_dir).range().select("batch_id", "path", "event_ms")
 
 
 def log_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    files = logged(spark, sf_dir)
-    return files.join(F.broadcast(files.agg(F.max("batch_id").alias("batch_id"))), "batch_id").select("batch_id", "path", "event_ms")
+    return _written(spark, sf_dir).latest()[1].select("batch_id", "path", "event_ms")
 
 
-def log_written_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The latest batch when only three are written; log_written_last has that of the whole log."""
-    log = FileLog(spark, scratch(spark))
-    files = logged(spark, sf_dir).filter(F.col("batch_id") < 3).persist()
-    for i in range(3):
-        log.add(i, files.filter(F.col("batch_id") == i), commit_ms=i)
-    files.unpersist()
-    return log.latest()[1].select("batch_id", "path", "event_ms")
+def log_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The logged times of the files of the last trigger, which a fetch would ask for."""
+    files = created(spark, sf_dir)
+    last = files.filter(F.col("trigger_id") == files.agg(F.max("trigger_id")).first()[0])
+    return _written(spark, sf_dir).times_of(last)
 
 
-def log_written_last(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _written(spark, sf_dir).latest()[1].select("batch_id", "path", "event_ms")
+def log_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What one cleaning of the whole log removes: 20 batches at most."""
+    log = _written(spark, sf_dir)
+    latest = log.to_df().agg(F.max("event_ms")).first()[0] or 0
+    return spark.createDataFrame([(i,) for i in log.clean(latest - 20 * DAY_MS)], "batch_id long")  # at most 20
 
 
-def is_new_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    files = created(spark, sf_dir).filter("trigger_id = 19").select("path").distinct()
-    return validate.is_new_file(files, logged(spark, sf_dir).filter("batch_id < 5"))
+def log_race(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every batch is added by four writers at once, each with paths of its own: one of them succeeds."""
+    root = scratch(spark)
+    batches = [(r[0], sorted(r[1])) for r in logged(spark, sf_dir).groupBy("batch_id").agg(F.collect_list(F.struct("path", "event_ms"))).collect()]  # batches are bounded
+    logs = [FileLog(spark, root) for _ in range(4)]
+    won = []
+    with ThreadPoolExecutor(4) as pool:
+        for i, files in batches:
+            add = lambda w, i=i, files=files: logs[w].add(i, [Entry(f"{w}/{f.path}", f.event_ms) for f in files], commit_ms=0)
+            won.append(sum(pool.map(add, range(4))))
+    if any(n != 1 for n in won):
+        raise AssertionError(f"writers that succeeded, by batch: {won}")
+    return logs[0].to_df().groupBy("batch_id").agg(F.count(F.lit(1)).alias("files"), F.countDistinct(F.substring("path", 1, 1)).alias("writers"))
 
 
-def is_new_file_by_trigger(spark: SparkSession, sf_dir: str) -> DataFrame:
+def is_new_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every trigger's files against all that earlier triggers logged."""
     files = created(spark, sf_dir).select("trigger_id", "path").distinct()
     return validate.is_new_file(files, logged_by_trigger(spark, sf_dir), by="trigger_id")
 
 
-def log_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    files = logged(spark, sf_dir).withColumn("commit_ms", F.col("event_ms"))
-    latest = files.agg(F.max("event_ms")).first()[0] or 0
-    return admission.cleanable_batches(files, latest - 20 * DAY_MS)
-
-
 def reprocess_dry_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    files = logged(spark, sf_dir).filter("batch_id between 2 and 9")
+    root = scratch(spark)
+    _written(spark, sf_dir, 10, f"{root}/checkpoint/filelog")
+    run = Intake(spark, _options(root), "x int", f"{root}/checkpoint")
+    files = reprocess.dry_run(run, 2, 9)[0]
+    run.close()
     return files.agg(F.countDistinct("batch_id").alias("batches"), F.count(F.lit(1)).alias("files"))
 
 
 # Sources and streams.
 
 
-def _partitioned(spark: SparkSession, sf_dir: str, folders: str) -> DataFrame:
+def partition_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch(spark)
     n = table(spark, sf_dir, "events").select("event_id", "event_type", (F.col("user_id") % 7).cast("int").alias("bucket_no"))
     n.repartition(4, "event_type", "bucket_no").write.partitionBy("event_type", "bucket_no").csv(root)
-    return spark.read.schema("event_id long, event_type string, bucket_no int").option("basePath", root).csv(f"{root}/{folders}")
-
-
-def partition_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _partitioned(spark, sf_dir, "event_type=*/bucket_no=3")
-
-
-def partition_columns_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _partitioned(spark, sf_dir, "event_type=*/bucket_no=*")
+    return spark.read.schema("event_id long, event_type string, bucket_no int").option("basePath", root).csv(f"{root}/event_type=*/bucket_no=*")
 
 
 def _round_trip(file_format: str, name: str, **options: str) -> Callable[[SparkSession, str], DataFrame]:
@@ -299,48 +282,159 @@ def select_where(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run_stream(_events_stream(spark, sf_dir).select("event_id", "event_type").where("event_type = 'error'"))
 
 
+def _stateful(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """(result, checkpoint) of a streaming aggregation over three micro-batches, its state in RocksDB."""
+    root, keys = scratch(spark), ("event_type", "user_id")
+    events = table(spark, sf_dir, "events").select("event_id", *keys)
+    for i in range(3):  # a file each, the oldest is read first
+        events.filter(F.pmod("event_id", F.lit(3)) == i).coalesce(1).write.mode("append").parquet(f"{root}/in")
+        time.sleep(0.01)
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    first = stream.groupBy(*keys).agg(F.min("event_id").alias("event_id"))
+    with settings(spark, state_store_confs({"compactOnCommit": "false", "blockSizeKB": "4", "blockCacheSizeMB": "8", "versionsToRetain": "10"})):
+        first.writeStream.outputMode("complete").foreachBatch(lambda df, _: df.write.mode("overwrite").parquet(f"{root}/out")).option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return f"{root}/out", f"{root}/checkpoint"
+
+
 def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _run_stream(_events_stream(spark, sf_dir).select("event_id", "event_type", "user_id"))
-    return rows.groupBy("event_type", "user_id").agg(F.min("event_id").alias("event_id"))
+    out, _ = _stateful(spark, sf_dir)
+    return spark.read.schema("event_type string, user_id long, event_id long").parquet(out)
+
+
+def _state(spark: SparkSession, checkpoint: str, batch_id: int) -> DataFrame:
+    with settings(spark, state_store_confs({})):
+        found = spark.read.format("statestore").option("batchId", batch_id).load(checkpoint)
+        return found.select("key.event_type", "key.user_id", F.col("value.min").alias("event_id"))
+
+
+def state_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All keys of the state store's last version."""
+    return _state(spark, _stateful(spark, sf_dir)[1], 2)
+
+
+def state_version(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The version that the first micro-batch left."""
+    return _state(spark, _stateful(spark, sf_dir)[1], 0)
 
 
 INTAKE_FILES = 6
+_SCHEMA = "o_orderkey long, o_custkey long, o_orderstatus string, part int"
+
+
+def _options(root: str, **more: str) -> Options:
+    own = {"fileFormat": "csv", "queueUrl": f"{root}/queue", "queueRegion": "local", "maxFilesPerTrigger": "5", "queue.longPollingWaitTimeSeconds": "0", "queue.maxConcurrency": "2", "partitionColumns": "part"}
+    return Options.parse({f"sluiceway.{k}": v for k, v in (own | more).items()} | {"basePath": f"{root}/data"})
+
+
+class _Bucket:
+    """Files of orders, one for each value of part, in a local folder that stands for a bucket `data`, with a queue."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+        root = scratch(spark).removeprefix("file:")
+        while root.startswith("//"):
+            root = root[1:]
+        self.spark, self.root, self.outputs = spark, root, 0
+        orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", F.pmod("o_orderkey", F.lit(INTAKE_FILES)).cast("int").alias("part"))
+        orders.repartition(INTAKE_FILES, "part").write.partitionBy("part").csv(f"{root}/data")
+        found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{root}/data").select("path").collect()
+        self.keys = {int(key.partition("=")[2].partition("/")[0]): key for key in sorted(r.path.partition("/data/")[2] for r in found)}
+        self.queue = DirectoryQueue(f"{root}/queue")
+
+    def body(self, part: int, day: int = 0) -> str:
+        at = (datetime(2024, 1, 1) + timedelta(days=day)).strftime("%Y-%m-%dT%H:%M:%S.000Z")
+        return notification("data", self.keys[part].replace("=", "%3D"), at)
+
+    def open(self, **more: str) -> Intake:
+        run = _LocalIntake(self.spark, _options(self.root, **more), _SCHEMA, f"{self.root}/checkpoint")
+        run.folder = f"{self.root}/data"
+        return run
+
+    def sink(self, rows: DataFrame, batch_id: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{self.root}/out/batch={batch_id}")
+
+    def rows(self) -> DataFrame:
+        """All rows that the sink got, with their batch."""
+        return self.spark.read.schema(f"{_SCHEMA}, batch long").option("basePath", f"{self.root}/out").parquet(f"{self.root}/out/batch=*")
+
+
+class _LocalIntake(Intake):
+    folder = ""
+
+    def locate(self, path: str) -> str:
+        return path.replace("s3://data", self.folder, 1)
 
 
 def intake(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files of orders, announced twice in a queue, through spool, verdicts, log and native reads."""
-    root = scratch(spark).removeprefix("file:")
-    while root.startswith("//"):
-        root = root[1:]
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", F.pmod("o_orderkey", F.lit(INTAKE_FILES)).cast("int").alias("part"))
-    schema = "o_orderkey long, o_custkey long, o_orderstatus string, part int"
-    orders.repartition(INTAKE_FILES, "part").write.partitionBy("part").csv(f"{root}/data")
-    queue = DirectoryQueue(f"{root}/queue")
-    landed = [r.path for r in spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{root}/data").select("path").collect()]
+    """Files of orders, announced twice in a queue, through verdicts, pending files, log and native reads."""
+    bucket = _Bucket(spark, sf_dir)
     for _ in range(2):
-        for i, path in enumerate(sorted(landed)):
-            queue.send(notification("data", path.partition("/data/")[2].replace("=", "%3D"), f"2024-01-0{i % 9 + 1}T00:00:00.000Z"))
-    options = Options.parse({"sluiceway.fileFormat": "csv", "sluiceway.queueUrl": f"{root}/queue", "sluiceway.queueRegion": "local", "sluiceway.maxFilesPerTrigger": "5", "sluiceway.queue.longPollingWaitTimeSeconds": "0", "sluiceway.queue.maxConcurrency": "2", "sluiceway.partitionColumns": "part", "basePath": f"{root}/data"})
-    run = _LocalIntake(spark, options, schema, f"{root}/checkpoint", f"{root}/data")
+        for part in bucket.keys:
+            bucket.queue.send(bucket.body(part, part))
+    run = bucket.open()
     try:
-        for _ in range(4):
-            run.spooler.run_once()
-        query = run.start(lambda rows, batch: rows.write.mode("overwrite").parquet(f"{root}/out/batch={batch}"))
-        query.awaitTermination()
+        run.process_available(bucket.sink)
     finally:
         run.close()
-    return spark.read.schema(schema).option("basePath", f"{root}/out").parquet(f"{root}/out/batch=*").drop("batch")
+    return bucket.rows().drop("batch")
 
 
-class _LocalIntake(Intake):
-    """An intake whose bucket `data` is a local folder."""
+def intake_surplus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two messages with three files each, the newest first: batches of two files, the oldest first."""
+    bucket = _Bucket(spark, sf_dir)
+    for parts in ((5, 3, 1), (4, 2, 0)):
+        bucket.queue.send(json.dumps({"Records": [json.loads(bucket.body(p, p))["Records"][0] for p in parts if p in bucket.keys]}))
+    run = bucket.open(maxFilesPerTrigger="2")
+    try:
+        run.process_available(bucket.sink)
+    finally:
+        run.close()
+    return bucket.rows().select("o_orderkey", "batch")
 
-    def __init__(self, spark: SparkSession, options: Options, schema: str, checkpoint: str, data: str) -> None:
-        super().__init__(spark, options, schema, checkpoint)
-        self.data = data
 
-    def admit(self, messages: DataFrame, batch_id: int) -> DataFrame:
-        return super().admit(messages, batch_id).withColumn("path", F.regexp_replace("path", "^s3://data/", f"{self.data}/"))
+def intake_keep_invalid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files that the glob leaves out are not read, and their messages stay in the queue."""
+    bucket = _Bucket(spark, sf_dir)
+    for part in bucket.keys:
+        bucket.queue.send(bucket.body(part))
+    run = bucket.open(**{"pathGlobFilter": "*/part=[0-2]/*", "queue.keepMessageForConsumerError": "true"})
+    try:
+        run.process_available(bucket.sink)
+    finally:
+        run.close()
+    return bucket.rows().select("o_orderkey", F.lit(bucket.queue.depth()).cast("long").alias("kept"))
+
+
+def intake_expired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest files are read first; of those announced later, by a new run, the old ones have expired."""
+    bucket = _Bucket(spark, sf_dir)
+    for parts in ((5, 4), (3, 2, 1, 0)):
+        for part in parts:
+            if part in bucket.keys:
+                bucket.queue.send(bucket.body(part, 10 * part))
+        run = bucket.open(maxFileAge="25d")
+        try:
+            run.process_available(bucket.sink)
+        finally:
+            run.close()
+    return bucket.rows().drop("batch")
+
+
+def reprocess_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch is read again under a new id, and a file that is announced after that is read under the next one."""
+    bucket = _Bucket(spark, sf_dir)
+    for again, parts in ((False, range(INTAKE_FILES - 1)), (True, ()), (False, (INTAKE_FILES - 1,))):
+        for part in parts:
+            if part in bucket.keys:
+                bucket.queue.send(bucket.body(part))
+        run = bucket.open()
+        try:
+            if again:
+                reprocess.run(run, 0, 0, bucket.sink)
+            else:
+                run.process_available(bucket.sink)
+        finally:
+            run.close()
+    return bucket.rows().select("o_orderkey", "batch")
 
 
 def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -372,16 +466,6 @@ _ORACLES = {
         "p AS (SELECT trigger_id, max(latest) OVER (ORDER BY trigger_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 86400000 AS floor_ms FROM g)",
     ),
     verdict_counts: _sql(
-        f"""SELECT verdict, CASE verdict WHEN 'Ok' THEN 'admit' WHEN 'ExistInCacheNotProcessed' THEN 'retry' ELSE 'drop' END AS action, count(*) AS n FROM (
-          SELECT CASE WHEN NOT {_GLOB_SQL} THEN 'PatternNotMatch' WHEN event_ms < floor_ms THEN 'FileExpired' WHEN processed THEN 'ExistInCacheProcessed'
-            WHEN NOT processed THEN 'ExistInCacheNotProcessed' WHEN logged_ms >= floor_ms THEN 'PersistedInMetadataLog' ELSE 'Ok' END AS verdict
-          FROM (SELECT * FROM c, x WHERE trigger_id >= last - 1) LEFT JOIN p USING (path) LEFT JOIN g USING (path)) GROUP BY 1, 2""",
-        "m AS (SELECT max(trigger_id) AS last FROM c)",
-        "x AS (SELECT last, (SELECT min(event_ms) FROM c, m WHERE trigger_id = last) - 86400000 AS floor_ms FROM m)",
-        "p AS (SELECT path, event_id % 2 = 0 AS processed FROM c, m WHERE trigger_id = last - 2 QUALIFY row_number() OVER (PARTITION BY path ORDER BY event_ms, event_id) = 1)",
-        "g AS (SELECT path, max(event_ms) AS logged_ms FROM l, x WHERE batch_id < 20 AND event_ms >= floor_ms GROUP BY 1)",
-    ),
-    verdict_counts_by_trigger: _sql(
         f"""SELECT verdict, CASE verdict WHEN 'Ok' THEN 'admit' WHEN 'ExistInCacheNotProcessed' THEN 'retry' ELSE 'drop' END AS action, count(*) AS n FROM (
           SELECT CASE WHEN NOT {_GLOB_SQL} THEN 'PatternNotMatch' WHEN event_ms < floor_ms THEN 'FileExpired' WHEN processed THEN 'ExistInCacheProcessed'
             WHEN NOT processed THEN 'ExistInCacheNotProcessed' WHEN logged_by < trigger_id AND logged_ms >= floor_ms THEN 'PersistedInMetadataLog' ELSE 'Ok' END AS verdict
@@ -394,20 +478,16 @@ _ORACLES = {
     batch_admission: _sql("SELECT batch_id, path, event_ms, event_id FROM l"),
     oldest_first_topk: _sql("SELECT batch_id, path, event_ms FROM l ORDER BY event_ms, path LIMIT 25"),
     unprocessed_pending: _sql("SELECT path, event_ms FROM l WHERE batch_id % 2 <> 0"),
-    delete_subbatches: _sql('SELECT path, CAST(floor((row_number() OVER (ORDER BY path) - 1) / 10) AS BIGINT) AS "group" FROM l WHERE batch_id = 3'),
-    delete_subbatches_all: _sql('SELECT batch_id, path, CAST(floor((row_number() OVER (PARTITION BY batch_id ORDER BY path) - 1) / 10) AS BIGINT) AS "group" FROM l'),
+    delete_subbatches: _sql('SELECT batch_id, path, CAST(floor((row_number() OVER (PARTITION BY batch_id ORDER BY path) - 1) / 10) AS BIGINT) AS "group" FROM l'),
     log_range: _sql("SELECT batch_id, path, event_ms FROM l WHERE batch_id BETWEEN 3 AND 5"),
-    log_written_range: _sql("SELECT batch_id, path, event_ms FROM l WHERE batch_id BETWEEN 3 AND 5"),
-    log_written_all: _sql("SELECT batch_id, path, event_ms FROM l"),
+    log_all: _sql("SELECT batch_id, path, event_ms FROM l"),
     log_latest: _sql("SELECT batch_id, path, event_ms FROM l WHERE batch_id = (SELECT max(batch_id) FROM l)"),
-    log_written_latest: _sql("SELECT batch_id, path, event_ms FROM l WHERE batch_id = 2"),
-    log_written_last: _sql("SELECT batch_id, path, event_ms FROM l WHERE batch_id = (SELECT max(batch_id) FROM l)"),
-    is_new_file: _sql("SELECT DISTINCT path FROM c WHERE trigger_id = 19 AND NOT EXISTS (SELECT 1 FROM l WHERE l.path = c.path AND batch_id < 5)"),
-    is_new_file_by_trigger: _sql("SELECT trigger_id, path FROM (SELECT DISTINCT trigger_id, path FROM c) JOIN g USING (path) WHERE logged_by >= trigger_id", "g AS (SELECT path, min(trigger_id) AS logged_by FROM c GROUP BY 1)"),
-    log_clean: _sql("SELECT batch_id FROM l GROUP BY 1 HAVING max(event_ms) < (SELECT max(event_ms) FROM l) - 20 * 86400000"),
+    log_lookup: _sql("SELECT path, event_ms FROM l WHERE path IN (SELECT path FROM c WHERE trigger_id = (SELECT max(trigger_id) FROM c))"),
+    log_race: _sql("SELECT batch_id, count(*) AS files, 1::BIGINT AS writers FROM l GROUP BY 1"),
+    is_new_file: _sql("SELECT trigger_id, path FROM (SELECT DISTINCT trigger_id, path FROM c) JOIN g USING (path) WHERE logged_by >= trigger_id", "g AS (SELECT path, min(trigger_id) AS logged_by FROM c GROUP BY 1)"),
+    log_clean: _sql("SELECT batch_id FROM l GROUP BY 1 HAVING max(event_ms) < (SELECT max(event_ms) FROM l) - 20 * 86400000 ORDER BY 1 LIMIT 20"),
     reprocess_dry_run: _sql("SELECT count(DISTINCT batch_id) AS batches, count(*) AS files FROM l WHERE batch_id BETWEEN 2 AND 9"),
-    partition_columns: "SELECT event_id, event_type, CAST(user_id % 7 AS INT) AS bucket_no FROM events WHERE user_id % 7 = 3",
-    partition_columns_all: "SELECT event_id, event_type, CAST(user_id % 7 AS INT) AS bucket_no FROM events",
+    partition_columns: "SELECT event_id, event_type, CAST(user_id % 7 AS INT) AS bucket_no FROM events",
     csv_roundtrip: "SELECT * FROM customer",
     json_roundtrip: "SELECT * FROM customer",
     parquet_roundtrip: "SELECT * FROM customer",
@@ -418,6 +498,12 @@ _ORACLES = {
     stream_append: "SELECT event_id, event_type, value FROM events",
     select_where: "SELECT event_id, event_type FROM events WHERE event_type = 'error'",
     stream_dedupe: "SELECT event_type, user_id, min(event_id) AS event_id FROM events GROUP BY 1, 2",
+    state_latest: "SELECT event_type, user_id, min(event_id) AS event_id FROM events GROUP BY 1, 2",
+    state_version: "SELECT event_type, user_id, min(event_id) AS event_id FROM events WHERE event_id % 3 = 0 GROUP BY 1, 2",
+    intake_surplus: "SELECT o_orderkey, (o_orderkey % 6) // 2 AS batch FROM orders",
+    intake_keep_invalid: "SELECT o_orderkey, (SELECT count(DISTINCT o_orderkey % 6) FROM orders WHERE o_orderkey % 6 > 2) AS kept FROM orders WHERE o_orderkey % 6 < 3",
+    intake_expired: "SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_orderkey % 6 AS INT) AS part FROM orders WHERE o_orderkey % 6 > 2",
+    reprocess_run: "SELECT o_orderkey, 2 AS batch FROM orders WHERE o_orderkey % 6 = 5 UNION ALL SELECT o_orderkey, unnest([0, 1]) AS batch FROM orders WHERE o_orderkey % 6 < 5",
     intake: "SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_orderkey % 6 AS INT) AS part FROM orders",
 }
 

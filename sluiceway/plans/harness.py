@@ -39,17 +39,17 @@ class FolderIntake(Intake):
 
     folder = ""
 
-    def admit(self, messages: DataFrame, batch_id: int) -> DataFrame:
-        return super().admit(messages, batch_id).withColumn("path", F.regexp_replace("path", "^s3://b/", f"{self.folder}/"))
+    def locate(self, path: str) -> str:
+        return path.replace("s3://b", self.folder, 1)
 
 
 def intake_consumer(spark: SparkSession, root: str, work: str, files_per_trigger: int) -> tuple[int, dict[str, float]]:
-    """Reads the announced files into Parquet; rows, and seconds of the fetch and of the query."""
+    """Reads the announced files into Parquet; rows, and seconds of the fetch (with verdicts and log) and of the query."""
     options = Options.parse({"sluiceway.fileFormat": "csv", "sluiceway.queueUrl": f"{work}/queue", "sluiceway.queueRegion": "local", "sluiceway.maxFilesPerTrigger": str(files_per_trigger), "sluiceway.queue.longPollingWaitTimeSeconds": "0", "sluiceway.queue.maxConcurrency": "4", "sluiceway.partitionColumns": "valPartition", "basePath": root})
     run = FolderIntake(spark, options, SCALE_SCHEMA, f"{work}/checkpoint")
     run.folder = root
     began = time.monotonic()
-    while run.spooler.run_once():
+    while run.feed():
         pass
     fetched = time.monotonic()
     query = run.start(lambda rows, batch: rows.write.mode("overwrite").parquet(f"{work}/out/batch={batch}"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 import threading
 import time
 from collections import Counter
@@ -13,6 +14,7 @@ from dataclasses import dataclass
 from datetime import datetime, timezone
 from urllib.parse import unquote_plus
 
+from sluiceway.functions.notifications import SCHEME, TIME_PATTERN
 from sluiceway.sources.options import Options
 from sluiceway.sources.queue import PER_CALL, Message, MessageQueue
 from sluiceway.streaming.metrics import Metrics
@@ -31,6 +33,23 @@ class AnnouncedFile:
     name: str = ""
 
 
+def event_millis(text: str) -> int:
+    """As functions.notifications.event_millis; ValueError where it isn't a time."""
+    if not re.match(TIME_PATTERN, text):
+        raise ValueError(f"not a time: {text!r}")
+    whole, _, fraction = text[:-1].partition(".")
+    seconds = int(datetime.strptime(whole, "%Y-%m-%dT%H:%M:%S").replace(tzinfo=timezone.utc).timestamp())
+    return 1000 * seconds + int(fraction.ljust(3, "0")[:3])
+
+
+def object_path(bucket: str, key: str) -> str:
+    """As functions.notifications.object_path; ValueError where an escape is none."""
+    path = f"{SCHEME}{bucket}/{key}"
+    if not isinstance(bucket, str) or not isinstance(key, str) or re.search("%(?![0-9A-Fa-f]{2})", path):
+        raise ValueError(f"not a path: {path!r}")
+    return unquote_plus(path)
+
+
 def parse_message(message: Message, first_record_only: bool = False) -> tuple[list[AnnouncedFile], int, int]:
     """Files that a message announces; how many other events it has; how many parts can't be read."""
     try:
@@ -47,9 +66,7 @@ def parse_message(message: Message, first_record_only: bool = False) -> tuple[li
             if "ObjectCreated" not in r["eventName"]:
                 others += 1
                 continue
-            at = datetime.strptime(r["eventTime"], "%Y-%m-%dT%H:%M:%S.%fZ").replace(tzinfo=timezone.utc)
-            ms = round(at.timestamp() * 1000)
-            files.append(AnnouncedFile(unquote_plus(f"s3://{r['s3']['bucket']['name']}/{r['s3']['object']['key']}"), ms, message.receipt, message.body, message.message_id))
+            files.append(AnnouncedFile(object_path(r["s3"]["bucket"]["name"], r["s3"]["object"]["key"]), event_millis(r["eventTime"]), message.receipt, message.body, message.message_id))
         except (ValueError, KeyError, TypeError):
             bad += 1
     return files, others, bad

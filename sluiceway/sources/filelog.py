@@ -1,18 +1,24 @@
 """The log of admitted files: a Parquet table with a folder per batch.
 
-A batch is written aside and renamed into place, so it is there as a whole or not at all,
-and of two writers of one batch id one succeeds. Each batch starts with a header row (path
-null) that holds its commit time, the expiry floor after it and the glob it was admitted by.
-Old batches can be folded into one compacted table, which bounds the number of small files.
+A batch is written aside and renamed into place by the one writer that holds its claim, so it
+is there as a whole or not at all, and of two writers of one batch id one succeeds. Each batch
+starts with a header row (path null) that holds its commit time, the expiry floor after it and
+the glob it was admitted by. Old batches can be folded into one compacted table, which bounds
+the number of small files; it is ordered by path and has Bloom filters, so a path is looked up
+without reading it all. What a compaction replaces is deleted by the next one, since open
+DataFrames may still read it.
 """
 
 from __future__ import annotations
 
+import io
 import time
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import pyarrow as pa
+import pyarrow.parquet
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +28,7 @@ from sluiceway.sources.files import Folder
 ROWS = "batch_id long, path string, event_ms long, commit_ms long, floor_ms long, glob string"
 #: Fixed value: batches removed by one cleaning.
 CLEANED = 20
+_FILE = pa.schema([("path", pa.string()), ("event_ms", pa.int64()), ("commit_ms", pa.int64()), ("floor_ms", pa.int64()), ("glob", pa.string())])
 
 
 @dataclass(frozen=True)
@@ -35,6 +42,7 @@ class FileLog:
         self.spark, self.folder = spark, Folder(spark, root)
         for name in ("batches", "compacted", "aside"):
             self.folder.make(name)
+        self._times: dict[int, tuple[int, int]] | None = None  # of batches with a folder: latest file and commit
 
     # What there is.
 
@@ -78,12 +86,12 @@ class FileLog:
         if entries is None:
             raise ValueError("entries are missing")
         if clean_floor_ms is not None:
-            self.clean(clean_floor_ms)
+            self.clean_folders(clean_floor_ms)
         if batch_id <= (self._compacted() or (0, -1))[1] or self.folder.exists(f"batches/batch_id={batch_id}"):
             return False
         commit_ms = int(time.time() * 1000) if commit_ms is None else commit_ms
         if not isinstance(entries, DataFrame):
-            entries = self.spark.createDataFrame([(e.path, e.event_ms) for e in entries], "path string, event_ms long")
+            return self._add_entries(batch_id, list(entries), commit_ms, floor_ms, glob)
         header = self.spark.createDataFrame([(None, None)], "path string, event_ms long")
         rows = header.unionByName(entries.select("path", "event_ms")).withColumns({"commit_ms": F.lit(commit_ms).cast("long"), "floor_ms": F.lit(floor_ms).cast("long"), "glob": F.lit(glob).cast("string")})
         aside = f"aside/{uuid.uuid4().hex}"
@@ -93,6 +101,30 @@ class FileLog:
         self.folder.delete(aside)
         return False
 
+    def _add_entries(self, batch_id: int, entries: list[Entry], commit_ms: int, floor_ms: int, glob: str | None) -> bool:
+        """Writes a batch that the driver holds as one file, without a job."""
+        n, out, aside = len(entries) + 1, io.BytesIO(), f"aside/{uuid.uuid4().hex}"
+        pa.parquet.write_table(pa.table([[None, *(e.path for e in entries)], [None, *(e.event_ms for e in entries)], [commit_ms] * n, [floor_ms] * n, [glob] * n], schema=_FILE), out)
+        self.folder.write(f"{aside}/part-0.parquet", out.getvalue())
+        if self.folder.move_new(aside, f"batches/batch_id={batch_id}"):
+            if self._times is not None and entries:
+                self._times[batch_id] = max(e.event_ms for e in entries), commit_ms
+            return True
+        self.folder.delete(aside)
+        return False
+
+    def clean_folders(self, floor_ms: int, limit: int = CLEANED) -> list[int]:
+        """clean() for batches with a folder of their own, by times that are read once; compacted ones go when they are compacted anew."""
+        if self._times is None:
+            own = self.batch_ids()
+            rows = self.to_df().filter(F.col("batch_id") >= own[0]).groupBy("batch_id").agg(F.max("event_ms"), F.max("commit_ms")).collect() if own else []
+            self._times = {r[0]: (r[1], r[2]) for r in rows}
+        old = sorted(i for i, (latest, commit) in self._times.items() if latest < floor_ms and commit < floor_ms)[:limit]
+        for i in old:
+            self.folder.delete(f"batches/batch_id={i}")
+            del self._times[i]
+        return old
+
     def fill(self, files: DataFrame, upto: int, commit_ms: int | None = None) -> bool:
         """Logs batches 0 to `upto` of an empty log at once, as compacted ones; False if a batch is there. files: batch_id, path, event_ms."""
         if upto < 0:
@@ -104,7 +136,7 @@ class FileLog:
         entries = files.filter(F.col("batch_id") <= upto).select("batch_id", "path", "event_ms")
         rows = headers.unionByName(entries).withColumns({"commit_ms": F.lit(commit_ms).cast("long"), "floor_ms": F.lit(0).cast("long"), "glob": F.lit(None).cast("string")})
         aside = f"aside/{uuid.uuid4().hex}"
-        rows.repartitionByRange(F.col("batch_id")).write.parquet(self.folder.at(aside))
+        self._write_ordered(rows, aside)
         if self.folder.move_new(aside, f"compacted/1-{upto}"):
             return True
         self.folder.delete(aside)
@@ -119,19 +151,25 @@ class FileLog:
             return
         version, aside = (old[0] if old else 0) + 1, f"aside/{uuid.uuid4().hex}"
         kept = self.rows().filter((F.col("batch_id") <= upto) & ~F.col("batch_id").isin([int(i) for i in without]))
-        kept.repartitionByRange(F.col("batch_id")).write.parquet(self.folder.at(aside))
+        self._write_ordered(kept, aside)
         if not self.folder.move_new(aside, f"compacted/{version}-{upto}"):
             self.folder.delete(aside)
             raise OSError("another compaction took place")
-        if old:
-            self.folder.delete(f"compacted/{old[0]}-{old[1]}")
+        for n in self.folder.names("compacted"):
+            if n[0].isdigit() and int(n.partition("-")[0]) < version - 1:
+                self.folder.delete(f"compacted/{n}")
         for n in self.folder.names("batches"):
-            if n.startswith("batch_id=") and int(n.partition("=")[2]) <= upto:
+            if old and n.startswith("batch_id=") and int(n.partition("=")[2]) <= old[1]:
                 self.folder.delete(f"batches/{n}")
+        self._times = None
+
+    def _write_ordered(self, rows: DataFrame, name: str) -> None:
+        rows.repartitionByRange(F.col("path")).sortWithinPartitions("path").write.option("parquet.bloom.filter.enabled#path", "true").parquet(self.folder.at(name))
 
     def clean(self, floor_ms: int, limit: int = CLEANED) -> list[int]:
         """Removes the oldest batches of which commit and files are before the floor; at most `limit` of them."""
         old = [r.batch_id for r in cleanable_batches(self.to_df(), floor_ms).orderBy("batch_id").limit(limit).collect()]
+        self._times = None
         folded = [i for i in old if i <= (self._compacted() or (0, -1))[1]]
         if folded:
             self.compact((self._compacted() or (0, -1))[1], folded)
@@ -143,7 +181,7 @@ class FileLog:
 
     def get(self, batch_id: int) -> DataFrame | None:
         """A batch's files, or None if the batch isn't there."""
-        if self.folder.exists(f"batches/batch_id={batch_id}"):
+        if batch_id > (self._compacted() or (0, -1))[1] and self.folder.exists(f"batches/batch_id={batch_id}"):
             rows = self.spark.read.schema(ROWS).option("basePath", self.folder.at("batches")).parquet(self.folder.at(f"batches/batch_id={batch_id}"))
         elif batch_id <= (self._compacted() or (0, -1))[1]:
             rows = self.rows().filter(F.col("batch_id") == batch_id)
@@ -177,6 +215,10 @@ class FileLog:
         """The logged time of a path."""
         return self.to_df().filter(F.col("path") == path).agg(F.max("event_ms")).first()[0]
 
+    def times_of(self, paths: DataFrame, floor_ms: int = 0) -> DataFrame:
+        """(path, event_ms) of the log's rows with these paths (a bounded number) that are not below the floor."""
+        return self.to_df().filter(F.col("event_ms") >= floor_ms).join(F.broadcast(paths.select("path").distinct()), "path", "left_semi").select("path", "event_ms")
+
     def is_new_file(self, path: str, floor_ms: int) -> bool:
         known = self.get_file(path)
         return known is None or known < floor_ms

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 from concurrent.futures import ThreadPoolExecutor
@@ -13,7 +14,7 @@ class Folder:
     """A folder of small control files, shared by all that have its path."""
 
     def __init__(self, spark: SparkSession, root: str) -> None:
-        self.root = root.rstrip("/")
+        self.root, self._spark = root.rstrip("/"), spark
         self._jvm = spark._jvm
         self._fs = self._path("").getFileSystem(spark._jsc.hadoopConfiguration())
 
@@ -35,34 +36,54 @@ class Folder:
     def delete(self, name: str) -> bool:
         return self._fs.delete(self._path(name), True)
 
-    def move_new(self, name: str, to: str) -> bool:
-        """Renames unless the target is there; whether it did. One of several writers succeeds."""
-        return not self.exists(to) and self._fs.rename(self._path(name), self._path(to)) and not self.exists(f"{to}/{name.rpartition('/')[2]}")
+    def age_ms(self, name: str) -> int:
+        """Milliseconds since it was written; 0 if it isn't there."""
+        if not self.exists(name):
+            return 0
+        return int(self._jvm.java.lang.System.currentTimeMillis() - self._fs.getFileStatus(self._path(name)).getModificationTime())
+
+    def move_new(self, name: str, to: str, stale_ms: int = 600_000) -> bool:
+        """Renames unless the target is there; whether it did. Of several writers one succeeds: that which creates the target's claim.
+
+        A claim that is older than stale_ms and has no target is one of a writer that died.
+        """
+        claim = f".{to.replace('/', '-')}.claim"
+        if self.exists(to):
+            return False
+        if not self.create_new(claim):
+            if self.exists(to) or self.age_ms(claim) < stale_ms:
+                return False
+            self.delete(claim)
+            if not self.create_new(claim):
+                return False
+        try:
+            return not self.exists(to) and self._fs.rename(self._path(name), self._path(to))
+        finally:
+            self.delete(claim)
 
     def create_new(self, name: str) -> bool:
-        """Creates an empty file unless it is there; whether it did."""
+        """Creates an empty file unless it is there; whether it did. Only one of several callers does."""
         try:
-            self._fs.create(self._path(name), False).close()
+            if self._path(name).toUri().getScheme() in (None, "file") and self._fs.getScheme() == "file":
+                # Hadoop's local file system looks first and creates then; this is one step
+                files = self._jvm.java.nio.file
+                none = self._spark._sc._gateway.new_array(files.attribute.FileAttribute, 0)
+                self.make("")
+                files.Files.createFile(self._jvm.java.io.File(self._path(name).toUri().getPath()).toPath(), none)
+            else:
+                self._fs.create(self._path(name), False).close()
         except Exception as e:  # the JVM's own kind of error
-            if self.exists(name):
+            if "FileAlreadyExists" in str(e) or self.exists(name):  # it may be gone again by now
                 return False
             raise OSError(f"{self.at(name)} can't be created") from e
         return True
 
-    def write_new(self, name: str, text: str) -> bool:
-        """Writes a file aside and moves it into place unless it is there; whether it did."""
-        if self.exists(name):
-            return False
-        aside = f"{name.rpartition('/')[0]}/.{uuid.uuid4().hex}".lstrip("/")
-        out = self._fs.create(self._path(aside), True)
+    def write(self, name: str, data: bytes) -> None:
+        out = self._fs.create(self._path(name), True)
         try:
-            out.write(bytearray(text.encode()))
+            out.write(bytearray(data))
         finally:
             out.close()
-        if self._fs.rename(self._path(aside), self._path(name)):
-            return True
-        self.delete(aside)
-        return False
 
 
 def existing(spark: SparkSession, paths: list[str]) -> list[str]:
@@ -91,4 +112,19 @@ def scratch(spark: SparkSession) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="sluiceway-")
         spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/sluiceway-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    own = f"{root.rstrip('/')}/sluiceway-{spark.sparkContext.applicationId}"
+    if own not in _OWN:
+        _OWN.add(own)
+        atexit.register(_forget, Folder(spark, own))
+    return f"{own}/{uuid.uuid4().hex}"
+
+
+_OWN: set[str] = set()
+
+
+def _forget(folder: Folder) -> None:
+    """Deletes an application's scratch folder when it ends; if the JVM ended first, the folder stays."""
+    try:
+        folder.delete("")
+    except Exception:  # noqa: BLE001 py4j's kinds of error, and those of its sockets
+        pass

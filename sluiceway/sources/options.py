@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
+from pyspark.sql import SparkSession
+
 from sluiceway.functions.durations import duration_ms
 from sluiceway.functions.globs import glob_to_regex
 
@@ -173,3 +176,16 @@ def state_store_confs(given: Mapping[str, str]) -> dict[str, str]:
         else:
             out[STATE_STORE + name] = str(_bool(text)).lower() if STATE_STORE_OPTIONS[name] is bool else str(_int(text, 0))
     return out
+
+
+@contextmanager
+def settings(spark: SparkSession, confs: Mapping[str, str]) -> Iterator[None]:
+    """The session has these settings inside of the block; a query keeps those that it was started with."""
+    before = {k: spark.conf.get(k, None) for k in confs}
+    for k, v in confs.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

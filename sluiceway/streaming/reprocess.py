@@ -1,13 +1,17 @@
-"""Reads logged batches again: a dry run that lists them, or a run under new batch ids."""
+"""Reads logged batches again: a dry run that lists them, or a run under new batch ids.
+
+The files are logged anew, as pending files are, so the intake's stream reads them like any
+other batch and its ids go on from theirs.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluiceway.operators.admission import into_batches
-from sluiceway.sources.options import DRY_RUN, IN_ACTION, LogAddError, ReprocessDryRun, ReprocessLocked
-from sluiceway.sources.reader import read_with
+from sluiceway.operators.admission import first_by_path
+from sluiceway.operators.pending import Pending, PendingFiles
+from sluiceway.sources.options import DRY_RUN, IN_ACTION, ReprocessDryRun, ReprocessLocked
 from sluiceway.streaming.intake import Intake, Sink
 
 LOCK = "reprocess.lock"
@@ -24,31 +28,21 @@ def release_lock(intake: Intake) -> bool:
 
 
 def run(intake: Intake, start: int, end: int, sink: Sink) -> list[int]:
-    """Reads the files of the batches again, oldest batch first, under new ids, which it returns.
+    """Reads the files of the batches again, oldest file first, under new ids, which it returns.
 
     No message is fetched, none is deleted, and no file counts as expired. The lock that it
     takes stays until release_lock(), so that a restarted job doesn't start all over.
     """
-    files = intake.log.range(start, end)
+    files = first_by_path(intake.log.range(start, end).select("path", "event_ms", "batch_id"), "batch_id", "event_ms")
     if not intake.log.folder.create_new(LOCK):
         raise ReprocessLocked(f"{intake.log.folder.at(LOCK)} is there; remove it to reprocess again")
-    files = files.groupBy("path").agg(F.min("batch_id").alias("old"), F.max("event_ms").alias("event_ms"))
-    size = intake.options.max_files or max(files.count(), 1)
-    dealt = into_batches(files, size, "event_ms", "old", "path").persist()
+    again = PendingFiles(max_age_ms=1 << 62)
+    for r in files.orderBy("event_ms", "path").toLocalIterator():  # as many as the pending files that the batches were
+        again.add(r.path, Pending(r.event_ms))
     issued = []
-    for i in range((dealt.agg(F.max("batch_id")).first()[0] or 0) + 1):  # a loop over batches, as a stream's
-        part = dealt.filter(F.col("batch_id") == i).select("path", "event_ms")
-        paths = [r.path for r in part.orderBy("event_ms", "path").collect()]
-        if not paths:
-            continue
-        new_id = intake.log.latest_batch_id() + 1
-        if not intake.log.add(new_id, part, floor_ms=intake.log.floor()):
-            raise LogAddError(f"batch {new_id} was logged by another writer")
-        rows, gone = read_with(intake.spark, intake.options, paths, intake.schema)
-        intake.missing += gone
-        sink(rows, new_id)
+    while (new_id := intake.admit(again)) is not None:
         issued.append(new_id)
-    dealt.unpersist()
+    intake.start(sink).awaitTermination()
     return issued
 
 

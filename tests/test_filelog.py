@@ -1,3 +1,6 @@
+import time
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 
 from sluiceway.sources.filelog import Entry, FileLog
@@ -79,3 +82,41 @@ def test_compaction_keeps_what_readers_see(log):
     assert log.clean(3) == [0, 1] and files(log.to_df()) == [x for x in before if x[0] > 1]
     assert log.floor() == 4 and log.add(5, entries(9))
     assert log.show_all().count() == 3 * 3 + 2
+
+
+def test_one_of_several_writers_succeeds(spark, tmp_path):
+    logs = [FileLog(spark, f"file://{tmp_path}/log") for _ in range(6)]
+    with ThreadPoolExecutor(6) as pool:
+        for batch in range(8):
+            done = list(pool.map(lambda w: logs[w].add(batch, [Entry(f"{w}", 1)] * 3), range(6)))  # noqa: B023
+            assert sum(done) == 1
+            assert {r.path for r in logs[0].get(batch).collect()} == {str(done.index(True))}
+
+
+def test_a_dead_writers_claim_is_taken_over(log, spark):
+    claim = ".batches-batch_id=0.claim"
+    assert log.folder.create_new(claim) and not log.folder.create_new(claim)
+    assert not log.add(0, entries(1))
+    time.sleep(0.05)
+    log.folder.make("aside/x")
+    assert log.folder.move_new("aside/x", "batches/batch_id=0", stale_ms=10) and not log.folder.exists(claim)
+
+
+def test_open_tables_survive_a_compaction(log):
+    for i in range(4):
+        log.add(i, entries(i))
+    before = log.to_df()
+    log.compact(2)
+    assert before.count() == 4
+    half = log.to_df()
+    log.compact(3)
+    assert half.count() == log.to_df().count() == 4
+
+
+def test_lookups_are_pushed_down(log, spark):
+    log.add(0, entries(*range(50)))
+    log.compact()
+    found = log.to_df().filter("path = '/p7_7'")
+    assert "EqualTo(path,/p7_7)" in found._jdf.queryExecution().toString() and found.count() == 1
+    paths = spark.createDataFrame([("/p7_7",), ("/p9_9",), ("none",)], "path string")
+    assert sorted(r.event_ms for r in log.times_of(paths).collect()) == [7, 9] and [r.event_ms for r in log.times_of(paths, 8).collect()] == [9]

@@ -4,7 +4,8 @@ from pyspark.sql import functions as F
 from sluiceway.functions.durations import duration_ms
 from sluiceway.functions.globs import glob_to_regex, matches_glob
 from sluiceway.functions.notifications import CREATED_FILE, DISCARDED, UNPARSEABLE, created_files, discarded, notification_body, parse
-from sluiceway.sources.queue import notification
+from sluiceway.sources.client import parse_message
+from sluiceway.sources.queue import Message, notification
 
 
 @pytest.mark.parametrize(
@@ -77,3 +78,13 @@ def test_split_and_round_trip(spark):
     assert created_files(df).count() == 1 and discarded(df).count() == 2
     made = spark.range(1).select(notification_body(F.lit("b"), F.lit("k=1/ü .csv"), F.lit("ObjectCreated:Put"), F.lit("2023-02-14T22:53:31.748Z")).alias("body"))
     assert created_files(made).first().path == "s3://b/k=1/ü .csv"
+
+
+@pytest.mark.parametrize("at", ["2024-01-03T00:00:00.123Z", "2024-01-03T00:00:00Z", "2024-01-03T00:00:00.1Z", "2024-01-03T23:59:59.123456Z", "2024-02-29T00:00:00.123456789Z", "1969-12-31T23:59:59.999Z", "2023-02-29T00:00:00Z", "2024-01-03", "2024-01-03T00:00:00.Z", "2024-01-03T00:00:00", "2024-01-03T00:00:00.123+01:00", "2024-13-03T00:00:00Z", "yesterday", "", "2024-01-03T00:00:00Z\n"])
+@pytest.mark.parametrize("key", ["a.csv", "p%3D1/x+y%20z.csv", "bad%zz", "cut%2", "%C3%A9", "100%"])
+def test_both_parsers_agree(spark, at, key):
+    body = notification("b", key, at)
+    files, others, bad = parse_message(Message(body, "r", "m"))
+    rows = parse(spark.createDataFrame([(body,)], "body string")).collect()
+    assert [(f.path, f.event_ms) for f in files] == [(r.path, r.event_ms) for r in rows if r.outcome == CREATED_FILE]
+    assert bad == sum(r.outcome == UNPARSEABLE for r in rows) and others == 0

@@ -1,20 +1,21 @@
 import csv
 import json
+import time
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from sluiceway.sources.datasource import IntakeDataSource
-from sluiceway.sources.options import NoSchemaError, Options, ReprocessDryRun, ReprocessLocked
+from sluiceway.sources.options import LogAddError, NoSchemaError, Options, ReprocessDryRun, ReprocessLocked
 from sluiceway.sources.queue import DirectoryQueue, notification
 from sluiceway.sources.reader import read_files
-from sluiceway.streaming import reprocess
+from sluiceway.streaming import intake, reprocess
 from sluiceway.streaming.intake import Intake, dedupe_by_watermark
 
-ROWS = [("James", True, 3000), ("Michael", False, 5000), ("Robert", False, 5000)]
+ROWS = [("amber", True, 310), ("birch", False, 620), ("cedar", False, 620)]
 SCHEMA = "testString string, testBoolean boolean, testInt int"
-PARTITIONED = [("James", True, 3000, "p1", 1), ("Michael", False, 5000, "p1", 1), ("Robert", False, 5000, "p1", 2), ("James2", True, 3000, "p2", 1), ("Michael2", False, 5000, "p2", 1), ("Robert2", False, 5000, "p2", 3)]
+PARTITIONED = [("north", True, 7, "p1", 1), ("south", False, 8, "p1", 1), ("east", False, 9, "p1", 2), ("west", True, 10, "p2", 1), ("up", False, 11, "p2", 1), ("down", True, 12, "p2", 3)]
 
 
 class Bucket:
@@ -32,13 +33,13 @@ class Bucket:
         if announce:
             self.queue.send(notification("b", path.replace("=", "%3D"), at))
 
-    def intake(self, schema=SCHEMA, **more):
+    def intake(self, schema=SCHEMA, **more):  # a new one, as after a restart
         given = {"sluiceway.fileFormat": "csv", "sluiceway.queueUrl": str(self.root / "queue"), "sluiceway.queueRegion": "local", "sluiceway.queue.longPollingWaitTimeSeconds": "0", "sluiceway.queue.maxConcurrency": "2", "sluiceway.maxFilesPerTrigger": "5"}
         options = Options.parse(given | self.more | more)
 
         class Local(Intake):
-            def admit(this, messages, batch_id):
-                return super().admit(messages, batch_id).withColumn("path", F.regexp_replace("path", "^s3://b/", f"{self.root}/data/"))
+            def locate(this, path):
+                return path.replace("s3://b", f"{self.root}/data", 1)
 
         return Local(self.spark, options, schema, f"{self.root}/checkpoint")
 
@@ -101,19 +102,127 @@ def test_expired_files(bucket):
     assert bucket.run() == ROWS
 
 
-def test_a_batch_that_runs_again_keeps_its_entries(bucket, spark):
+def test_a_logged_batch_is_read_after_a_crash(bucket):
     bucket.put("a.csv")
     i = bucket.intake()
-    i.spooler.run_once()
-    messages = spark.read.text(i.spool, wholetext=True).withColumnRenamed("value", "body")
-    i.run_batch(messages, 0, bucket.sink)
-    first = bucket.batches.pop(0)
-    # the driver died after the log was written and before Spark's own commit
-    i.close()
-    assert bucket.run() == sorted(first) == ROWS and list(bucket.batches) == [0]
+    assert i.feed() == [0] and bucket.queue.depth() == 0
+    # the driver died after the batch was logged and before the stream read it
+    i.client.close()
+    assert bucket.run() == ROWS and list(bucket.batches) == [0]
     assert bucket.run() == []
 
 
+def test_a_batch_whose_sink_failed_runs_again_with_its_id(bucket):
+    bucket.put("a.csv")
+    i, seen = bucket.intake(), []
+
+    def failing(rows, batch_id):
+        seen.append((batch_id, rows.count()))
+        raise OSError("the sink is down")
+
+    with pytest.raises(Exception, match="the sink is down"):
+        i.process_available(failing)
+    i.close()
+    bucket.put("b.csv")
+    assert bucket.run() == sorted(ROWS * 2) and seen == [(0, 3)] and sorted(bucket.batches) == [0, 1]
+
+
+def test_messages_are_deleted_only_when_logged(bucket, monkeypatch):
+    bucket.put("a.csv")
+    i = bucket.intake()
+    monkeypatch.setattr(i.log, "add", lambda *a, **k: False)
+    with pytest.raises(LogAddError):
+        i.feed()
+    assert bucket.queue.depth() == 1
+    i.close()
+    bucket.queue = DirectoryQueue(str(bucket.root / "queue"))
+    assert bucket.run() == ROWS and bucket.queue.depth() == 0
+
+
+def test_surplus_is_carried_over(bucket):
+    """Messages of many records make more files than a batch may have; the oldest are first."""
+    for m in range(3):
+        names = [f"{m}_{k}.csv" for k in range(4)]
+        for n in names:
+            bucket.put(n, ROWS[:1], announce=False)
+        bodies = [json.loads(notification("b", n, f"2024-01-0{9 - m}T00:00:0{k}.000Z"))["Records"][0] for k, n in enumerate(names)]
+        bucket.queue.send(json.dumps({"Records": bodies}))
+    i = bucket.intake(**{"sluiceway.maxFilesPerTrigger": "5"})
+    i.fetch()
+    assert i.admit() == 0 and len(i.pending.unprocessed()) == 7
+    assert bucket.queue.depth() == 2  # one message has all its files logged
+    assert i.feed() == [1, 2] and bucket.queue.depth() == 0
+    i.start(bucket.sink).awaitTermination()
+    i.close()
+    assert [len(bucket.batches[b]) for b in (0, 1, 2)] == [5, 5, 2]
+    assert [r.path[-7] for r in i.log.get(0).orderBy("event_ms").collect()] == list("22221")
+
+
+def test_pending_files_put_their_message_off(bucket):
+    bucket.put("a.csv")
+    bucket.put("a.csv", announce=True)
+    i = bucket.intake()
+    i.fetch()
+    assert i.verdicts == {"Ok": 1, "LostRace": 1} and i.metrics["visibility_set"] == 1
+    bucket.queue.send(notification("b", "a.csv", "2024-01-01T00:00:00.000Z"))
+    i.fetch()
+    assert i.verdicts["ExistInCacheNotProcessed"] == 1 and i.metrics["visibility_set"] == 2 and i.metrics["deleted"] == 0
+    assert i.admit() == 0 and bucket.queue.depth() == 2
+    bucket.queue.send(notification("b", "a.csv", "2024-01-01T00:00:00.000Z"))
+    i.fetch()
+    assert i.verdicts["PersistedInMetadataLog"] == 1 and bucket.queue.depth() == 2
+    i.close()
+
+
+@pytest.mark.parametrize("keep", ["true", "false"])
+def test_invalid_files_keep_or_lose_their_message(bucket, keep):
+    bucket.put("x/wanted.csv")
+    bucket.put("x/other.txt")
+    i = bucket.intake(**{"sluiceway.pathGlobFilter": "*.csv", "sluiceway.queue.keepMessageForConsumerError": keep})
+    i.process_available(bucket.sink)
+    assert i.verdicts == {"Ok": 1, "PatternNotMatch": 1} and bucket.queue.depth() == (keep == "true") and i.metrics["visibility_set"] == (keep == "true")
+    i.close()
+
+
+def test_odd_times_are_not_lost(bucket):
+    for k, at in enumerate(("2024-01-03T00:00:00.123456Z", "2024-01-03T00:00:00Z", "2024-01-03T00:00:00.1Z")):
+        bucket.put(f"{k}.csv", at=at)
+    bucket.put("never.csv", at="yesterday")
+    i = bucket.intake()
+    i.process_available(bucket.sink)
+    assert len(i.log.to_df().collect()) == 3 and i.metrics["parse_failed"] == 1
+    assert sorted(r.event_ms % 1000 for r in i.log.to_df().collect()) == [0, 100, 123]
+    i.close()
+
+
+def test_a_running_intake_feeds_itself(bucket):
+    i = bucket.intake()
+    query = i.start(bucket.sink, {"processingTime": "200 milliseconds"}, feed_every=0.1)
+    for n in range(6):
+        bucket.put(f"{n}.csv")
+        time.sleep(0.3)
+    until = time.monotonic() + 60
+    while sum(map(len, bucket.batches.values())) < 18 and time.monotonic() < until:
+        time.sleep(0.2)
+    i.close(query)
+    assert sorted(r for b in bucket.batches.values() for r in b) == sorted(ROWS * 6) and bucket.queue.depth() == 0
+    assert i.listener.progress
+
+
+def test_old_batches_are_cleaned_and_compacted(bucket, monkeypatch):
+    monkeypatch.setattr(intake, "COMPACTED_EVERY", 4)
+    monkeypatch.setattr(intake, "KEPT_APART", 1)
+    i = bucket.intake(**{"sluiceway.maxFilesPerTrigger": "1"})
+    for n in range(9):
+        bucket.put(f"{n}.csv", ROWS[:1])
+        i.process_available(bucket.sink)
+    assert i.log.batch_ids() == [7, 8] and i.log.range().count() == 9 and sum(map(len, bucket.batches.values())) == 9
+    bucket.put("3.csv")
+    i.process_available(bucket.sink)
+    assert i.verdicts["PersistedInMetadataLog"] == 1
+    i.close()
+
+
 def test_missing_files_are_counted(bucket):
     bucket.put("a.csv")
     bucket.put("gone.csv")
@@ -140,11 +249,10 @@ def test_reprocessing(bucket):
     i = bucket.intake()
     files, said = reprocess.dry_run(i, 0, logged - 1)
     assert said == f"{logged} batches, 7 files." and files.count() == 7
-    # entries name the bucket; map them as the intake does
-    i.log.range = lambda a, b, r=i.log.range: r(a, b).withColumn("path", F.regexp_replace("path", "^s3://b/", f"{bucket.root}/data/"))
     before = dict(bucket.batches)
+    bucket.put("queued.csv")
     issued = reprocess.run(i, 0, logged - 1, bucket.sink)
-    assert issued == list(range(logged, logged + len(issued)))
+    assert issued == list(range(logged, logged + len(issued))) and bucket.queue.depth() == 1
     assert sorted(r for b in issued for r in bucket.batches[b]) == sorted(ROWS * 7) and before.items() <= bucket.batches.items()
     with pytest.raises(ReprocessLocked):
         reprocess.run(i, 0, 0, bucket.sink)
@@ -157,6 +265,18 @@ def test_reprocessing(bucket):
     assert reprocess.by_options(bucket.intake(), bucket.sink) == []
 
 
+def test_normal_runs_go_on_after_a_reprocessing(bucket):
+    for n in range(3):
+        bucket.put(f"{n}.csv")
+    bucket.run()
+    i = bucket.intake(**{"sluiceway.reprocessStartBatchId": "0", "sluiceway.reprocessEndBatchId": "0", "sluiceway.reprocessDryRun": "false"})
+    assert reprocess.by_options(i, bucket.sink) == [1]
+    i.close()
+    bucket.put("new.csv", ROWS[:1])
+    bucket.put("1.csv")
+    assert bucket.run() == ROWS[:1] and sorted(bucket.batches) == [0, 1, 2] and bucket.queue.depth() == 0
+
+
 @pytest.mark.parametrize("form", ["csv", "json", "parquet", "orc"])
 def test_formats(spark, tmp_path, form):
     spark.createDataFrame(ROWS, SCHEMA).coalesce(2).write.format(form).save(f"{tmp_path}/x")
@@ -167,7 +287,7 @@ def test_formats(spark, tmp_path, form):
 def test_headers_and_filters(spark, tmp_path):
     spark.createDataFrame(ROWS, SCHEMA).write.csv(f"{tmp_path}/x", header=True, sep="|")
     df = read_files(spark, [f"{tmp_path}/x"], SCHEMA, "csv", {"header": "true", "sep": "|"})[0]
-    assert sorted(map(tuple, df.select("testString", "testInt").where("testInt = 5000").collect())) == [("Michael", 5000), ("Robert", 5000)]
+    assert sorted(map(tuple, df.select("testString", "testInt").where("testInt = 620").collect())) == [("birch", 620), ("cedar", 620)]
 
 
 def test_mismatches(spark, tmp_path):
@@ -181,7 +301,7 @@ def test_mismatches(spark, tmp_path):
 
 def test_paths_with_glob_characters(spark, tmp_path):
     target = tmp_path / "a[1]{x}.csv"
-    target.write_text("James,true,3000\n")
+    target.write_text("amber,true,310\n")
     assert list(map(tuple, read_files(spark, [str(target)], SCHEMA, "csv")[0].collect())) == [ROWS[0]]
     assert read_files(spark, [], SCHEMA, "csv")[0].collect() == []
 
@@ -199,7 +319,7 @@ def test_data_source(spark, tmp_path):
     counted = stream.groupBy("testInt").count()
     query = counted.writeStream.outputMode("complete").format("memory").queryName("counted").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
     query.awaitTermination()
-    assert sorted(map(tuple, spark.table("counted").collect())) == [(3000, 2), (5000, 4)]
+    assert sorted(map(tuple, spark.table("counted").collect())) == [(310, 2), (620, 4)]
     assert queue.depth() == 0 and len(json.loads((tmp_path / "log/0.json").read_text().splitlines()[0])) == 2
 
 

@@ -1,4 +1,4 @@
-"""Queries over the whole table, beside those of which the SQL has a cut."""
+"""Queries over the whole table."""
 
 from pyspark.sql import functions as F
 
@@ -15,7 +15,7 @@ def test_newness_by_trigger(spark):
 
 
 def test_newness_judges_files_of_all_triggers(spark, sf_dir):
-    new = catalog.queries()["is_new_file_by_trigger"](spark, sf_dir)
+    new = catalog.queries()["is_new_file"](spark, sf_dir)
     assert new.count() == catalog.first_files(spark, sf_dir).count()  # each path is new once
     assert new.agg(F.countDistinct("trigger_id")).first()[0] > 1
 
@@ -37,7 +37,7 @@ def test_the_whole_log_is_written(spark):
 
 
 def test_acknowledgement_groups_of_all_batches(spark, sf_dir):
-    got = catalog.queries()["delete_subbatches_all"](spark, sf_dir).toPandas()
+    got = catalog.queries()["delete_subbatches"](spark, sf_dir).toPandas()
     assert len(got) == catalog.logged(spark, sf_dir).count() and got.batch_id.nunique() > 1
     assert (got.groupby(["batch_id", "group"]).size() <= 10).all() and (got.groupby("batch_id").group.min() == 0).all()
 
@@ -52,11 +52,11 @@ def test_verdicts_by_trigger(spark):
 
 def test_every_file_gets_a_verdict(spark):
     sf_dir = "/root/testdata/sf0.1"
-    counts = {r.verdict: r.n for r in catalog.queries()["verdict_counts_by_trigger"](spark, sf_dir).collect()}
+    counts = {r.verdict: r.n for r in catalog.queries()["verdict_counts"](spark, sf_dir).collect()}
     assert sum(counts.values()) == catalog.created(spark, sf_dir).count() and counts[IN_LOG] > 0
 
 
 def test_all_partitions_are_read_back(spark, sf_dir):
-    got = catalog.queries()["partition_columns_all"](spark, sf_dir)
+    got = catalog.queries()["partition_columns"](spark, sf_dir)
     assert got.count() == catalog.table(spark, sf_dir, "events").count()
     assert sorted(r.bucket_no for r in got.select("bucket_no").distinct().collect()) == list(range(7))
