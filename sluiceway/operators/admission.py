@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 #: Files an acknowledgement call takes at most.
 ACKNOWLEDGED = 10
+#: Parts in which files are put in order.
+RANGES = 64
 
 
 def first_by_path(files: DataFrame, *order: str) -> DataFrame:
@@ -27,16 +29,26 @@ def unprocessed(pending: DataFrame, floor_ms: int = 0) -> DataFrame:
     return pending.filter(~F.col("processed") & (F.col("event_ms") >= floor_ms))
 
 
+def _place(value: Column, bounds: list) -> Column:
+    """How many of the ascending bounds are below the value, by halving."""
+    if not bounds:
+        return F.lit(0)
+    mid = len(bounds) // 2
+    return F.when(value > F.lit(bounds[mid]), F.lit(mid + 1) + _place(value, bounds[mid + 1 :])).otherwise(_place(value, bounds[:mid]))
+
+
 def _ranked(files: DataFrame, order: tuple[str, ...]) -> DataFrame:
     """files with rank (from 0) in the whole order, without ordering all rows in one task.
 
-    Rows are cut into ranges of the first order column by its time span; counts of the ranges
-    give each its offset, and rows are numbered within their range.
+    Rows are cut into RANGES of about as many rows by quantiles of the first order column, so a
+    backfill of one day is cut as well; counts of the ranges give each its offset, and rows are
+    numbered within their range. Rows of one time are in one range.
     """
-    span = 86_400_000  # a day of event time
-    cut = files.withColumn("range", F.floor(F.col(order[0]) / span))
+    cuts = F.percentile_approx(order[0], F.array(*(F.lit(i / RANGES) for i in range(1, RANGES))), F.lit(10 * RANGES))
+    bounds = sorted(set(files.agg(cuts).first()[0] or ()))
+    cut = files.withColumn("range", _place(F.col(order[0]), bounds))
     counts = cut.groupBy("range").agg(F.count(F.lit(1)).alias("held"))
-    before = F.coalesce(F.sum("held").over(W.orderBy("range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))  # a row per day
+    before = F.coalesce(F.sum("held").over(W.orderBy("range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))  # RANGES rows
     within = F.row_number().over(W.partitionBy("range").orderBy(*order)) - 1
     return cut.withColumn("within", within).join(counts.select("range", before.alias("before")), "range").withColumn("rank", (F.col("within") + F.col("before")).cast("long")).drop("range", "within", "before")
 

@@ -24,6 +24,7 @@ from sluiceway.sources.queue import DirectoryQueue, notification
 from sluiceway.sources.reader import read_files
 from sluiceway.streaming import reprocess
 from sluiceway.streaming.intake import Intake
+from sluiceway.streaming.stateful import admit_once
 
 BUCKET = "bucket"
 DAY_MS = 86_400_000
@@ -317,6 +318,17 @@ def state_version(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _state(spark, _stateful(spark, sf_dir)[1], 0)
 
 
+def admit_once_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Announced files that pass the keyed state of streaming.stateful, in three micro-batches."""
+    root, files = scratch(spark), created(spark, sf_dir)
+    for i in range(3):
+        files.filter(F.pmod("event_id", F.lit(3)) == i).select("path", "event_ms").coalesce(1).write.mode("append").parquet(f"{root}/in")
+        time.sleep(0.01)
+    stream = spark.readStream.schema("path string, event_ms long").option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    with settings(spark, state_store_confs({})):
+        return _run_stream(admit_once(stream, 1 << 50))
+
+
 INTAKE_FILES = 6
 _SCHEMA = "o_orderkey long, o_custkey long, o_orderstatus string, part int"
 
@@ -499,6 +511,7 @@ _ORACLES = {
     select_where: "SELECT event_id, event_type FROM events WHERE event_type = 'error'",
     stream_dedupe: "SELECT event_type, user_id, min(event_id) AS event_id FROM events GROUP BY 1, 2",
     state_latest: "SELECT event_type, user_id, min(event_id) AS event_id FROM events GROUP BY 1, 2",
+    admit_once_state: _sql("SELECT path, min(event_ms) AS event_ms FROM (SELECT *, event_id % 3 AS turn, min(event_id % 3) OVER (PARTITION BY path) AS first FROM c) WHERE turn = first GROUP BY 1"),
     state_version: "SELECT event_type, user_id, min(event_id) AS event_id FROM events WHERE event_id % 3 = 0 GROUP BY 1, 2",
     intake_surplus: "SELECT o_orderkey, (o_orderkey % 6) // 2 AS batch FROM orders",
     intake_keep_invalid: "SELECT o_orderkey, (SELECT count(DISTINCT o_orderkey % 6) FROM orders WHERE o_orderkey % 6 > 2) AS kept FROM orders WHERE o_orderkey % 6 < 3",

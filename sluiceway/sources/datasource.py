@@ -5,22 +5,26 @@
 
 The driver takes notifications from a directory queue, logs the new files under the next
 offset and only then deletes their messages; executors read a file each with pyarrow.
-Formats: csv (with header and sep), json lines, parquet.
+Formats: csv (with header and sep), json lines, parquet. Columns of the schema that a path names
+as `column=value` are partition columns; pathGlobFilter leaves paths out.
 """
 
 from __future__ import annotations
 
 import json
 import os
+import re
 import uuid
 from collections.abc import Iterator
 from pathlib import Path
 from typing import Any
+from urllib.parse import unquote
 
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 from pyspark.sql.types import StructType
 
 from sluiceway.functions.durations import duration_ms
+from sluiceway.functions.globs import glob_to_regex
 from sluiceway.sources.client import parse_message
 from sluiceway.sources.queue import DirectoryQueue
 
@@ -53,6 +57,8 @@ class IntakeReader(DataSourceStreamReader):
         self.log = Path(options["log"])
         self.limit = int(options.get("maxfilespertrigger", 100))
         self.max_age_ms = duration_ms(options.get("maxfileage", "15d"))
+        self.glob = re.compile(glob_to_regex(options["pathglobfilter"]).removesuffix("\\z") + "\\Z") if "pathglobfilter" in options else None
+        self._seen, self._upto = {}, -1  # logged files that haven't expired, of the batches read so far
 
     def __repr__(self) -> str:
         return f"IntakeReader[{self.options['queue']}]"
@@ -69,13 +75,19 @@ class IntakeReader(DataSourceStreamReader):
     def latestOffset(self) -> dict[str, int]:  # noqa: N802
         """Logs one more batch of new files if there are some."""
         ids = self._ids()
-        seen = {f["path"]: f["event_ms"] for i in ids for f in self._files(i)}
-        floor = max(seen.values(), default=0) - self.max_age_ms
+        for i in ids:
+            if i > self._upto:
+                self._seen |= {f["path"]: f["event_ms"] for f in self._files(i)}
+                self._upto = i
+        floor = max(self._seen.values(), default=0) - self.max_age_ms
+        self._seen = seen = {p: ms for p, ms in self._seen.items() if ms >= floor}
         queue, new, receipts = DirectoryQueue(self.options["queue"]), {}, []
         while len(new) < self.limit and (found := queue.receive()):
             for message in found:
                 for f in parse_message(message)[0]:
                     path = f.path.removeprefix("s3:/") if self.options.get("local", "false") == "true" else f.path
+                    if self.glob is not None and not self.glob.match(path):
+                        continue
                     if f.event_ms >= floor and (path not in seen or seen[path] < floor):
                         new.setdefault(path, f.event_ms)
                 receipts.append(message.receipt)
@@ -110,8 +122,12 @@ class IntakeReader(DataSourceStreamReader):
             found = pa.json.read_json(partition.path)
         elif form == "csv":
             header = self.options.get("header", "false") == "true"
-            found = pa.csv.read_csv(partition.path, pa.csv.ReadOptions(column_names=None if header else wanted.names), pa.csv.ParseOptions(delimiter=self.options.get("sep", ",")))
+            found = pa.csv.read_csv(partition.path, pa.csv.ReadOptions(column_names=None if header else [n for n in wanted.names if f"/{n}=" not in partition.path]), pa.csv.ParseOptions(delimiter=self.options.get("sep", ",")))
         else:
             raise ValueError(f"no reader for {form}")
+        named = dict(part.split("=", 1) for part in partition.path.split("/") if "=" in part)
+        for f in wanted:
+            if f.name not in found.column_names and f.name in named:
+                found = found.append_column(f.name, pa.array([unquote(named[f.name])] * found.num_rows, pa.string()))
         columns = [found[f.name].cast(f.type, safe=False) if f.name in found.column_names else pa.nulls(found.num_rows, f.type) for f in wanted]
         yield from pa.Table.from_arrays(columns, schema=wanted).to_batches()

@@ -7,11 +7,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from sluiceway.sources.datasource import IntakeDataSource
-from sluiceway.sources.options import LogAddError, NoSchemaError, Options, ReprocessDryRun, ReprocessLocked
+from sluiceway.sources.options import LogAddError, NoSchemaError, Options, ReprocessDryRun, ReprocessLocked, settings, state_store_confs
 from sluiceway.sources.queue import DirectoryQueue, notification
 from sluiceway.sources.reader import read_files
 from sluiceway.streaming import intake, reprocess
 from sluiceway.streaming.intake import Intake, dedupe_by_watermark
+from sluiceway.streaming.stateful import admit_once
 
 ROWS = [("amber", True, 310), ("birch", False, 620), ("cedar", False, 620)]
 SCHEMA = "testString string, testBoolean boolean, testInt int"
@@ -328,3 +329,27 @@ def test_watermark_variant(spark, tmp_path):
     stream = spark.readStream.schema("path string, s long, t timestamp").parquet(f"{tmp_path}/in")
     dedupe_by_watermark(stream, "t", "1 day").writeStream.format("memory").queryName("once").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start().awaitTermination()
     assert sorted(r.path for r in spark.table("once").collect()) == ["a", "b"]
+
+
+def test_data_source_has_globs_and_partition_columns(spark, tmp_path):
+    spark.dataSource.register(IntakeDataSource)
+    queue = DirectoryQueue(str(tmp_path / "queue"))
+    for part, name in ((1, "a.csv"), (2, "b.csv"), (2, "c.txt")):
+        p = tmp_path / f"data/part={part}/{name}"
+        p.parent.mkdir(parents=True, exist_ok=True)
+        p.write_text("x,1\n")
+        queue.send(notification(str(p)[1:].split("/")[0], "/".join(str(p)[1:].split("/")[1:]).replace("=", "%3D"), "2024-01-01T00:00:00.000Z"))
+    stream = spark.readStream.format("file-intake").schema("s string, n int, part int").option("queue", str(tmp_path / "queue")).option("log", str(tmp_path / "log")).option("format", "csv").option("local", "true").option("pathGlobFilter", "*.csv").load()
+    stream.writeStream.format("memory").queryName("parted").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start().awaitTermination()
+    assert sorted(map(tuple, spark.table("parted").collect())) == [("x", 1, 1), ("x", 1, 2)]
+
+
+def test_files_are_admitted_once_by_keyed_state(spark, tmp_path):
+    """In RocksDB: a path counts as new again when its state has expired."""
+    for k, rows in enumerate(([("a", 1000), ("b", 1000), ("a", 1500)], [("a", 2000), ("c", 100_000)], [("a", 200_000), ("c", 100_500)])):
+        spark.createDataFrame(rows, "path string, event_ms long").coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        time.sleep(0.05)
+    stream = spark.readStream.schema("path string, event_ms long").option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+    with settings(spark, state_store_confs({"compactOnCommit": "false"})):
+        admit_once(stream, max_age_ms=60_000).writeStream.format("parquet").option("path", f"{tmp_path}/out").outputMode("append").option("checkpointLocation", f"{tmp_path}/cp").trigger(availableNow=True).start().awaitTermination()
+    assert sorted(map(tuple, spark.read.parquet(f"{tmp_path}/out").collect())) == [("a", 1000), ("a", 200_000), ("b", 1000), ("c", 100_000)]
