@@ -40,16 +40,21 @@ def materialize(df: DataFrame, codec: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def forget(spark: SparkSession, *tables: DataFrame, but: str | None = None) -> None:
+    """Deletes written tables that nothing will read again, but for the folder of that name in them."""
+    for folder in {f.rpartition("/")[0] for t in tables for f in t.inputFiles()}:
+        if folder.rpartition("/")[2] != but:
+            Folder(spark, folder).delete("")
+
+
 def release(spark: SparkSession, *tables: DataFrame, but: str | None = None) -> None:
-    """Deletes written tables that nothing will read again (but the folder of that name in them), and lets Spark drop the shuffle files of finished jobs.
+    """Forgets tables, and lets Spark drop the shuffle files of finished jobs.
 
     Spark deletes a shuffle's files when the driver collects the plan as garbage, which it
     has little reason to do soon while the executors' disks fill. The last plan stays referenced
     until another one has run.
     """
-    for folder in {f.rpartition("/")[0] for t in tables for f in t.inputFiles()}:
-        if folder.rpartition("/")[2] != but:
-            Folder(spark, folder).delete("")
+    forget(spark, *tables, but=but)
     gc.collect()
     spark.range(1).write.format("noop").mode("overwrite").save()
     spark.sparkContext._jvm.System.gc()

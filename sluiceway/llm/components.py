@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluiceway.llm.common import materialize, release
+from sluiceway.llm.common import forget, materialize, release
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -26,9 +26,10 @@ def components(edges: DataFrame) -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
         old, e = e, materialize(small.select("e.*").filter("u <> v").distinct())
-        release(edges.sparkSession, old, large)
+        forget(edges.sparkSession, old, large)
         after = state(e)
         if after == before:
             break
         before = after
+    release(edges.sparkSession)
     return e.select(F.col("u").alias("id"), F.col("v").alias("root"))

@@ -260,7 +260,6 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
             break
         links = links.unionByName(materialize(star_links(pairs, sets, num, den)))
         roots = components(links)
-        release(docs.sparkSession)
     rest = materialize(rest_links(rooted(groups.select("token", "id"), roots), sets, num, den))
     roots = components(links.unionByName(rest))
 

@@ -193,8 +193,10 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, kind: str, end: int
             yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "block": pa.array([i], pa.int32()), "n_docs": [batch.num_rows], "n_ids": [len(ids)], "data": pa.array([data], pa.binary())})
 
     rows = docs.select(long_id(docs, id_col), F.col(text_col).alias("text"))
-    # ties of the id are ordered by the text, so that every run writes the same shards
-    rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.crc32(F.coalesce("text", F.lit("")))).mapInArrow(encode, SHARDS).write.option("compression", "none").parquet(path)
+    # ties of the id are ordered by the text, so that every run writes the same shards; one id or row may fill many tasks
+    order = ("doc_id", "crc", "r")
+    rows = rows.withColumns({"crc": F.crc32(F.coalesce("text", F.lit(""))), "r": F.monotonically_increasing_id()})
+    rows.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text").mapInArrow(encode, SHARDS).write.option("compression", "none").parquet(path)
     return docs.sparkSession.read.schema(SHARDS).parquet(path)
 
 
