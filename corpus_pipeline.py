@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sluiceway.llm.common import documents, materialize
+from sluiceway.llm.common import documents, materialize, release
 from sluiceway.llm.exact_dedup import drop_copies
 from sluiceway.llm.jaccard_join import keep_one_of_each
 from sluiceway.llm.language_id import keep_identified
@@ -57,6 +57,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
-    for _, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir))
+    for i, (_, stage) in enumerate(STAGES[:-1]):
+        before, docs = docs, materialize(stage(spark, docs, sf_dir))
+        release(spark, *[before][: i])  # a stage's input is read by none after it; the documents stay
     return STAGES[-1][1](spark, docs, sf_dir)
