@@ -513,10 +513,10 @@ _ORACLES = {
     state_latest: "SELECT event_type, user_id, min(event_id) AS event_id FROM events GROUP BY 1, 2",
     admit_once_state: _sql("SELECT path, min(event_ms) AS event_ms FROM (SELECT *, event_id % 3 AS turn, min(event_id % 3) OVER (PARTITION BY path) AS first FROM c) WHERE turn = first GROUP BY 1"),
     state_version: "SELECT event_type, user_id, min(event_id) AS event_id FROM events WHERE event_id % 3 = 0 GROUP BY 1, 2",
-    intake_surplus: "SELECT o_orderkey, (o_orderkey % 6) // 2 AS batch FROM orders",
+    intake_surplus: "SELECT o_orderkey, ((o_orderkey % 6) // 2)::BIGINT AS batch FROM orders",
     intake_keep_invalid: "SELECT o_orderkey, (SELECT count(DISTINCT o_orderkey % 6) FROM orders WHERE o_orderkey % 6 > 2) AS kept FROM orders WHERE o_orderkey % 6 < 3",
     intake_expired: "SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_orderkey % 6 AS INT) AS part FROM orders WHERE o_orderkey % 6 > 2",
-    reprocess_run: "SELECT o_orderkey, 2 AS batch FROM orders WHERE o_orderkey % 6 = 5 UNION ALL SELECT o_orderkey, unnest([0, 1]) AS batch FROM orders WHERE o_orderkey % 6 < 5",
+    reprocess_run: "SELECT o_orderkey, 2::BIGINT AS batch FROM orders WHERE o_orderkey % 6 = 5 UNION ALL SELECT o_orderkey, unnest([0, 1])::BIGINT AS batch FROM orders WHERE o_orderkey % 6 < 5",
     intake: "SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_orderkey % 6 AS INT) AS part FROM orders",
 }
 

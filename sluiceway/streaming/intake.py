@@ -62,6 +62,7 @@ class Intake:
         self.client = QueueClient(open_queue(options, client), options, self._arrive, self.metrics)
         self.listener = MetricsListener(self.metrics)
         self._feeder: threading.Thread | None = None
+        self._listening = False
         self._stopping = threading.Event()
 
     def __repr__(self) -> str:
@@ -186,7 +187,9 @@ class Intake:
 
         feed_every: seconds between fetches of a thread that feeds the log while the query runs.
         """
-        self.spark.streams.addListener(self.listener)
+        if not self._listening:
+            self.spark.streams.addListener(self.listener)
+            self._listening = True
         writer = self.logged().writeStream.foreachBatch(lambda df, _: self.run_batch(df, sink)).option("checkpointLocation", f"{self.checkpoint}/stream").trigger(**(trigger or {"availableNow": True}))
         query = (writer.queryName(name) if name else writer).start()
         if feed_every is not None:
@@ -226,7 +229,9 @@ class Intake:
                 self.client.close()
             finally:
                 self.log.close()
-                self.spark.streams.removeListener(self.listener)
+                if self._listening:
+                    self.spark.streams.removeListener(self.listener)
+                    self._listening = False
 
 
 def dedupe_by_watermark(files: DataFrame, time_col: str, age: str) -> DataFrame:

@@ -224,6 +224,12 @@ def test_old_batches_are_cleaned_and_compacted(bucket, monkeypatch):
     i.close()
 
 
+def test_an_intake_that_never_ran_closes(bucket, monkeypatch):
+    i = bucket.intake()
+    monkeypatch.setattr(i.spark.streams.__class__, "removeListener", lambda *_: pytest.fail("it has no listener"))
+    i.close()
+
+
 def test_missing_files_are_counted(bucket):
     bucket.put("a.csv")
     bucket.put("gone.csv")
