@@ -4,26 +4,34 @@ Counting n-grams as rows would shuffle every n-gram of the corpus with a row's o
 Here each block of documents sends a shard the sorted distinct n-grams of that shard's part
 of the hash range as one packed array, and gets back an array in the same order. A block is
 a written row, so that it has the same content each time it is read.
+
+A block sends 2**FAN rows at most. With more shards, a row goes to a range of shards, and a
+relay puts the rows of many blocks for one range together and sorts them by shard, so that
+the rows of an exchange grow with the input and not with its square.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluiceway.llm.common import SPACES, blocks, long_id, materialize
+from sluiceway.llm.common import SPACES, blocks, give_back, long_id, materialize
 
 BLOCKS = "block long, doc_ids array<long>, marks array<long>, sizes array<int>, n_bytes long, text binary"
 #: Text bytes hashed at once.
 HASHED = 1 << 20
 #: Distinct n-grams that a shard is meant to get from all blocks.
 PER_SHARD = 1 << 20
+#: Binary digits of the shards that one shuffle of an exchange tells apart. Two shuffles tell all 24 apart.
+FAN = 12
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _SPACE = np.zeros(256, bool)
@@ -49,6 +57,99 @@ def unpack_numbers(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(unpack(data, "u1").reshape(4, -1).T).view("<u4").ravel()
 
 
+#: How numbers of 32 bits that pack_numbers packed are named among the kinds of arrays.
+NUMBERS = "numbers"
+
+
+def _pack(a: np.ndarray, kind: str) -> bytes:
+    return pack_numbers(a) if kind == NUMBERS else pack(a.astype(kind))
+
+
+def _unpack(data: bytes, kind: str) -> np.ndarray:
+    return unpack_numbers(data) if kind == NUMBERS else unpack(data, kind)
+
+
+@dataclass(frozen=True)
+class Layout:
+    """The packed columns of an exchange.
+
+    levels: the kinds of a request's columns by level; entries of a level belong to those of the
+    level before, whose column in `below` says how many each has. answers: (level, kind) of an
+    answer's columns, which have an entry for each of the level's.
+    """
+
+    levels: tuple[dict[str, str], ...]
+    below: tuple[str, ...]
+    answers: dict[str, tuple[int, str]]
+
+
+def _levels(requests: pd.DataFrame, layout: Layout) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray, np.ndarray]]]:
+    """Of rows for one range of shards: the shards that occur, and for each level the order of its entries by shard,
+    where each row's entries start before that, and where each shard's start after it, both with the end."""
+    parts = [unpack_numbers(x) for x in requests["shards"]]
+    shards = np.concatenate(parts)
+    order = np.argsort(shards, kind="stable")
+    rows, starts = np.unique(shards[order], return_index=True)
+    out = [(order, np.cumsum([0, *map(len, parts)]), np.append(starts, len(shards)))]
+    for name, level in zip(layout.below, layout.levels, strict=False):
+        order, ends, cuts = out[-1]
+        counts = np.concatenate([_unpack(x, level[name]) for x in requests[name]]).astype(np.int64)
+        shards = np.repeat(shards, counts)
+        upto = lambda c, at: np.append(0, np.cumsum(c))[at]
+        out.append((np.argsort(shards, kind="stable"), upto(counts, ends), upto(counts[order], cuts)))
+    return rows, out
+
+
+def exchange(requests: DataFrame, bits: int, layout: Layout, answer: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
+    """The answers to all requests (shard int, block long, shards binary, and the layout's columns).
+
+    A request is for the shard whose first digits are `shard`, min(bits, FAN) of them; `shards` has
+    the whole shard of each entry of the first level, in ascending order, where that is not all of
+    them. `answer` gets all rows of one whole shard and returns a row for each, in the schema, and
+    rows of a negative block that only speak of the shard. The result has an answer for each request,
+    under its shard, and those rows.
+    """
+    if bits <= FAN:
+        return requests.groupBy("shard").applyInPandas(answer, schema)
+    columns = {c: (i, kind) for i, level in enumerate(layout.levels) for c, kind in level.items()}
+    requests = materialize(requests, "none")
+    groups = max(1, requests.count() >> 2 * FAN)  # of blocks: 2**FAN blocks with 2**FAN rows each
+    grouped = requests.withColumn("bundle", F.pmod(F.xxhash64("block"), F.lit(groups)))
+
+    def forward(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("block")
+        rows, levels = _levels(pdf, layout)
+        out = {"shard": rows.astype(np.int32), "block": np.full(len(rows), key[1], np.int64)}
+        for name, (i, kind) in columns.items():
+            order, _, cuts = levels[i]
+            values = np.concatenate([_unpack(x, kind) for x in pdf[name]])[order]
+            out[name] = [_pack(values[a:b], kind) for a, b in zip(cuts, cuts[1:], strict=False)]
+        give_back()
+        return pd.DataFrame(out)
+
+    def back(asked: pd.DataFrame, got: pd.DataFrame) -> pd.DataFrame:
+        if not len(asked):
+            raise AssertionError("answers without requests")
+        asked, got = asked.sort_values("block"), got.sort_values("whole")
+        _, levels = _levels(asked, layout)
+        out = dict.fromkeys(names) | {"shard": asked["shard"].to_numpy(), "block": asked["block"].to_numpy()}
+        for name, (i, kind) in layout.answers.items():
+            order, ends, _ = levels[i]
+            values = np.empty(len(order), "<u4" if kind == NUMBERS else kind)
+            values[order] = np.concatenate([_unpack(x, kind) for x in got[name]])
+            out[name] = [_pack(values[a:b], kind) for a, b in zip(ends, ends[1:], strict=False)]
+        give_back()
+        return pd.DataFrame(out)
+
+    passed = grouped.groupBy("shard", "bundle").applyInPandas(forward, "shard int, block long, " + ", ".join(f"{c} binary" for c in columns))
+    answers = materialize(passed.groupBy("shard").applyInPandas(answer, schema), "none")
+    names = answers.columns
+    first = F.shiftright("shard", bits - FAN)
+    ranges = answers.filter("block >= 0").withColumns({"whole": F.col("shard"), "shard": first})
+    returned = grouped.groupBy("shard", "bundle").cogroup(ranges.groupBy("shard", "block")).applyInPandas(back, schema)
+    return returned.unionByName(answers.filter("block < 0"))
+
+
 def write_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mark: Column | None = None) -> DataFrame:
     """The documents as written blocks of at most common.BLOCK_BYTES of text, or one document. mark: a long kept for each."""
 
@@ -149,8 +250,15 @@ def shingle_sets(texts: list[bytes], k: int) -> list[np.ndarray]:
     return out
 
 
-def by_shard(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted 64-bit keys: the shards that have some (their first bits), and where each one's keys start, with the end."""
-    shards = (keys >> np.uint64(64 - bits)).astype(np.int64)
-    starts = np.flatnonzero(np.diff(shards, prepend=-1))
-    return shards[starts], np.append(starts, len(keys))
+def by_shard(keys: np.ndarray, bits: int, fan: int) -> tuple[np.ndarray, np.ndarray, list[bytes | None]]:
+    """Sorted 64-bit keys, whose first bits are their shard: see cut_shards."""
+    return cut_shards((keys >> np.uint64(64 - bits)).astype(np.int64), bits, fan)
+
+
+def cut_shards(shards: np.ndarray, bits: int, fan: int) -> tuple[np.ndarray, np.ndarray, list[bytes | None]]:
+    """The entries' sorted shards: the `shard` and `shards` of the requests for an exchange, and where each one's entries start, with the end."""
+    first = shards >> max(bits - fan, 0)
+    starts = np.flatnonzero(np.diff(first, prepend=-1))
+    at = np.append(starts, len(shards))
+    whole = [pack_numbers(shards[a:b]) for a, b in zip(at, at[1:], strict=False)] if bits > fan else [None] * len(starts)
+    return first[starts], at, whole

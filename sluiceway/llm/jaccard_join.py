@@ -29,7 +29,8 @@ from pyspark.sql import functions as F
 
 from sluiceway.llm.common import give_back, join_by_key, materialize, pick_rows, release, row_hash, scratch
 from sluiceway.llm.components import components
-from sluiceway.llm.corpus_blocks import block_texts, by_shard, pack, shard_bits, shingle_sets, unpack, write_blocks
+from sluiceway.llm import corpus_blocks
+from sluiceway.llm.corpus_blocks import Layout, block_texts, by_shard, exchange, pack, shard_bits, shingle_sets, unpack, write_blocks
 from sluiceway.llm.prefix_tree import connecting_links, links_with
 
 #: Sets in a unit of the join, about.
@@ -53,8 +54,9 @@ def prefix_length(n: int, num: int, den: int) -> int:
     return n - -(-num * n // den) + 1
 
 
-REQUESTS = "shard int, block long, keys binary, counts binary"
+REQUESTS = "shard int, block long, shards binary, keys binary, counts binary"
 RESPONSES = "shard int, block long, levels binary"
+LAYOUT = Layout(({"keys": "<u4", "counts": "<u4"},), (), {"levels": (0, "u1")})
 
 
 def _distinct_sets(texts: list[bytes], k: int) -> tuple[list[int], dict[int, np.ndarray]]:
@@ -71,22 +73,24 @@ def _keys(sets: dict[int, np.ndarray], bits: int) -> tuple[np.ndarray, np.ndarra
 
 
 def shingle_levels(table: DataFrame, k: int, bits: int) -> DataFrame:
-    """For each block and shard (RESPONSES), the levels of the block's keys in that shard, in the keys' order."""
+    """For each block and shard, or range of shards (RESPONSES), the levels of the block's keys there, in the keys' order."""
+    fan = corpus_blocks.FAN
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 keys, counts = _keys(_distinct_sets(block_texts(row), k)[1], bits)
-                shards, at = by_shard(keys, bits)
+                shards, at, whole = by_shard(keys, bits, fan)
                 parts = list(zip(at, at[1:], strict=False))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(shards, pa.int32()),
                         pa.array(np.full(len(shards), row["block"])),
+                        pa.array(whole, pa.binary()),
                         pa.array([pack((keys[a:b] >> np.uint64(32 - bits)).astype("<u4")) for a, b in parts], pa.binary()),
                         pa.array([pack(counts[a:b].astype("<u4")) for a, b in parts], pa.binary()),
                     ],
-                    names=["shard", "block", "keys", "counts"],
+                    names=["shard", "block", "shards", "keys", "counts"],
                 )
                 give_back()
 
@@ -97,7 +101,7 @@ def shingle_levels(table: DataFrame, k: int, bits: int) -> DataFrame:
         levels, ends = to_levels(totals)[inverse], np.cumsum([0, *map(len, asked)])
         return pdf[["shard", "block"]].assign(levels=[pack(levels[a:b]) for a, b in zip(ends, ends[1:], strict=False)])
 
-    return table.select("block", "sizes", "text").mapInArrow(ask, REQUESTS).groupBy("shard").applyInPandas(answer, RESPONSES)
+    return exchange(table.select("block", "sizes", "text").mapInArrow(ask, REQUESTS), bits, LAYOUT, answer, RESPONSES)
 
 
 #: kind 0: a document; kind 1: a shared token in a set's prefix, n is how common the set's

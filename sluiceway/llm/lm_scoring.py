@@ -33,9 +33,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluiceway.llm import elias_fano
+from sluiceway.llm import corpus_blocks, elias_fano
 from sluiceway.llm.common import give_back, materialize, release
-from sluiceway.llm.corpus_blocks import block_texts, by_shard, chain_hashes, pack, pack_numbers, shard_bits, unpack, unpack_numbers, word_hashes, write_blocks
+from sluiceway.llm.corpus_blocks import NUMBERS, Layout, block_texts, by_shard, chain_hashes, cut_shards, exchange, pack, pack_numbers, shard_bits, unpack, unpack_numbers, word_hashes, write_blocks
 from sluiceway.llm.elias_fano import EliasFano
 
 BEGIN, END = (chain_hashes([np.array([i], np.uint64)] * 3)[0] for i in (1, 2))
@@ -54,6 +54,11 @@ def in_training(doc_ids: list, parts: int, held: int) -> np.ndarray:
     return np.array([zlib.crc32(b"" if i is None else str(i).encode()) % parts != held for i in doc_ids], bool)
 
 
+def spread(bits: int) -> int:
+    """Shards that a hot context is dealt over."""
+    return 1 << max(SPREAD.bit_length() - 1, bits - SPREAD.bit_length() + 1)
+
+
 class Tokens:
     """A block's tokens: words and an end for each text, as places in its sorted distinct words."""
 
@@ -76,13 +81,14 @@ class Contexts:
 
     keys: sorted, a shard and 32 digits of the context's number. pairs: sorted, a place in keys and
     32 digits of the successor's number; pair_of: the place of each token's pair. A hot context has
-    a key in each of its shards, with its count in `known`. Numbers are exact up to 2**32 distinct words.
+    a key in each of its shards that the block has a pair in, with its count in `known`. Numbers are
+    exact up to 2**32 distinct words.
     """
 
     def __init__(self, t: Tokens, counts: np.ndarray, ids: np.ndarray, begin: int, total: int, bits: int) -> None:
         names = np.append(ids, begin).astype(np.uint64) & LOW
         shards = np.append(t.words, BEGIN) >> np.uint64(64 - bits)
-        every, spread = np.uint64((1 << bits) - 1), 1 << max(SPREAD.bit_length() - 1, bits - SPREAD.bit_length() + 1)
+        every, deal = np.uint64((1 << bits) - 1), spread(bits)
         totals = np.append(counts, counts[np.searchsorted(t.words, END)])
         hot = totals * HOT > total
         before = np.empty_like(t.at)
@@ -90,26 +96,29 @@ class Contexts:
         before[t.starts] = len(t.words)
         used = np.zeros(len(names), bool)
         used[before] = True
-        own, dealt, plain = shards << np.uint64(32) | names, np.flatnonzero(hot & used), np.flatnonzero(~hot & used)
-        extra = (shards[dealt][:, None] + np.arange(spread, dtype=np.uint64) & every) << np.uint64(32) | names[dealt][:, None]
-        self.keys = np.sort(np.concatenate([own[plain], extra.ravel()]))
+        own, plain = shards << np.uint64(32) | names, np.flatnonzero(~hot & used)
+        on = np.flatnonzero(hot[before])  # the tokens after hot contexts, each in one of its context's shards
+        dealt, dealt_of = np.unique(before[on].astype(np.uint64) << np.uint64(32) | names[t.at[on]] & np.uint64(deal - 1), return_inverse=True)
+        self._dealt = (dealt >> np.uint64(32)).astype(np.int64)
+        extra = (shards[self._dealt] + (dealt & LOW) & every) << np.uint64(32) | names[self._dealt]
+        self.keys = np.sort(np.concatenate([own[plain], extra]))
         # where each context's keys are, so that no token has to be searched for
-        self._plain, self._dealt = plain, dealt
-        self._place, self._places = np.searchsorted(self.keys, own[plain]), np.searchsorted(self.keys, extra)
+        self._plain, self._place, places = plain, np.searchsorted(self.keys, own[plain]), np.searchsorted(self.keys, extra)
         self.known = np.zeros(len(self.keys), np.int64)
-        self.known[self._places.ravel()] = np.repeat(totals[dealt], spread)
-        by_word, row = np.zeros(len(names), np.int64), np.zeros(len(names), np.int64)
-        by_word[plain], row[dealt] = self._place, np.arange(len(dealt))
-        place, on = by_word[before], np.flatnonzero(hot[before])
-        place[on] = self._places[row[before[on]], (names[t.at[on]] & np.uint64(spread - 1)).astype(np.int64)]
+        self.known[places] = totals[self._dealt]
+        place = np.zeros(len(names), np.int64)
+        place[plain] = self._place
+        place = place[before]
+        place[on] = places[dealt_of]
         self.pairs, self.pair_of = np.unique(place.astype(np.uint64) << np.uint64(32) | names[t.at], return_inverse=True)
         self.before, self.names = before, names
 
-    def taken(self, of_keys: np.ndarray) -> np.ndarray:
-        """What bigrams take of each word as a context, from what they take of each key: for a hot one, the sum over its shards."""
+    def taken(self, of_keys: np.ndarray, of_hot: dict[int, float]) -> np.ndarray:
+        """What bigrams take of each word as a context: of a hot one, by its number, what those of all its shards take together."""
         out = np.zeros(len(self.names))
         out[self._plain] = of_keys[self._place]
-        out[self._dealt] = of_keys[self._places].sum(1)
+        words = np.unique(self._dealt)
+        out[words] = [of_hot.get(i, 0.0) for i in self.names[words].tolist()]
         return out
 
 
@@ -131,22 +140,24 @@ def trigrams(t: Tokens, c: Contexts) -> tuple[np.ndarray, np.ndarray, np.ndarray
 
 
 COUNTED = "shard int, block long, counts binary, ranks binary, v long, n long, known long"
+WORDS = Layout(({"words": "<u8", "counts": "<u4"},), (), {"counts": (0, "<u8"), "ranks": (0, NUMBERS)})
 
 
 def count_words(table: DataFrame, bits: int, parts: int, held: int) -> DataFrame:
     """COUNTED: training counts of the block's words, and their ranks among the shard's words, the most frequent first.
 
-    Where block is null, of the shard: v and n, words and occurrences in training, and known, all words.
+    Where block is negative, of the shard: v and n, words and occurrences in training, and known, all words.
     """
+    fan = corpus_blocks.FAN
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 t = Tokens(row, parts, held)
                 counts = np.bincount(t.at[t.trains], minlength=len(t.words))
-                shards, at = by_shard(t.words, bits)
+                shards, at, whole = by_shard(t.words, bits, fan)
                 cut = list(zip(at, at[1:], strict=False))
-                yield pa.RecordBatch.from_arrays([pa.array(shards, pa.int32()), pa.array(np.full(len(shards), row["block"])), pa.array([pack(t.words[a:b]) for a, b in cut], pa.binary()), pa.array([pack(counts[a:b].astype("<u4")) for a, b in cut], pa.binary())], names=["shard", "block", "words", "counts"])
+                yield pa.RecordBatch.from_arrays([pa.array(shards, pa.int32()), pa.array(np.full(len(shards), row["block"])), pa.array(whole, pa.binary()), pa.array([pack(t.words[a:b]) for a, b in cut], pa.binary()), pa.array([pack(counts[a:b].astype("<u4")) for a, b in cut], pa.binary())], names=["shard", "block", "shards", "words", "counts"])
 
     def answer(pdf: pd.DataFrame) -> pd.DataFrame:
         words = [unpack(x, "<u8") for x in pdf["words"]]
@@ -159,14 +170,16 @@ def count_words(table: DataFrame, bits: int, parts: int, held: int) -> DataFrame
         blocks = pdf[["shard", "block"]].assign(counts=[pack(given[a:b]) for a, b in cut], ranks=[pack_numbers(ranks[a:b]) for a, b in cut], v=0, n=0, known=0)
         return pd.concat([blocks, pd.DataFrame({"shard": pdf["shard"][:1], "block": -1, "counts": [b""], "ranks": [b""], "v": int((totals > 0).sum()), "n": int(totals.sum()), "known": len(known)})])
 
-    return table.select("block", "doc_ids", "sizes", "text").mapInArrow(ask, "shard int, block long, words binary, counts binary").groupBy("shard").applyInPandas(answer, COUNTED)
+    asked = table.select("block", "doc_ids", "sizes", "text").mapInArrow(ask, "shard int, block long, shards binary, words binary, counts binary")
+    return exchange(asked, bits, WORDS, answer, COUNTED)
 
 
-def word_counts(row: dict, bits: int) -> tuple[np.ndarray, np.ndarray]:
+def word_counts(row: dict, words: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Training counts and numbers of the block's words. A number is a rank in a shard and the shard: frequent words have small ones."""
     parts = sorted(row["counts"], key=lambda x: x["shard"])
     counts = np.concatenate([unpack(x["counts"], "<u8") for x in parts]).astype(np.int64)
-    return counts, np.concatenate([unpack_numbers(x["ranks"]).astype(np.int64) << bits | x["shard"] for x in parts])
+    ranks = np.concatenate([unpack_numbers(x["ranks"]) for x in parts]).astype(np.int64)
+    return counts, ranks << bits | (words >> np.uint64(64 - bits)).astype(np.int64)
 
 
 # The trie of a shard.
@@ -200,13 +213,14 @@ def encode_shares(shares: np.ndarray) -> np.ndarray:
     return np.clip(codes, 0, 255).astype(np.uint8)
 
 
-def build_trie(pairs: np.ndarray, counts: np.ndarray, given: dict[int, int], plain: np.ndarray, triples: np.ndarray, triple_counts: np.ndarray, least: float, width: int, folder: str) -> Path:
+def build_trie(pairs: np.ndarray, counts: np.ndarray, given: dict[int, int], plain: np.ndarray, triples: np.ndarray, triple_counts: np.ndarray, least: float, width: int, folder: str, dealt: int = SPREAD) -> Path:
     """Writes the levels of a shard: contexts, and pointers, successors, probabilities and weights of contexts of one and two words.
 
     pairs: sorted, 32 digits of the context and 32 of the successor, all with counts;
     given: counts of contexts that other shards have parts of. triples: sorted, the place of the
     first two words in pairs and 32 digits of the third, all with counts; least: the least
-    probability of a word; width: digits of a word's number, which is all that the levels keep.
+    probability of a word; width: digits of a word's number, which is all that the levels keep;
+    dealt: over how many shards the contexts of `given` are, whose parts are rounded the finer.
     """
     ctx = (pairs >> np.uint64(32)).astype(np.int64)
     starts = np.flatnonzero(np.diff(ctx, prepend=-1))
@@ -215,12 +229,15 @@ def build_trie(pairs: np.ndarray, counts: np.ndarray, given: dict[int, int], pla
     names = ctx[starts]
     own = np.add.reduceat(counts, starts) if len(starts) else np.zeros(0, np.int64)
     total = own.copy()
-    for i in np.flatnonzero(np.isin(names, list(given))).tolist() if given else ():
+    hot = np.flatnonzero(np.isin(names, list(given))) if given else np.zeros(0, np.int64)
+    for i in hot.tolist():
         total[i] = max(total[i], given[int(names[i])])
     size = np.frexp(total.astype(float))[1]
     weight = fit_weights(counts, total[rank], plain) if len(pairs) else np.zeros(64)
     share = weight[size][rank] * counts / total[rank]
     taken = np.ceil(weight[size] * own / total * WEIGHT)
+    units = WEIGHT * dealt // SPREAD
+    part = np.minimum(np.ceil(weight[size] * own / total * units), units - 1)
     relative = lambda place, word: place.astype(np.uint64) << np.uint64(width) | word & LOW
     of = (triples >> np.uint64(32)).astype(np.int64)
     weight2 = fit_weights(triple_counts, counts[of], np.full(len(of), least)) if len(of) else np.zeros(64)
@@ -232,6 +249,7 @@ def build_trie(pairs: np.ndarray, counts: np.ndarray, given: dict[int, int], pla
         "pointers": elias_fano.encode(borders, len(pairs) + 1),
         "successors": elias_fano.encode(relative(rank, pairs), max(len(starts), 1) << width),
         "probabilities": [encode_shares(share)],
+        "hot": [names[hot], part[hot].astype(np.int64)],
         "weights": [np.clip(taken, 0, WEIGHT - 1).astype(np.uint16)],
         "pointers_2": elias_fano.encode(np.append(0, np.cumsum(np.bincount(of, minlength=len(pairs)))), len(triples) + 1),
         "successors_2": elias_fano.encode(relative(of, triples), max(len(pairs), 1) << width),
@@ -252,6 +270,7 @@ class Trie:
         names = ("contexts", "pointers", "successors", "pointers_2", "successors_2")
         self.contexts, self.pointers, self.successors, self.pointers_2, self.successors_2 = (EliasFano(*(read(name, i) for i in range(5))) for name in names)
         self.width = int(read("width", 0)[0])
+        self.hot = dict(zip(*(read("hot", i).tolist() for i in range(2)), strict=True))
         self.probabilities, self.weights, self.probabilities_2, self.weights_2 = (read(name, 0) for name in ("probabilities", "weights", "probabilities_2", "weights_2"))
 
     def look_up(self, ctx: np.ndarray, numbers: np.ndarray, words: np.ndarray, numbers_2: np.ndarray, words_2: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -286,18 +305,25 @@ class Trie:
         return asked[found >= 0], found[found >= 0]
 
 
-QUESTIONS = "shard int, block long, ctx binary, numbers binary, known binary, words binary, counts binary, plain binary, numbers_2 binary, words_2 binary, counts_2 binary"
-ANSWERS = "shard int, block long, codes binary, weights binary, codes_2 binary, weights_2 binary"
+QUESTIONS = "shard int, block long, shards binary, ctx binary, numbers binary, known binary, words binary, counts binary, plain binary, numbers_2 binary, words_2 binary, counts_2 binary"
+#: hot: the parts that bigrams take of hot contexts in a shard, in a row of block -1.
+ANSWERS = "shard int, block long, codes binary, weights binary, codes_2 binary, weights_2 binary, hot map<long, long>"
+NGRAMS = Layout(
+    ({"ctx": NUMBERS, "numbers": "<u4", "known": "<u8"}, {"words": NUMBERS, "counts": "<u4", "plain": "u1", "numbers_2": "<u4"}, {"words_2": NUMBERS, "counts_2": "<u4"}),
+    ("numbers", "numbers_2"),
+    {"codes": (1, "u1"), "weights": (0, "<u2"), "codes_2": (2, "u1"), "weights_2": (1, "u1")},
+)
 
 
 def ngram_answers(joined: DataFrame, bits: int, total: int, distinct: int, begin: int, parts: int, held: int) -> DataFrame:
     """ANSWERS to each block's bigrams and trigrams from the tries of all shards. joined: blocks with their words' counts."""
+    fan = corpus_blocks.FAN
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 t = Tokens(row, parts, held)
-                counts, ids = word_counts(row, bits)
+                counts, ids = word_counts(row, t.words, bits)
                 c = Contexts(t, counts, ids, begin, total, bits)
                 keys, known, pairs, pair_of = c.keys, c.known, c.pairs, c.pair_of
                 times = np.bincount(pair_of[t.trains], minlength=len(pairs))
@@ -306,8 +332,7 @@ def ngram_answers(joined: DataFrame, bits: int, total: int, distinct: int, begin
                 plain[pair_of] = level[t.at]
                 numbers = np.bincount((pairs >> np.uint64(32)).astype(np.int64), minlength=len(keys))
                 ends = np.append(0, np.cumsum(numbers))
-                shards = (keys >> np.uint64(32)).astype(np.int64)
-                at = np.append(np.flatnonzero(np.diff(shards, prepend=-1)), len(keys))
+                shards, at, whole = cut_shards((keys >> np.uint64(32)).astype(np.int64), bits, fan)
                 cut = list(zip(at, at[1:], strict=False))
                 binary = lambda a, kind, c: pa.array([pack(a[x:y].astype(kind)) for x, y in c], pa.binary())
                 numbers_ = lambda a, c: pa.array([pack_numbers(a[x:y]) for x, y in c], pa.binary())
@@ -318,10 +343,10 @@ def ngram_answers(joined: DataFrame, bits: int, total: int, distinct: int, begin
                 ends_2 = np.append(0, np.cumsum(numbers_2))
                 inner_2 = [(ends_2[a], ends_2[b]) for a, b in inner]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(shards[at[:-1]], pa.int32()), pa.array(np.full(len(cut), row["block"])), numbers_(keys & LOW, cut), binary(numbers, "<u4", cut), binary(known, "<u8", cut)]
+                    [pa.array(shards, pa.int32()), pa.array(np.full(len(cut), row["block"])), pa.array(whole, pa.binary()), numbers_(keys & LOW, cut), binary(numbers, "<u4", cut), binary(known, "<u8", cut)]
                     + [numbers_(pairs & LOW, inner), binary(times, "<u4", inner), binary(plain, "u1", inner)]
                     + [binary(numbers_2, "<u4", inner), numbers_(triples & LOW, inner_2), binary(times_2, "<u4", inner_2)],
-                    names=["shard", "block", "ctx", "numbers", "known", "words", "counts", "plain", "numbers_2", "words_2", "counts_2"],
+                    names=["shard", "block", "shards", "ctx", "numbers", "known", "words", "counts", "plain", "numbers_2", "words_2", "counts_2"],
                 )
                 give_back()
 
@@ -353,16 +378,18 @@ def ngram_answers(joined: DataFrame, bits: int, total: int, distinct: int, begin
             some = np.flatnonzero(known)
             given.update(zip(ctx[some].tolist(), known[some].tolist(), strict=True))
         with tempfile.TemporaryDirectory() as folder:
-            trie = Trie(build_trie(pairs, counts, given, likely, triples, triple_counts, 1 / (total + distinct + 1), width, folder))
+            trie = Trie(build_trie(pairs, counts, given, likely, triples, triple_counts, 1 / (total + distinct + 1), width, folder, spread(bits)))
             del pairs, counts, likely, triples, triple_counts
             found = []
             for a, numbers, words in zip(asked, pdf["numbers_2"], pdf["words_2"], strict=True):
                 found.append([pack(x) for x in trie.look_up(*a, unpack(numbers, "<u4").astype(np.int64), unpack_numbers(words).astype(np.uint64))])
+            hot = trie.hot
             del trie
         give_back()
-        return pdf[["shard", "block"]].assign(**dict(zip(("codes", "weights", "codes_2", "weights_2"), map(list, zip(*found, strict=True)), strict=True)))
+        out = pdf[["shard", "block"]].assign(**dict(zip(NGRAMS.answers, map(list, zip(*found, strict=True)), strict=True)), hot=None)
+        return pd.concat([out, out[:1].assign(block=-1, **{c: b"" for c in NGRAMS.answers}, hot=[hot])]) if hot else out
 
-    return joined.mapInArrow(ask, QUESTIONS).groupBy("shard").applyInPandas(answer, ANSWERS)
+    return exchange(joined.mapInArrow(ask, QUESTIONS), bits, NGRAMS, answer, ANSWERS)
 
 
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
@@ -389,18 +416,20 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     release(spark, table, counted)
     answers = materialize(ngram_answers(joined, bits, total, distinct, begin, parts, held), "none")
     release(spark)
-    answers = answers.groupBy("block").agg(F.collect_list(F.struct("shard", "codes", "weights", "codes_2", "weights_2")).alias("answers"))
+    parts_of_hot = answers.filter("block < 0").select(F.explode("hot").alias("number", "part")).groupBy("number").agg(F.sum("part").alias("part"))
+    of_hot = {r.number: r.part / (WEIGHT * spread(bits) // SPREAD) for r in parts_of_hot.collect()}  # each has 1 / HOT of all tokens, so there are 2 * HOT at most
+    answers = answers.filter("block >= 0").groupBy("block").agg(F.collect_list(F.struct("shard", "codes", "weights", "codes_2", "weights_2")).alias("answers"))
     share = np.append(0.0, 10 ** (LEAST + STEP * np.arange(255)))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 t = Tokens(row, parts, held)
-                counts, ids = word_counts(row, bits)
+                counts, ids = word_counts(row, t.words, bits)
                 c = Contexts(t, counts, ids, begin, total, bits)
                 parts_ = sorted(row["answers"], key=lambda x: x["shard"])
                 codes = np.concatenate([unpack(x["codes"], "u1") for x in parts_])
-                by_word = c.taken(np.concatenate([unpack(x["weights"], "<u2") for x in parts_]) / WEIGHT)
+                by_word = c.taken(np.concatenate([unpack(x["weights"], "<u2") for x in parts_]) / WEIGHT, of_hot)
                 base = (counts[t.at] + 1) / (total + distinct + 1)
                 p = share[codes[c.pair_of]] + (1 - np.minimum(by_word[c.before], 0.999999)) * base
                 _, having, triple_of = trigrams(t, c)
