@@ -192,12 +192,12 @@ def log_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 def log_race(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every batch is added by four writers at once, each with paths of its own: one of them succeeds."""
     root = scratch(spark)
-    batches = [(r[0], sorted(r[1])) for r in logged(spark, sf_dir).groupBy("batch_id").agg(F.collect_list(F.struct("path", "event_ms"))).collect()]  # batches are bounded
+    batches = logged(spark, sf_dir).groupBy("batch_id").agg(F.collect_list(F.struct("path", "event_ms")))  # batches are bounded
     logs = [FileLog(spark, root) for _ in range(4)]
     won = []
     with ThreadPoolExecutor(4) as pool:
-        for i, files in batches:
-            add = lambda w, i=i, files=files: logs[w].add(i, [Entry(f"{w}/{f.path}", f.event_ms) for f in files], commit_ms=0)
+        for i, files in batches.toLocalIterator():  # one partition of them at a time
+            add = lambda w, i=i, files=files: logs[w].add(i, [Entry(f"{w}/{path}", ms) for path, ms in files], commit_ms=0)
             won.append(sum(pool.map(add, range(4))))
     if any(n != 1 for n in won):
         raise AssertionError(f"writers that succeeded, by batch: {won}")

@@ -1,7 +1,7 @@
 """The log of admitted files: a Parquet table with a folder per batch.
 
 A batch is written aside and renamed into place by the one writer that holds its claim, so it
-is there as a whole or not at all, and of two writers of one batch id one succeeds. Each batch
+is there as a whole or not at all, and of several writers of one batch id one succeeds at most. Each batch
 starts with a header row (path null) that holds its commit time, the expiry floor after it and
 the glob it was admitted by. Old batches can be folded into one compacted table, which bounds
 the number of small files; it is ordered by path and has Bloom filters, so a path is looked up
@@ -24,10 +24,13 @@ from pyspark.sql import functions as F
 
 from sluiceway.operators.admission import cleanable_batches
 from sluiceway.sources.files import Folder
+from sluiceway.sources.options import settings
 
 ROWS = "batch_id long, path string, event_ms long, commit_ms long, floor_ms long, glob string"
 #: Fixed value: batches removed by one cleaning.
 CLEANED = 20
+#: Tasks that list the folders of many batches; Spark's default is one for each, up to 10,000.
+LISTERS = 64
 _FILE = pa.schema([("path", pa.string()), ("event_ms", pa.int64()), ("commit_ms", pa.int64()), ("floor_ms", pa.int64()), ("glob", pa.string())])
 
 
@@ -64,7 +67,8 @@ class FileLog:
     def rows(self) -> DataFrame:
         """All rows, headers included."""
         parts = [self.folder.at(f"batches/batch_id={i}") for i in self.batch_ids()]
-        out = self.spark.read.schema(ROWS).option("basePath", self.folder.at("batches")).parquet(*parts) if parts else self.spark.createDataFrame([], ROWS)
+        with settings(self.spark, {"spark.sql.sources.parallelPartitionDiscovery.parallelism": str(LISTERS)} if len(parts) > LISTERS else {}):
+            out = self.spark.read.schema(ROWS).option("basePath", self.folder.at("batches")).parquet(*parts) if parts else self.spark.createDataFrame([], ROWS)
         if (c := self._compacted()) is not None:
             out = out.select(*_names()).unionByName(self.spark.read.schema(ROWS).parquet(self.folder.at(f"compacted/{c[0]}-{c[1]}")).select(*_names()))
         return out.select(*_names())
@@ -80,14 +84,14 @@ class FileLog:
     # Writing.
 
     def add(self, batch_id: int, entries: DataFrame | Sequence[Entry], commit_ms: int | None = None, floor_ms: int = 0, glob: str | None = None, clean_floor_ms: int | None = None) -> bool:
-        """Logs a batch; False if it is there already. With clean_floor_ms, old batches go first."""
+        """Logs a batch; False if it is there already, or another writer is about to log it. With clean_floor_ms, old batches go first."""
         if batch_id < 0:
             raise ValueError("a batch id must not be negative")
         if entries is None:
             raise ValueError("entries are missing")
         if clean_floor_ms is not None:
             self.clean_folders(clean_floor_ms)
-        if batch_id <= (self._compacted() or (0, -1))[1] or self.folder.exists(f"batches/batch_id={batch_id}"):
+        if self.folder.exists(f"batches/batch_id={batch_id}") or batch_id <= (self._compacted() or (0, -1))[1]:
             return False
         commit_ms = int(time.time() * 1000) if commit_ms is None else commit_ms
         if not isinstance(entries, DataFrame):
@@ -102,16 +106,22 @@ class FileLog:
         return False
 
     def _add_entries(self, batch_id: int, entries: list[Entry], commit_ms: int, floor_ms: int, glob: str | None) -> bool:
-        """Writes a batch that the driver holds as one file, without a job."""
-        n, out, aside = len(entries) + 1, io.BytesIO(), f"aside/{uuid.uuid4().hex}"
-        pa.parquet.write_table(pa.table([[None, *(e.path for e in entries)], [None, *(e.event_ms for e in entries)], [commit_ms] * n, [floor_ms] * n, [glob] * n], schema=_FILE), out)
-        self.folder.write(f"{aside}/part-0.parquet", out.getvalue())
-        if self.folder.move_new(aside, f"batches/batch_id={batch_id}"):
-            if self._times is not None and entries:
-                self._times[batch_id] = max(e.event_ms for e in entries), commit_ms
-            return True
-        self.folder.delete(aside)
-        return False
+        """Writes a batch that the driver holds as one file, without a job; only the writer that holds the claim writes."""
+        n, out, aside, to = len(entries) + 1, io.BytesIO(), f"aside/{uuid.uuid4().hex}", f"batches/batch_id={batch_id}"
+        if not self.folder.claim(to):
+            return False
+        moved = False
+        try:
+            pa.parquet.write_table(pa.table([[None, *(e.path for e in entries)], [None, *(e.event_ms for e in entries)], [commit_ms] * n, [floor_ms] * n, [glob] * n], schema=_FILE), out)
+            self.folder.write(f"{aside}/part-0.parquet", out.getvalue())
+            moved = self.folder.move(aside, to)
+        finally:
+            self.folder.release(to)
+            if not moved:
+                self.folder.delete(aside)
+        if moved and self._times is not None and entries:
+            self._times[batch_id] = max(e.event_ms for e in entries), commit_ms
+        return moved
 
     def clean_folders(self, floor_ms: int, limit: int = CLEANED) -> list[int]:
         """clean() for batches with a folder of their own, by times that are read once; compacted ones go when they are compacted anew."""

@@ -3,6 +3,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 
+from sluiceway.sources import files as files_module
 from sluiceway.sources.filelog import Entry, FileLog
 
 
@@ -120,3 +121,52 @@ def test_lookups_are_pushed_down(log, spark):
     assert "EqualTo(path,/p7_7)" in found._jdf.queryExecution().toString() and found.count() == 1
     paths = spark.createDataFrame([("/p7_7",), ("/p9_9",), ("none",)], "path string")
     assert sorted(r.event_ms for r in log.times_of(paths).collect()) == [7, 9] and [r.event_ms for r in log.times_of(paths, 8).collect()] == [9]
+
+
+def test_losing_writers_write_nothing(spark, tmp_path, monkeypatch):
+    written, write = [], files_module.Folder.write
+    monkeypatch.setattr(files_module.Folder, "write", lambda self, name, data: (written.append(name), time.sleep(0.02), write(self, name, data)))
+    logs = [FileLog(spark, f"file://{tmp_path}/log") for _ in range(4)]
+    with ThreadPoolExecutor(4) as pool:
+        for batch in range(8):
+            assert sum(pool.map(lambda w: logs[w].add(batch, [Entry(f"{w}", 1)]), range(4))) == 1  # noqa: B023
+    assert len(written) == 8 and logs[0].folder.names("aside") == []
+
+
+def test_adding_to_a_local_log_asks_nothing_of_the_jvm(log, spark, monkeypatch):
+    asked, client = [], type(spark._jvm._gateway_client)
+    send = client.send_command
+    monkeypatch.setattr(client, "send_command", lambda self, command, *a, **k: (asked.append(command) if not command.startswith("m\n") else None, send(self, command, *a, **k))[1])
+    assert log.add(0, entries(1)) and log.add(1, entries(2)) and not log.add(1, entries(3)) and log.batch_ids() == [0, 1]
+    assert asked == []
+    assert files(log.range()) == [(0, "/p1_0", 1), (1, "/p2_0", 2)] and asked
+
+
+def test_a_failed_writer_leaves_the_batch_to_others(log, monkeypatch):
+    def fail(name, data):
+        raise OSError("no room")
+
+    with monkeypatch.context() as m:
+        m.setattr(log.folder, "write", fail)
+        with pytest.raises(OSError, match="no room"):
+            log.add(0, entries(1))
+    assert log.latest_batch_id() == -1 and log.folder.names("aside") == [] and log.add(0, entries(2))
+
+
+def test_a_log_on_any_file_system(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(files_module, "_LOCAL", ())
+    with FileLog(spark, f"file://{tmp_path}/log, and more") as log:
+        assert log.folder.names("none") == [] and log.folder.age_ms("none") == 0
+        for i in range(3):
+            assert log.add(i, entries(i)) and not log.add(i, entries(9))
+        assert log.batch_ids() == [0, 1, 2] and 0 <= log.folder.age_ms("batches/batch_id=0") < 60_000
+        assert log.folder.create_new("x") and not log.folder.create_new("x") and log.folder.delete("x") and not log.folder.exists("x")
+        log.compact(1)
+        assert log.batch_ids() == [2] and [b for b, _, _ in files(log.range())] == [0, 1, 2]
+
+
+def test_many_batches_are_read(log, spark):
+    for i in range(70):  # more than are listed by the driver
+        log.add(i, entries(i))
+    before = spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism")
+    assert len(files(log.range())) == 70 and spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism") == before

@@ -1,6 +1,7 @@
 """Queries over the whole table."""
 
 from pyspark.sql import functions as F
+from pyspark.sql.classic.dataframe import DataFrame
 
 from sluiceway.operators.validate import FILE_EXPIRED, IN_CACHE_PENDING, IN_LOG, OK, is_new_file, with_verdicts
 from sluiceway.plans import catalog
@@ -60,3 +61,11 @@ def test_all_partitions_are_read_back(spark, sf_dir):
     got = catalog.queries()["partition_columns"](spark, sf_dir)
     assert got.count() == catalog.table(spark, sf_dir, "events").count()
     assert sorted(r.bucket_no for r in got.select("bucket_no").distinct().collect()) == list(range(7))
+
+
+def test_a_race_holds_no_table_in_the_driver(spark, monkeypatch):
+    most, collect = [], DataFrame.collect
+    monkeypatch.setattr(DataFrame, "collect", lambda self: (got := collect(self), most.append(len(got)))[0])
+    raced = catalog.queries()["log_race"](spark, "/root/testdata/sf0.01")  # 29 batches
+    assert max(most, default=0) <= 1
+    assert raced.count() == 29 and raced.agg(F.max("writers")).first()[0] == 1
